@@ -1,0 +1,115 @@
+import datetime
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
+
+from assayer.functions import fingerprint, parse_date, split_name, to_double, to_long, trailing_months
+
+D = datetime.date
+
+
+def values(spark, texts, expr):
+    schema = StructType([StructField("i", LongType()), StructField("v", StringType())])
+    df = spark.createDataFrame(list(enumerate(texts)), schema)
+    return [row["r"] for row in df.select("i", expr(F.col("v")).alias("r")).orderBy("i").collect()]
+
+
+def test_parse_date(spark, ansi):
+    cases = {
+        "08/11/2017": D(2017, 11, 8),
+        "8/11/2017": None,
+        "2017-11-08": D(2017, 11, 8),
+        "2017": D(2017, 1, 1),
+        "2017-11": D(2017, 11, 1),
+        " 08/11/2017": None,
+        "08/11/17": None,
+        "31/02/2018": None,
+        "2017-11-08 10:00:00": D(2017, 11, 8),
+        "08/11/2017 10:00": None,
+        "": None,
+        "not-a-date": None,
+        None: None,
+    }
+    got = values(spark, list(cases), lambda c: parse_date(c, "dd/MM/yyyy"))
+    assert dict(zip(cases, got)) == cases
+
+
+def test_parse_date_keeps_typed_dates_and_timestamps(spark, ansi):
+    df = spark.sql("select date'2017-11-08' d, timestamp'2017-11-08 10:00:00' t")
+    row = df.select(parse_date(F.col("d"), "dd/MM/yyyy"), parse_date(F.col("t"), "dd/MM/yyyy")).first()
+    assert tuple(row) == (D(2017, 11, 8), D(2017, 11, 8))
+
+
+LONGS = [
+    "1", "+7", "-12", "1.7", "-1.9", "1.", ".5", "-.5", ".", "", " ", "1e3", "abc", "1 2", " 12 ", "\t12\n",
+    "0012", "9223372036854775807", "9223372036854775808", "-9223372036854775808", "1,000", "0x1F", "1.7.1",
+    "NaN", "--1", "12.x", None,
+]
+
+
+def test_to_long_equals_the_cast_without_ansi(spark):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        cast = values(spark, LONGS, lambda c: c.cast("long"))
+        lenient = values(spark, LONGS, lambda c: to_long(c, StringType()))
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+        strict = values(spark, LONGS, lambda c: to_long(c, StringType()))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert dict(zip(LONGS, lenient)) == dict(zip(LONGS, cast))
+    assert strict == lenient
+    assert dict(zip(LONGS, cast))["1.7"] == 1
+
+
+def test_to_long_of_a_number_is_a_cast(spark, ansi):
+    df = spark.sql("select 3 as i, 2.9D as d")
+    types = {f.name: f.dataType for f in df.schema.fields}
+    row = df.select(to_long(F.col("i"), types["i"]), to_long(F.col("d"), types["d"])).first()
+    assert tuple(row) == (3, 2)
+
+
+def test_to_double(spark, ansi):
+    got = values(spark, ["10.50", "1e3", "Infinity", "NaN", "abc", "", None], to_double)
+    assert got[:3] == [10.5, 1000.0, float("inf")]
+    assert got[3] != got[3]
+    assert got[4:] == [None, None, None]
+
+
+def test_split_name(spark, ansi):
+    long_name = " ".join(f"t{i}" for i in range(106))
+    cases = {
+        "Darin Van Huff": ("Darin", "Van Huff"),
+        "Corey-Lock": ("Corey-Lock", None),
+        "  Ada   B   Lovelace ": ("Ada", "B Lovelace"),
+        "": ("", None),
+        "   ": ("", None),
+        "\tAda B": ("", "Ada B"),
+        long_name: ("t0", " ".join(f"t{i}" for i in range(1, 101))),
+        None: (None, None),
+    }
+    got = values(spark, list(cases), lambda c: F.struct(*split_name(c)))
+    assert [tuple(row) for row in got] == list(cases.values())
+
+
+def test_trailing_months_ends_are_included_and_clamped(spark, ansi):
+    schema = StructType([StructField("d", DateType()), StructField("e", DateType())])
+    rows = [
+        (D(2018, 2, 28), D(2018, 3, 31)),
+        (D(2018, 2, 27), D(2018, 3, 31)),
+        (D(2019, 1, 28), D(2019, 2, 28)),
+        (D(2019, 1, 27), D(2019, 2, 28)),
+        (D(2019, 2, 28), D(2019, 2, 28)),
+        (D(2019, 3, 1), D(2019, 2, 28)),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    got = [r[0] for r in df.select(trailing_months(F.col("d"), F.col("e"), 1)).collect()]
+    assert got == [True, False, True, False, True, False]
+
+
+def test_fingerprint_is_sha256_of_the_joined_texts(spark, ansi):
+    import hashlib
+
+    df = spark.sql("select 1L as a, cast(null as string) as b, 10.5D as c, date'2018-12-30' as d")
+    got = df.select(fingerprint(F.col(c) for c in df.columns)).first()[0]
+    assert got == hashlib.sha256(b"1||<null>||10.5||2018-12-30").hexdigest()
