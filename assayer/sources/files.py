@@ -13,17 +13,21 @@ from pyspark.sql.types import StructType
 
 from assayer.contracts import date_part_names
 from assayer.operators.columns import col
+from assayer.sources.sizing import write_tasks
 
 SaveMode = Literal["overwrite", "append", "overwrite_partitions"]
 
 # A line that is a complete CSV record on its own: every field is either free of
 # quotes or one closed quoted text. Possessive, so long lines cost no recursion.
-_FIELD = r'(?:[^",]*+|"(?:[^"]++|"")*+")'
+_FIELD = r'(?:"(?:[^"]++|"")*+"|[^",]*+)'
 _SELF_CONTAINED = rf"^{_FIELD}(?:,{_FIELD})*+$"
 
 # Files up to this size are read in one task without looking for a better way.
 _ONE_TASK_BYTES = 512 * 1024 * 1024
 
+# Shuffled bytes one task of a partitioned write gets; about a quarter of it ends up in a file.
+_WRITE_TASK_BYTES = 512 * 1024 * 1024
+
 # The CSV dialect.
 _CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"'}
 
@@ -81,6 +85,7 @@ def write_parquet(
     path: str,
     partition_by: Sequence[str] = (),
     mode: SaveMode = "overwrite",
+    task_bytes: int = _WRITE_TASK_BYTES,
 ) -> None:
     """Write, optionally in ``name=value`` folders.
 
@@ -98,7 +103,8 @@ def write_parquet(
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         writer = writer.mode(mode).option("partitionOverwriteMode", "static")
-    writer.parquet(path)
+    with write_tasks(df.sparkSession, task_bytes):
+        writer.parquet(path)
     if not _readable(df.sparkSession, path):
         # Without rows there are no folders and no file to take a schema from.
         empty = df.sparkSession.createDataFrame([], df.schema)
@@ -117,7 +123,8 @@ def write_csv(
         if df.limit(single_file_rows + 1).count() > single_file_rows:
             raise ValueError(f"More than {single_file_rows} rows: write the CSV with single_file=False")
         df = df.coalesce(1)
-    df.write.mode(mode).options(header=True, quote='"', escape='"').csv(path)
+    keep_spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode(mode).options(**_CSV_DIALECT, **keep_spaces).csv(path)
 
 
 def between_days(

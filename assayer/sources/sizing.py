@@ -1,11 +1,11 @@
-"""Shuffle width that follows the size of the input."""
+"""Shuffle width and write sizes that follow the size of the data."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 # What one reduce task should get, and how much wider rows are in a shuffle than in Parquet.
 _BYTES_PER_TASK = 512 * 1024 * 1024
@@ -13,6 +13,19 @@ _GROWTH = 3
 _MOST_TASKS = 50_000
 
 
+@contextmanager
+def with_conf(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Set session options for a while."""
+    before = {name: spark.conf.get(name) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def input_bytes(df: DataFrame) -> int:
     """Spark's own size estimate; for a file scan, the bytes on disk."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
@@ -26,13 +39,24 @@ def shuffle_tasks(size: int, at_least: int) -> int:
 def sized_shuffles(df: DataFrame) -> Iterator[None]:
     """Raise ``spark.sql.shuffle.partitions`` for a large ``df``, and put it back afterwards.
 
-    Adaptive execution merges what turns out too small, never splits a plain
+    Adaptive execution merges what turns out too small, but does not split a plain
     aggregation that turns out too large, so the start value matters.
     """
-    conf = df.sparkSession.conf
-    before = conf.get("spark.sql.shuffle.partitions")
-    conf.set("spark.sql.shuffle.partitions", str(shuffle_tasks(input_bytes(df), int(before))))
-    try:
+    spark, name = df.sparkSession, "spark.sql.shuffle.partitions"
+    tasks = shuffle_tasks(input_bytes(df), int(spark.conf.get(name)))
+    with with_conf(spark, {name: str(tasks)}):
         yield
-    finally:
-        conf.set("spark.sql.shuffle.partitions", before)
+
+
+def write_tasks(spark: SparkSession, task_bytes: int):
+    """Rebalanced writes: ``task_bytes`` for each task, but every core is used for small data.
+
+    Small data in very many folders is slow for its number of files, not for its bytes.
+    """
+    return with_conf(
+        spark,
+        {
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{task_bytes}b",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b",
+        },
+    )

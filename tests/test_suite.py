@@ -1,0 +1,41 @@
+"""Every registered query against its SQL on the given tables."""
+
+import os
+from collections import Counter
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+
+SF_DIR = os.environ.get("SUITE_SF_DIR", "/root/testdata/sf0.001")
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
+    yield connection
+    connection.close()
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_query_equals_sql(spark, duck, name):
+    result = entry.queries()[name](spark, SF_DIR)
+    expected = duck.execute(entry.oracle_sql()[name])
+    columns = [d[0] for d in expected.description]
+    assert sorted(result.columns) == sorted(columns)
+    wanted = Counter(expected.fetchall())
+    found = Counter(tuple(r) for r in result.select(*[f"`{c}`" for c in columns]).collect())
+    assert sum(found.values()) == sum(wanted.values()) > 0
+    assert not (found - wanted), f"unexpected, e.g. {list((found - wanted).items())[:2]} for {list((wanted - found).items())[:2]}"
