@@ -295,7 +295,7 @@ ORACLE: dict[str, str] = {
         SELECT metric, actual, expected, actual = expected AS ok FROM e""",
     "run_events": f"{_COUNTS} {_events()}",
     "daily_increments": f"""{_upto_silver(through_csv=True)} SELECT {_TYPED},
-        CASE WHEN order_date < DATE '1998-01-01' THEN 'early' ELSE 'late' END AS _pipeline_run_id FROM silver""",
+        CASE WHEN order_date < DATE '1995-07-01' THEN 'early' ELSE 'late' END AS _pipeline_run_id FROM silver""",
 }
 for _position, _name in enumerate(RULE_NAMES):
     _test, _text = _RULES[_position]

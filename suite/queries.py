@@ -364,10 +364,10 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries, split at a day, the first of them loaded twice."""
     root = _fresh(spark)
-    raw, cut = landing(spark, sf_dir), datetime.date(1998, 1, 1)
+    raw, cut = landing(spark, sf_dir), datetime.date(1995, 7, 1)
     early = F.coalesce(parse_date(F.col("Order Date"), "dd/MM/yyyy") < F.lit(cut), F.lit(False))
     deliveries = {
-        "early": (raw.where(early), (datetime.date(1900, 1, 1), datetime.date(1997, 12, 31))),
+        "early": (raw.where(early), (datetime.date(1900, 1, 1), datetime.date(1995, 6, 30))),
         "late": (raw.where(~early), (cut, datetime.date(2100, 1, 1))),
     }
     for name, (rows, _) in deliveries.items():
