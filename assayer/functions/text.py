@@ -12,10 +12,14 @@ FINGERPRINT_NULL = "<null>"
 LAST_NAME_TOKENS = 100
 
 
+def as_texts(values: Iterable[Column]) -> list[Column]:
+    """Text of any value, with a mark for null, so that null and empty differ."""
+    return [F.ifnull(value.cast("string"), F.lit(FINGERPRINT_NULL)) for value in values]
+
+
 def fingerprint(values: Iterable[Column]) -> Column:
     """SHA-256 over the text form of ``values`` in their order."""
-    texts = [F.ifnull(value.cast("string"), F.lit(FINGERPRINT_NULL)) for value in values]
-    return F.sha2(F.concat_ws(FINGERPRINT_SEPARATOR, *texts), 256)
+    return F.sha2(F.concat_ws(FINGERPRINT_SEPARATOR, *as_texts(values)), 256)
 
 
 def split_name(name: Column) -> tuple[Column, Column]:

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayer.functions import fingerprint
+from assayer.functions import as_texts, fingerprint
 from assayer.operators.columns import col
 from assayer.sources.scratch import Scratch
 
@@ -55,12 +55,16 @@ def mark_duplicates(
     payload: Sequence[str] | None = None,
     flag: str = "_is_duplicate",
     scratch: Scratch | None = None,
+    gather: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``flag``: false for the row with the smallest fingerprint of its key, else true.
 
     Rows with a null key are never duplicates. Equal fingerprints are settled by all
     columns; rows equal in all columns are interchangeable. ``df`` is read several
     times and must give the same rows each time (a file scan or staged table does).
+
+    Rows outside contested keys stay in the partitions of ``df``. ``gather`` names the
+    columns by which to bring the contested ones together, for a write by these columns.
     """
     scratch = scratch or Scratch(df.sparkSession)
     columns = [col(c) for c in df.columns]
@@ -71,7 +75,7 @@ def mark_duplicates(
 
     contested = scratch.stage(
         with_fingerprint(df.join(repeated, key, "left_semi").select(*columns), payload)
-        .withColumn(_TIE, F.sha2(F.to_json(F.struct(*columns)), 256))
+        .withColumn(_TIE, F.xxhash64(*as_texts(columns)))
         .withColumn(_ROW, F.monotonically_increasing_id()),
         "contested-rows",
     )
@@ -81,5 +85,7 @@ def mark_duplicates(
         "kept-rows",
     )
     settled = contested.join(winners, _ROW, "left").select(*columns, col(_KEPT).isNull().alias(flag))
+    if gather:
+        settled = settled.hint("rebalance", *gather)
     alone = df.join(repeated, key, "left_anti").select(*columns, F.lit(False).alias(flag))
     return alone.union(settled)

@@ -28,13 +28,17 @@ def evaluate(
     contract: CleanContract,
     payload: Sequence[str] | None = None,
     scratch: Scratch | None = None,
+    gather: bool = False,
 ) -> DataFrame:
     """Prepared rows, each with its reason text (empty when nothing is wrong).
 
     Duplicates are ranked among all rows, before the other rules: when the kept
     row of a key breaks a rule, its copies are still rejected as duplicates.
+
+    With ``gather``, a ``df`` laid out by the contract's partition columns stays so.
     """
-    marked = mark_duplicates(prepare(df, contract), contract.unique_key, payload, _DUPLICATE, scratch)
+    by = contract.partitions if gather else ()
+    marked = mark_duplicates(prepare(df, contract), contract.unique_key, payload, _DUPLICATE, scratch, by)
     rules = [*contract.rules, Rule(contract.duplicate_reason, lambda: col(_DUPLICATE))]
     return marked.withColumn(REASON, failed_reasons(rules)).drop(_DUPLICATE)
 
@@ -49,8 +53,9 @@ def split_clean(
     contract: CleanContract,
     payload: Sequence[str] | None = None,
     scratch: Scratch | None = None,
+    gather: bool = False,
 ) -> Split:
-    return split_evaluated(evaluate(df, contract, payload, scratch))
+    return split_evaluated(evaluate(df, contract, payload, scratch, gather))
 
 
 def rejection_profile(rejected: DataFrame) -> DataFrame:

@@ -50,8 +50,9 @@ def split_silver(
     contract: CleanContract = RETAIL_CLEAN,
     payload: Sequence[str] | None = None,
     scratch: Scratch | None = None,
+    gather: bool = False,
 ) -> Split:
-    return split_clean(bronze, contract, payload, scratch)
+    return split_clean(bronze, contract, payload, scratch, gather)
 
 
 def to_gold_sales(

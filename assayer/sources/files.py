@@ -29,7 +29,7 @@ _ONE_TASK_BYTES = 512 * 1024 * 1024
 _WRITE_TASK_BYTES = 512 * 1024 * 1024
 
 # The CSV dialect.
-_CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"'}
+CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"'}
 
 
 def largest_file(spark: SparkSession, path: str) -> int:
@@ -59,7 +59,7 @@ def read_csv(
     """
     if multi_line is None:
         multi_line = largest_file(spark, path) <= one_task_bytes or not lines_stand_alone(spark, path)
-    return spark.read.options(**_CSV_DIALECT, multiLine=multi_line).csv(path)
+    return spark.read.options(**CSV_DIALECT, multiLine=multi_line).csv(path)
 
 
 def read_parquet(
@@ -86,19 +86,22 @@ def write_parquet(
     partition_by: Sequence[str] = (),
     mode: SaveMode = "overwrite",
     task_bytes: int = _WRITE_TASK_BYTES,
+    gather: bool = True,
 ) -> None:
     """Write, optionally in ``name=value`` folders.
 
     Rows are first brought together by folder, so a folder gets few files instead of
     one from every task. It is a rebalance, not a plain repartition: a folder with very
-    many rows is spread over several tasks, and small ones share a task.
+    many rows is spread over several tasks, and small ones share a task. With ``gather``
+    off no row moves, which is right for rows that come from the same layout.
 
     ``overwrite_partitions`` replaces the folders that occur in ``df`` and no others.
     """
     if not partition_by:
         df.write.mode("overwrite" if mode == "overwrite_partitions" else mode).parquet(path)
         return
-    writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
+    rows = df.hint("rebalance", *partition_by) if gather else df
+    writer = rows.write.partitionBy(*partition_by)
     if mode == "overwrite_partitions":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
@@ -124,7 +127,7 @@ def write_csv(
             raise ValueError(f"More than {single_file_rows} rows: write the CSV with single_file=False")
         df = df.coalesce(1)
     keep_spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.mode(mode).options(**_CSV_DIALECT, **keep_spaces).csv(path)
+    df.write.mode(mode).options(**CSV_DIALECT, **keep_spaces).csv(path)
 
 
 def between_days(

@@ -144,8 +144,9 @@ def main() -> None:
 
     with Scratch(spark) as inputs:
         csv = f"{inputs.path}/landing"
-        write_csv(landing(spark, SF_DIR, ship_by_order=True), csv)
-        raw = inputs.stage(landing(spark, SF_DIR, ship_by_order=True), "raw")
+        # The given tables are single files of one row group; a landing folder has many splits.
+        write_csv(landing(spark, SF_DIR, ship_by_order=True).repartition(int(CPUS)), csv)
+        raw = inputs.stage(landing(spark, SF_DIR, ship_by_order=True).repartition(int(CPUS)), "raw")
         bronze = inputs.stage(split_bronze(to_bronze(raw, RUN_ID)).valid, "bronze")
         clean = inputs.stage(bronze.dropDuplicates(["row_id"]).where("row_id rlike '^[0-9]+$'"), "clean")
         with Scratch(spark) as work:

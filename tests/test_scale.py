@@ -1,0 +1,128 @@
+"""Plans and hot groups: what must hold when one key has a third of all rows."""
+
+import os
+import re
+
+from pyspark.sql import functions as F
+
+from assayer import RETAIL_CLEAN, RETAIL_CUSTOMERS, RETAIL_ORDERS, run_silver, split_silver, write_parquet
+from assayer.functions import date_parts
+from assayer.operators.consistency import conflicts
+from assayer.operators.duplicates import first_per_key, mark_duplicates, repeated_keys
+from assayer.operators.rollups import distinct_orders, roll_up_customers, roll_up_orders
+from assayer.sources.scratch import Scratch
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def many_lines(spark, n=30_000):
+    """A third of the rows are copies of one row, another sixth are null keys."""
+    i = F.col("id")
+    other = F.when(i % 3 != 0, i.cast("string"))
+    return spark.range(n, numPartitions=8).select(
+        F.when(i % 3 == 0, "7").when(i % 6 == 1, None).otherwise(other).alias("row_id"),
+        F.concat(F.lit("O-"), F.coalesce(other, F.lit("hot"))).alias("order_id"),
+        F.lit("08/11/2017").alias("order_date"),
+        F.lit("11/11/2017").alias("ship_date"),
+        F.lit("Second Class").alias("ship_mode"),
+        F.concat(F.lit("C-"), F.coalesce((i % 50).cast("string"), F.lit("hot"))).alias("customer_id"),
+        F.lit("Ada Lovelace").alias("customer_name"),
+        F.lit("Consumer").alias("segment"),
+        F.lit("US").alias("country"),
+        F.lit("Springfield").alias("city"),
+        F.lit("10.5").alias("sales"),
+    )
+
+
+def test_hot_key_with_identical_copies_keeps_exactly_one(spark):
+    n = 30_000
+    with Scratch(spark) as scratch:
+        lines = scratch.stage(many_lines(spark, n), "lines").drop("customer_id").withColumn("customer_id", F.lit("C"))
+        split = split_silver(lines, scratch=scratch)
+        reasons = {r[0]: r[1] for r in split.rejected.groupBy("_rejection_reason").count().collect()}
+        assert reasons == {"row_id is null": n // 6, "duplicate row_id": n // 3 - 1}
+        assert split.valid.count() == n - n // 6 - (n // 3 - 1)
+        assert split.valid.where("row_id = 7").count() == 1
+
+
+def test_no_copies_meet_in_one_task(spark):
+    """Ranking cuts every task to one row per key before the shuffle."""
+    ranked = plan(first_per_key(spark.range(10).selectExpr("id % 2 as k", "id as v"), "k", "v"))
+    before_shuffle = ranked.split("Exchange")[1]
+    assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
+
+
+def test_marking_has_no_window_and_reads_only_the_key_to_find_repeats(spark):
+    with Scratch(spark) as scratch:
+        lines = scratch.stage(many_lines(spark), "lines")
+        marked = plan(mark_duplicates(lines, "row_id", scratch=scratch))
+        assert "Window" not in marked and "SortMergeJoin" not in marked
+        schemas = re.findall(r"ReadSchema: (\S+)", plan(repeated_keys(lines, "row_id")))
+        assert schemas == ["struct<row_id:string>"]
+
+
+def test_large_key_sets_are_not_broadcast(spark):
+    """Beyond Spark's broadcast threshold the same marking runs as shuffled joins, with the same result."""
+    with Scratch(spark) as scratch:
+        lines = scratch.stage(many_lines(spark), "lines")
+        small = mark_duplicates(lines, "row_id", scratch=scratch)
+        threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            large = mark_duplicates(lines, "row_id", scratch=scratch)
+            assert "SortMergeJoin" in plan(large) and "Broadcast" not in plan(large)
+            same = large.groupBy("row_id", "_is_duplicate").count()
+            wanted = small.groupBy("row_id", "_is_duplicate").count()
+            assert same.exceptAll(wanted).isEmpty() and wanted.exceptAll(same).isEmpty()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_clean_input_needs_no_join(spark):
+    with Scratch(spark) as scratch:
+        lines = scratch.stage(many_lines(spark).where("row_id <> '7'"), "lines")
+        split = split_silver(lines, scratch=scratch)
+        assert "Join" not in plan(split.valid) and "Exchange" not in plan(split.valid)
+
+
+def test_silver_keeps_the_layout_of_bronze(spark, tmp_path):
+    """Few files per day although most keys are contested, and no shuffle of the others."""
+    day = F.date_add(F.lit("2018-01-01").cast("date"), (F.col("id") % 10).cast("int")).alias("d")
+    keys = ((F.col("id") / 2).cast("long") % 9000).cast("string")
+    lines = many_lines(spark).withColumn("id", F.monotonically_increasing_id()).select("*", day)
+    lines = lines.withColumns({"row_id": keys, "order_date": F.col("d"), "ship_date": F.col("d")}).drop("id", "d")
+    bronze, silver, rejected = (str(tmp_path / name) for name in ("bronze", "silver", "rejected"))
+    dated = lines.withColumns(date_parts(F.col("order_date"), "order"))
+    write_parquet(dated, bronze, RETAIL_CLEAN.partitions)
+    counts = run_silver(spark, bronze, silver, rejected, "r").counts
+    assert counts["output_row_count"] == 9000 and counts["duplicate_row_count"] == 21_000
+    files = [f for _, _, names in os.walk(silver) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 20
+
+
+def test_aggregations_are_partial_and_never_expand(spark):
+    with Scratch(spark) as scratch:
+        lines = scratch.stage(many_lines(spark).withColumn("order_date", F.to_date("order_date", "dd/MM/yyyy")), "l")
+        import datetime
+
+        end = datetime.date(2017, 11, 8)
+        plans = {
+            "conflicts": conflicts(lines, "order_id", list(RETAIL_ORDERS.attributes)),
+            "orders": roll_up_orders(lines, RETAIL_ORDERS),
+            "customers": roll_up_customers(lines, RETAIL_CUSTOMERS, end),
+            "distinct": distinct_orders(lines, "order_id", "order_date", end, 6),
+        }
+        for name, df in plans.items():
+            text = plan(df)
+            assert "Expand" not in text and "CartesianProduct" not in text and "NestedLoop" not in text, name
+            first_exchange = text.rsplit("Exchange hashpartitioning", 1)[1]
+            assert "Aggregate" in first_exchange, name
+        assert "SortAggregate" not in plan(plans["customers"])
+        assert "sales" not in plan(plans["customers"])
+
+
+def test_contract_prefix_names():
+    assert RETAIL_CLEAN.partitions == ["order_year", "order_month", "order_day"]
+    assert RETAIL_CUSTOMERS.partitions == ["snapshot_year", "snapshot_month", "snapshot_day"]
