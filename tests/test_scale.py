@@ -3,6 +3,7 @@
 import os
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from assayer import RETAIL_CLEAN, RETAIL_CUSTOMERS, RETAIL_ORDERS, run_silver, split_silver, write_parquet
@@ -87,8 +88,9 @@ def test_clean_input_needs_no_join(spark):
         assert "Join" not in plan(split.valid) and "Exchange" not in plan(split.valid)
 
 
-def test_silver_keeps_the_layout_of_bronze(spark, tmp_path):
-    """Few files per day although most keys are contested, and no shuffle of the others."""
+@pytest.mark.parametrize("gather_bytes, most_files", [(0, 20), (10**9, 10)])
+def test_silver_keeps_the_layout_of_bronze(spark, tmp_path, gather_bytes, most_files):
+    """Few files per day although most keys are contested."""
     day = F.date_add(F.lit("2018-01-01").cast("date"), (F.col("id") % 10).cast("int")).alias("d")
     keys = ((F.col("id") / 2).cast("long") % 9000).cast("string")
     lines = many_lines(spark).withColumn("id", F.monotonically_increasing_id()).select("*", day)
@@ -96,10 +98,10 @@ def test_silver_keeps_the_layout_of_bronze(spark, tmp_path):
     bronze, silver, rejected = (str(tmp_path / name) for name in ("bronze", "silver", "rejected"))
     dated = lines.withColumns(date_parts(F.col("order_date"), "order"))
     write_parquet(dated, bronze, RETAIL_CLEAN.partitions)
-    counts = run_silver(spark, bronze, silver, rejected, "r").counts
+    counts = run_silver(spark, bronze, silver, rejected, "r", gather_bytes=gather_bytes).counts
     assert counts["output_row_count"] == 9000 and counts["duplicate_row_count"] == 21_000
     files = [f for _, _, names in os.walk(silver) for f in names if f.endswith(".parquet")]
-    assert len(files) <= 20
+    assert len(files) <= most_files
 
 
 def test_aggregations_are_partial_and_never_expand(spark):
