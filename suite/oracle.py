@@ -45,11 +45,11 @@ def _parts(day: str, prefix: str) -> str:
     return ", ".join(f"CAST({part}({day}) AS INTEGER) AS {prefix}_{part}" for part in ("year", "month", "day"))
 
 
-def _landing(ship_by_order: bool = False, through_csv: bool = False) -> str:
+def _landing(ship_by_order: bool = False, through_csv: bool = False, by_month: bool = False) -> str:
     """Text columns of the landing file; a CSV has no empty strings, only nulls."""
-    ship = "CAST(o_orderdate AS DATE) + 5" if ship_by_order else "CAST(l_shipdate AS DATE)"
+    day = "CAST(date_trunc('month', o_orderdate) AS DATE)" if by_month else "CAST(o_orderdate AS DATE)"
+    ship = f"{day} + 5" if ship_by_order else "CAST(l_shipdate AS DATE)"
     key = "CAST(l_orderkey * 10 + l_linenumber AS VARCHAR)"
-    day = "CAST(o_orderdate AS DATE)"
     values = {
         "row_id": f"CASE l_quantity WHEN 1 THEN NULL WHEN 2 THEN 'R' || {key} WHEN 3 THEN {key} || '.0' ELSE {key} END",
         "order_id": "CASE l_quantity WHEN 4 THEN '  ' ELSE 'O-' || l_orderkey END",
@@ -72,10 +72,10 @@ def _landing(ship_by_order: bool = False, through_csv: bool = False) -> str:
     return f"landing AS (SELECT {columns} FROM {_JOINED})"
 
 
-def _upto_bronze(ship_by_order: bool = False, through_csv: bool = False) -> str:
+def _upto_bronze(ship_by_order: bool = False, through_csv: bool = False, by_month: bool = False) -> str:
     columns = ", ".join(f"{_date(c)} AS {c}" if c.endswith("_date") else c for c in _LANDING)
     return (
-        f"WITH {_landing(ship_by_order, through_csv)}, parsed AS (SELECT {columns}, order_date AS _raw_order_date,"
+        f"WITH {_landing(ship_by_order, through_csv, by_month)}, parsed AS (SELECT {columns}, order_date AS _raw_order_date,"
         f" ship_date AS _raw_ship_date FROM landing), bronze AS (SELECT *, {_parts('order_date', 'order')} FROM parsed)"
     )
 
@@ -101,10 +101,10 @@ _FINGERPRINT = (
 )
 
 
-def _upto_silver(ship_by_order: bool = False, through_csv: bool = False) -> str:
+def _upto_silver(ship_by_order: bool = False, through_csv: bool = False, by_month: bool = False) -> str:
     reason = ", ".join(f"CASE WHEN {test} THEN '{text}' END" for test, text in _RULES)
     return (
-        f"{_upto_bronze(ship_by_order, through_csv)}, {_prepared('(SELECT * FROM bronze WHERE order_date IS NOT NULL)')},"
+        f"{_upto_bronze(ship_by_order, through_csv, by_month)}, {_prepared('(SELECT * FROM bronze WHERE order_date IS NOT NULL)')},"
         f" ranked AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY {_FINGERPRINT}) AS copy FROM prepared),"
         f" evaluated AS (SELECT *, concat_ws('; ', {reason}) AS _rejection_reason FROM ranked),"
         " silver AS (SELECT * FROM evaluated WHERE _rejection_reason = ''),"
@@ -153,7 +153,7 @@ _CUSTOMER_CONFLICTS = _conflicts("customer_id", ["customer_name", "segment", "co
         CASE WHEN o_orderstatus <> 'P' THEN c_mktsegment END AS segment, n_name AS country FROM {_JOINED})"""
 )
 
-_LAYERS = _upto_silver(ship_by_order=True, through_csv=True)
+_LAYERS = _upto_silver(ship_by_order=True, through_csv=True, by_month=True)
 _COUNTS = f"""{_LAYERS}, c AS (SELECT (SELECT count(*) FROM landing) AS landed,
     (SELECT count(*) FROM bronze WHERE order_date IS NOT NULL) AS b, (SELECT count(*) FROM bronze WHERE order_date IS NULL) AS bq,
     (SELECT count(*) FROM silver) AS s, (SELECT count(*) FROM rejected) AS sq,
@@ -294,7 +294,7 @@ ORACLE: dict[str, str] = {
             WHEN 'silver_quarantine_rows' THEN '0' END AS expected FROM m)
         SELECT metric, actual, expected, actual = expected AS ok FROM e""",
     "run_events": f"{_COUNTS} {_events()}",
-    "daily_increments": f"""{_upto_silver(through_csv=True)} SELECT {_TYPED},
+    "daily_increments": f"""{_upto_silver(through_csv=True, by_month=True)} SELECT {_TYPED},
         CASE WHEN order_date < DATE '1995-07-01' THEN 'early' ELSE 'late' END AS _pipeline_run_id FROM silver""",
 }
 for _position, _name in enumerate(RULE_NAMES):

@@ -301,7 +301,7 @@ def published_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _run_layers(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """One run of all jobs per session; the queries below look at its outputs."""
     root = _fresh(spark)
-    write_csv(landing(spark, sf_dir, ship_by_order=True), f"{root}/landing")
+    write_csv(landing(spark, sf_dir, ship_by_order=True, by_month=True), f"{root}/landing")
     database = Publish("layers_" + root.rsplit("-", 1)[1], database_location=f"{root}/db")
     run_all(spark, f"{root}/landing", root, RUN_ID, publish=database)
     return {name: f"{root}/{folder}" for name, folder in FOLDERS.items()}
@@ -364,7 +364,7 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries, split at a day, the first of them loaded twice."""
     root = _fresh(spark)
-    raw, cut = landing(spark, sf_dir), datetime.date(1995, 7, 1)
+    raw, cut = landing(spark, sf_dir, by_month=True), datetime.date(1995, 7, 1)
     early = F.coalesce(parse_date(F.col("Order Date"), "dd/MM/yyyy") < F.lit(cut), F.lit(False))
     deliveries = {
         "early": (raw.where(early), (datetime.date(1900, 1, 1), datetime.date(1995, 6, 30))),
