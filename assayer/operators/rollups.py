@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Mapping
 from functools import reduce
 from operator import or_
 
@@ -103,9 +104,18 @@ def distinct_orders(
     lines: DataFrame,
     order_key: str,
     order_date: str,
-    end: datetime.date | Column,
-    months: int | None,
+    end: datetime.date,
+    windows: Mapping[str, int | None],
 ) -> DataFrame:
-    """One row: distinct orders of the whole table, in the trailing months or of all time."""
-    inside = lines if months is None else lines.where(trailing_months(col(order_date), end, months))
-    return inside.select(col(order_key)).distinct().agg(F.count(F.lit(1)).alias("orders"))
+    """One row: distinct orders of the whole table in each of the trailing windows.
+
+    An order is in a window when any of its rows is. One pass for all windows.
+    """
+
+    def inside(months: int | None) -> Column:
+        return F.lit(True) if months is None else trailing_months(col(order_date), end, months)
+
+    per_order = lines.groupBy(col(order_key)).agg(
+        *[F.bool_or(inside(months)).alias(name) for name, months in windows.items()]
+    )
+    return per_order.agg(*[F.count_if(col(name)).alias(name) for name in windows])

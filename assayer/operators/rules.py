@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,14 +25,18 @@ def failed_reasons(rules: Sequence[Rule]) -> Column:
     return F.concat_ws(REASON_SEPARATOR, *[F.when(rule.broken(), F.lit(rule.reason)) for rule in rules])
 
 
-def evaluate(
+def any_broken(rules: Sequence[Rule]) -> Column:
+    return reduce(or_, [F.coalesce(rule.broken(), F.lit(False)) for rule in rules])
+
+
+def split_clean(
     df: DataFrame,
     contract: CleanContract,
     payload: Sequence[str] | None = None,
     scratch: Scratch | None = None,
     gather: bool = False,
-) -> DataFrame:
-    """Prepared rows, each with its reason text (empty when nothing is wrong).
+) -> Split:
+    """Prepared rows that pass all rules, and the others with their reasons.
 
     Duplicates are ranked among all rows, before the other rules: when the kept
     row of a key breaks a rule, its copies are still rejected as duplicates.
@@ -40,22 +46,11 @@ def evaluate(
     by = contract.partitions if gather else ()
     marked = mark_duplicates(prepare(df, contract), contract.unique_key, payload, _DUPLICATE, scratch, by)
     rules = [*contract.rules, Rule(contract.duplicate_reason, lambda: col(_DUPLICATE))]
-    return marked.withColumn(REASON, failed_reasons(rules)).drop(_DUPLICATE)
-
-
-def split_evaluated(evaluated: DataFrame) -> Split:
-    good = col(REASON) == ""
-    return Split(valid=evaluated.where(good).drop(REASON), rejected=evaluated.where(~good))
-
-
-def split_clean(
-    df: DataFrame,
-    contract: CleanContract,
-    payload: Sequence[str] | None = None,
-    scratch: Scratch | None = None,
-    gather: bool = False,
-) -> Split:
-    return split_evaluated(evaluate(df, contract, payload, scratch, gather))
+    broken = any_broken(rules)
+    return Split(
+        valid=marked.where(~broken).drop(_DUPLICATE),
+        rejected=marked.where(broken).withColumn(REASON, failed_reasons(rules)).drop(_DUPLICATE),
+    )
 
 
 def rejection_profile(rejected: DataFrame) -> DataFrame:

@@ -124,6 +124,12 @@ def plain_customers(silver: DataFrame) -> None:
     )
 
 
+def plain_distinct_orders(silver: DataFrame, end) -> None:
+    for months in RETAIL_CUSTOMERS.windows.values():
+        inside = F.lit(True) if months is None else trailing_months(F.col("order_date"), end, months)
+        silver.where(inside).select("order_id").distinct().count()
+
+
 def gold(build: Callable[..., DataFrame], silver: DataFrame) -> None:
     with Scratch(silver.sparkSession) as scratch:
         consume(build(silver, scratch=scratch))
@@ -166,7 +172,7 @@ def main() -> None:
             "gold_sales": seconds(lambda: gold(to_gold_sales, silver)),
             "gold_customers": seconds(lambda: gold(to_gold_customers, silver)),
             "rolling_distinct_orders": seconds(
-                lambda: distinct_orders(silver, "order_id", "order_date", end, 6).collect()
+                lambda: distinct_orders(silver, "order_id", "order_date", end, RETAIL_CUSTOMERS.windows).collect()
             ),
             "partitioned_write": seconds(lambda: write_parquet(silver, folder(), DAY), 1, False),
             "all_layers": seconds(lambda: run_all(spark, csv, folder(), RUN_ID), 1, False),
@@ -177,6 +183,7 @@ def main() -> None:
             "order_conflicts": seconds(lambda: consume(plain_conflicts(silver))),
             "gold_sales": seconds(lambda: plain_sales(silver)),
             "gold_customers": seconds(lambda: plain_customers(silver)),
+            "rolling_distinct_orders": seconds(lambda: plain_distinct_orders(silver, end)),
             "partitioned_write": seconds(
                 lambda: silver.write.partitionBy(*DAY).parquet(folder()), 1, False
             ),

@@ -40,7 +40,7 @@ from assayer.operators.ingest import parse_dates
 from assayer.operators.rollups import distinct_orders, roll_up_customers, snapshot_date
 from assayer.operators.rules import count_rejected_for, rejection_profile
 from assayer.plans.jobs import FOLDERS
-from assayer.plans.metrics import as_metrics, layer_metrics, reconcile, row_count
+from assayer.plans.metrics import as_metrics, count_rows, layer_metrics, reconcile
 from assayer.sources.scratch import Scratch
 from suite.shape import RUN_ID, bronze, bronze_table, landing, lines, silver_table, stage, table
 
@@ -245,8 +245,7 @@ def rolling_distinct_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trailing order counts of the whole table."""
     rows = _customer_lines(spark, sf_dir)
     end = snapshot_date(rows, "order_date")
-    windows = RETAIL_CUSTOMERS.windows.items()
-    return as_metrics({n: distinct_orders(rows, "order_id", "order_date", end, m) for n, m in windows})
+    return as_metrics(distinct_orders(rows, "order_id", "order_date", end, RETAIL_CUSTOMERS.windows))
 
 
 # --- sources, sinks, jobs ----------------------------------------------------
@@ -334,7 +333,7 @@ def gold_csv_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = {name: read_parquet(spark, path) for name, path in _run_layers(spark, sf_dir).items() if "csv" not in name}
     counted = ("bronze", "bronze_quarantine", "silver", "silver_quarantine", "sales", "customers")
-    return as_metrics({name: row_count(at[name]) for name in counted})
+    return count_rows({name: at[name] for name in counted})
 
 
 def reconciled_layers(spark: SparkSession, sf_dir: str) -> DataFrame:

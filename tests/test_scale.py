@@ -114,7 +114,7 @@ def test_aggregations_are_partial_and_never_expand(spark):
             "conflicts": conflicts(lines, "order_id", list(RETAIL_ORDERS.attributes)),
             "orders": roll_up_orders(lines, RETAIL_ORDERS),
             "customers": roll_up_customers(lines, RETAIL_CUSTOMERS, end),
-            "distinct": distinct_orders(lines, "order_id", "order_date", end, 6),
+            "distinct": distinct_orders(lines, "order_id", "order_date", end, RETAIL_CUSTOMERS.windows),
         }
         for name, df in plans.items():
             text = plan(df)
