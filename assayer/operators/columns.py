@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+SOURCE_FILE = "_source_file"
+
+
 def col(name: str) -> Column:
     """A top-level column by its exact name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -32,9 +35,20 @@ def normalized_names(names: Iterable[str]) -> list[str]:
     return list(taken)
 
 
+def as_source_file(path: Column) -> Column:
+    """A column that a reader adds to name the file of each row; it is no source column."""
+    return path.alias(SOURCE_FILE, metadata={SOURCE_FILE: True})
+
+
+def has_source_file(df: DataFrame) -> bool:
+    return any(SOURCE_FILE in field.metadata for field in df.schema.fields)
+
+
 def normalize_columns(df: DataFrame) -> DataFrame:
-    """Rename all columns, keep all of them; by position, so duplicates are safe."""
-    return df.toDF(*normalized_names(df.columns))
+    """Rename all source columns, keep all of them; by position, so duplicates are safe."""
+    source = [field.name for field in df.schema.fields if SOURCE_FILE not in field.metadata]
+    names = iter(normalized_names(source))
+    return df.toDF(*[f.name if SOURCE_FILE in f.metadata else next(names) for f in df.schema.fields])
 
 
 def require_columns(df: DataFrame, required: Iterable[str]) -> None:

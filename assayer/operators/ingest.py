@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from assayer.contracts import IngestContract
 from assayer.functions import date_parts, parse_date
-from assayer.operators.columns import col, require_columns
+from assayer.operators.columns import SOURCE_FILE, col, has_source_file, require_columns
 from assayer.operators.split import REASON, Split
 
 
@@ -27,13 +27,13 @@ def stamp_lineage(df: DataFrame, run_id: str, ingested_at: datetime.datetime | N
     The time is fixed when the plan is made, so all outputs of a run carry the same one.
     """
     moment = ingested_at or datetime.datetime.now(datetime.timezone.utc)
-    return df.withColumns(
-        {
-            "_ingestion_timestamp": F.lit(moment),
-            "_source_file": F.input_file_name(),
-            "_pipeline_run_id": F.lit(run_id),
-        }
-    )
+    stamps = {
+        "_ingestion_timestamp": F.lit(moment),
+        SOURCE_FILE: col(SOURCE_FILE) if has_source_file(df) else F.input_file_name(),
+        "_pipeline_run_id": F.lit(run_id),
+    }
+    source = [col(name) for name in df.columns if name not in stamps]
+    return df.select(*source, *[stamp.alias(name) for name, stamp in stamps.items()])
 
 
 def add_date_parts(df: DataFrame, date_column: str, prefix: str) -> DataFrame:

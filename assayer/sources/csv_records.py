@@ -1,0 +1,118 @@
+"""Records of large CSV files with line breaks inside quotes, without a task per file.
+
+Spark splits text files into blocks. Inside a block the lines are in order, and a line
+begins outside quotes when the number of quotes before it in its file is even. So each
+block is numbered on its own, for both states it may begin in, and one row per block is
+enough to tell which of them holds.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from assayer.operators.columns import as_source_file
+from assayer.sources.scratch import Scratch
+
+# Fields are free of quotes and line breaks, or one closed quoted text. Possessive, so
+# long texts cost no recursion.
+_FIELD = r'(?:"(?:[^"]++|"")*+"|[^",\r\n]*+)'
+COMPLETE_RECORD = rf"^{_FIELD}(?:,{_FIELD})*+\z"
+
+# More lines than this in one record point to a stray quote, not to a text.
+_MOST_LINES = 10_000
+
+_RECORD = ["file", "at_block", "at_line"]
+
+
+def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with the quotes before them in their block, and the lines there that begin after an even number."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("n"),
+        "value",
+        ((F.length("value") - F.length(F.translate("value", '"', ""))) % 2).alias("quotes"),
+    )
+    so_far = Window.partitionBy("file", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    lines = lines.withColumn("before", (F.sum("quotes").over(so_far) - F.col("quotes")) % 2)
+    even = F.sum(1 - F.col("before")).over(so_far)
+    return lines.withColumns({"even": even, "uneven": F.count(F.lit(1)).over(so_far) - even})
+
+
+def _block_states(lines: DataFrame) -> DataFrame:
+    """For each block: does it begin inside quotes, which record is then still open, and
+    does the first line of its file end in CR LF, as then Spark reads each CR LF as LF."""
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2
+    begun = F.when(F.col("inside") == 0, F.col("even")).otherwise(F.col("uneven"))
+    some = F.col("begun") > 0
+    headers = lines.where("block = 0").groupBy("file").agg(F.min_by("value", "n").alias("header"))
+    return (
+        lines.groupBy("file", "block")
+        .agg(F.sum("quotes").alias("quotes"), F.max("even").alias("even"), F.max("uneven").alias("uneven"))
+        .withColumn("inside", inside)
+        .withColumn("begun", begun)
+        .join(headers, "file")
+        .select(
+            "file", "block", "inside", F.col("header").endswith("\r").alias("cr_lf"),
+            F.last(F.when(some, F.col("block")), ignorenulls=True).over(earlier).alias("open_block"),
+            F.last(F.when(some, F.col("begun")), ignorenulls=True).over(earlier).alias("open_line"),
+        )
+    )
+
+
+def _as_read(text: Column) -> Column:
+    """A record the way Spark reads it from a file with CR LF line ends."""
+    return F.replace(F.regexp_replace(text, r"\r\z", ""), F.lit("\r\n"), F.lit("\n"))
+
+
+def _records(lines: DataFrame, states: DataFrame) -> DataFrame | None:
+    """One row per record with its place; None when quotes are not used as the dialect says."""
+    number = F.when(F.col("inside") == 0, F.col("even")).otherwise(F.col("uneven"))
+    placed = lines.join(states, ["file", "block"]).select(
+        "file",
+        F.when(number > 0, F.col("block")).otherwise(F.col("open_block")).alias("at_block"),
+        F.when(number > 0, number).otherwise(F.col("open_line")).alias("at_line"),
+        "block", "n", "value", "cr_lf",
+        (((F.col("before") + F.col("inside")) % 2 == 0) & (F.col("quotes") == 0)).alias("whole"),
+    )
+    parts = placed.where(~F.col("whole"))
+    longest = parts.groupBy(*_RECORD).count().agg(F.max("count")).first()[0] or 0
+    if longest > _MOST_LINES:
+        return None
+    in_order = F.array_sort(F.collect_list(F.struct("block", "n", "value")))
+    joined = parts.groupBy(*_RECORD, "cr_lf").agg(F.array_join(in_order["value"], "\n").alias("value"))
+    whole = placed.where("whole").select(*_RECORD, "cr_lf", "value")
+    text = F.col("value")
+    return whole.union(joined).select(*_RECORD, F.when(F.col("cr_lf"), _as_read(text)).otherwise(text).alias("record"))
+
+
+def read_split_records(
+    spark: SparkSession, path: str, dialect: dict[str, str], scratch: Scratch | None = None
+) -> DataFrame | None:
+    """The CSV as text columns, or None when a record is not well-formed.
+
+    As the rows have left their files, they carry the file's name.
+    """
+    scratch = scratch or Scratch(spark)
+    lines = scratch.stage(_numbered_lines(spark, path), "csv-lines")
+    records = _records(lines, scratch.stage(_block_states(lines), "csv-blocks"))
+    if records is None:
+        return None
+    records = scratch.stage(records, "csv-records")
+    header = (F.col("at_block") == 0) & (F.col("at_line") == 1)
+    broken_header = header & F.col("record").rlike(r"[\r\n]")
+    if not records.where(broken_header | ~F.col("record").rlike(COMPLETE_RECORD)).isEmpty():
+        return None
+
+    columns = spark.read.options(**dialect, multiLine=True).csv(path).columns
+    names = [f"c{i}" for i in range(len(columns))]
+    options = {k: v for k, v in dialect.items() if k != "header"} | {"multiLine": "true"}
+    fields = F.from_csv("record", ", ".join(f"{name} STRING" for name in names), options)
+    rows = records.where(~header & (F.col("record") != "")).select("file", fields.alias("row"))
+    return rows.select(
+        *[F.col(f"row.{name}").alias(column) for name, column in zip(names, columns)],
+        as_source_file(F.col("file")),
+    )

@@ -13,15 +13,12 @@ from pyspark.sql.types import StructType
 
 from assayer.contracts import date_part_names
 from assayer.operators.columns import col
+from assayer.sources.csv_records import COMPLETE_RECORD, read_split_records
+from assayer.sources.scratch import Scratch
 from assayer.sources.sizing import write_tasks
 
 SaveMode = Literal["overwrite", "append", "overwrite_partitions"]
 
-# A line that is a complete CSV record on its own: every field is either free of
-# quotes or one closed quoted text. Possessive, so long lines cost no recursion.
-_FIELD = r'(?:"(?:[^"]++|"")*+"|[^",]*+)'
-_SELF_CONTAINED = rf"^{_FIELD}(?:,{_FIELD})*+$"
-
 # Files up to this size are read in one task without looking for a better way.
 _ONE_TASK_BYTES = 512 * 1024 * 1024
 
@@ -41,7 +38,7 @@ def largest_file(spark: SparkSession, path: str) -> int:
 def lines_stand_alone(spark: SparkSession, path: str) -> bool:
     """True when no line of the CSV can be part of a longer record. One parallel scan."""
     lines = spark.read.text(path)
-    return lines.where(~F.col("value").rlike(_SELF_CONTAINED)).isEmpty()
+    return lines.where(~F.col("value").rlike(COMPLETE_RECORD)).isEmpty()
 
 
 def read_csv(
@@ -49,16 +46,26 @@ def read_csv(
     path: str,
     multi_line: bool | None = None,
     one_task_bytes: int = _ONE_TASK_BYTES,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """Headered CSV file or folder, all columns as text; quotes are doubled inside quotes.
 
     Records with line breaks inside quotes need ``multi_line``, but that gives each
-    file to a single task. By default it is used for files small enough for one task;
-    with larger files, all lines are checked first, and when each is a record of its
-    own the files are split, with the same result.
+    file to a single task. By default it is used for files small enough for one task.
+    With larger files, all lines are checked first: when each is a record of its own
+    the files are simply split, otherwise the lines are put together to records by
+    many tasks. The result is the same (where a file mixes CR LF and LF line ends, the
+    ways for large files take both as line ends). Only large files whose quotes do not
+    follow the dialect, so that quotes do not tell the records, are left to one task.
     """
+    if multi_line is None and largest_file(spark, path) <= one_task_bytes:
+        multi_line = True
     if multi_line is None:
-        multi_line = largest_file(spark, path) <= one_task_bytes or not lines_stand_alone(spark, path)
+        multi_line = not lines_stand_alone(spark, path)
+        if multi_line:
+            records = read_split_records(spark, path, CSV_DIALECT, scratch)
+            if records is not None:
+                return records
     return spark.read.options(**CSV_DIALECT, multiLine=multi_line).csv(path)
 
 

@@ -258,6 +258,7 @@ ORACLE: dict[str, str] = {
     + _metrics({"orders_last_month": "o1", "orders_last_6_months": "o6", "orders_all_time": "o"}),
     "csv_round_trip": f"WITH {_landing(through_csv=True)} SELECT * FROM landing",
     "csv_text_round_trip": "SELECT doc_id, lang, nullif(text, '') AS text FROM documents",
+    "csv_text_put_together": "SELECT doc_id, lang, nullif(text, '') AS text FROM documents",
     "partitioned_round_trip": f"{_upto_bronze()} SELECT {_TYPED} FROM bronze WHERE order_date IS NOT NULL",
     "days_read_from_partitions": f"{_upto_bronze()} SELECT {_TYPED} FROM bronze WHERE order_date BETWEEN {_WEEK}",
     "partitions_overwritten": f"""{_upto_bronze()} SELECT * REPLACE

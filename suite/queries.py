@@ -257,14 +257,19 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_columns(read_csv(spark, path))
 
 
-def csv_text_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+def csv_text_round_trip(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
     """Whole documents with their line breaks, commas and quotes."""
     path = _fresh(spark)
     write_csv(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), path)
-    read = read_csv(spark, path)
+    read = read_csv(spark, path, **options)
     return read.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
 
 
+def csv_text_put_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, read the way a file too large for one task is."""
+    return csv_text_round_trip(spark, sf_dir, one_task_bytes=0)
+
+
 def partitioned_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _fresh(spark)
     write_parquet(split_bronze(bronze(spark, sf_dir)).valid, path, _DAY)
@@ -419,6 +424,7 @@ QUERIES: dict[str, Query] = {
         rolling_distinct_orders,
         csv_round_trip,
         csv_text_round_trip,
+        csv_text_put_together,
         partitioned_round_trip,
         days_read_from_partitions,
         partitions_overwritten,

@@ -1,10 +1,11 @@
 import datetime
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from assayer import between_days, publish_table, read_csv, read_parquet, write_csv, write_parquet
+from assayer import between_days, publish_table, read_csv, read_parquet, to_bronze, write_csv, write_parquet
 from assayer.sources.files import largest_file, lines_stand_alone
 from assayer.sources.scratch import Scratch, scratch_root
 from assayer.sources.sizing import shuffle_tasks, sized_shuffles
@@ -85,10 +86,54 @@ def test_large_plain_csv_is_split_and_equal(spark, tmp_path):
     assert split.exceptAll(whole).isEmpty() and whole.exceptAll(split).isEmpty()
 
 
-def test_large_csv_with_line_breaks_in_quotes_stays_whole(spark, tmp_path):
-    path = put(tmp_path / "in", "a.csv", "a,b\n" + '1,"x\ny"\n' * 1000)
-    df = read_csv(spark, path, one_task_bytes=100)
-    assert df.count() == 1000 and df.first()["b"] == "x\ny"
+def same_rows(a, b):
+    return a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+@pytest.fixture
+def small_blocks(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    yield lambda size: [spark.conf.set(name, str(size)) for name in names]
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("block", [64, 1000, 20_000])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_large_csv_with_line_breaks_in_quotes_is_put_together(spark, tmp_path, small_blocks, block, end):
+    """Records over several lines and blocks, escaped quotes, short rows, empty lines."""
+    rng = random.Random(block)
+    pieces = ["a", "é", ",", end, '""', " ", "long text " * 5, f"x{end}y", "1,2"]
+
+    def field():
+        if rng.random() < 0.4:
+            return '"' + "".join(rng.choices(pieces, k=rng.randint(0, 12))) + '"'
+        return rng.choice(["", "7", "plain", " padded "])
+
+    def body(n, tag):
+        rows = [",".join([f"{tag}{i}", *(field() for _ in range(rng.randint(0, 3)))]) for i in range(n)]
+        return end.join(["Row ID,Text,Row ID,", *rows, "", "last"]) + rng.choice(["", end])
+
+    size = 120 if block < 1000 else 800
+    path = put(tmp_path / "in", "a.csv", body(size, "a"))
+    put(tmp_path / "in", "b.csv", body(size // 4, "b"))
+    put(tmp_path / "in", "c.csv", "Row ID,Text,Row ID," + end)
+    whole = read_csv(spark, path, multi_line=True)
+    small_blocks(block)
+    records = read_csv(spark, path, one_task_bytes=0)
+    assert records.columns[-1] == "_source_file"
+    assert same_rows(records.drop("_source_file"), whole)
+    bronze = to_bronze(records.withColumnsRenamed({"Text": "Order Date", "_c3": "Ship Date"}), "r")
+    assert bronze.columns[-5:] == ["_source_file", "_pipeline_run_id", "order_year", "order_month", "order_day"]
+    files = {r[0].rsplit("/", 1)[1]: r[1] for r in bronze.groupBy("_source_file").count().collect()}
+    assert files == {"a.csv": size + 1, "b.csv": size // 4 + 1}
+
+
+@pytest.mark.parametrize("stray", ['1,5" pipe\n2,"x\ny"\n', '1,"open\n2,x\n', '1,"x"y\n2,"x\ny"\n'])
+def test_large_csv_with_stray_quotes_is_left_to_spark(spark, tmp_path, stray):
+    path = put(tmp_path / "in", "a.csv", "a,b\n" + stray)
+    assert same_rows(read_csv(spark, path, one_task_bytes=0), read_csv(spark, path, multi_line=True))
 
 
 def test_csv_copy_round_trip(spark, tmp_path):
