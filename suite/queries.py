@@ -42,7 +42,7 @@ from assayer.operators.rules import count_rejected_for, rejection_profile
 from assayer.plans.jobs import FOLDERS
 from assayer.plans.metrics import as_metrics, count_rows, layer_metrics, reconcile
 from assayer.sources.scratch import Scratch
-from suite.shape import RUN_ID, bronze, bronze_table, landing, lines, silver_table, stage, table
+from suite.shape import RUN_ID, bronze, bronze_table, landing, lines, silver_table, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
