@@ -2,32 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; on a cluster it must be set, and shared."""
+    """The session's checkpoint folder. Without one, a local session uses a folder of its warehouse;
+    on a cluster it must be set, and shared."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
-        return root
+        return root.rstrip("/")
     if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="assayer-")
+        return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
 
 
 class Scratch:
     """A folder of its own for intermediate tables.
 
-    As a context manager it removes the folder at the end. Used plainly, the tables
-    stay, since the DataFrames handed out read them lazily.
+    As a context manager it removes the folder at the end. Used plainly, the tables stay
+    while the application runs, since the DataFrames handed out read them lazily, and are
+    deleted when it ends.
     """
 
     def __init__(self, spark: SparkSession) -> None:
         self._spark = spark
-        self.path = f"{scratch_root(spark).rstrip('/')}/assayer-{uuid.uuid4().hex}"
+        self._tables: dict[int, tuple[DataFrame, str]] = {}
+        self.path = f"{scratch_root(spark)}/assayer-{uuid.uuid4().hex}"
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return a DataFrame that reads it back.
@@ -37,13 +39,31 @@ class Scratch:
         """
         path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(path)
-        return self._spark.read.schema(df.schema).parquet(path)
+        self.keep_until_exit()
+        table = self._spark.read.schema(df.schema).parquet(path)
+        self._tables[id(table)] = table, path
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete staged tables that are not read any more."""
+        for table in tables:
+            self._delete(self._tables.pop(id(table))[1])
+
+    def keep_until_exit(self) -> None:
+        """Have the file system delete the folder, once it exists, when the application ends."""
+        folder, files = self._folder(self.path)
+        files.deleteOnExit(folder)
+
+    def _folder(self, path: str):
+        folder = self._spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return folder, folder.getFileSystem(self._spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _delete(self, path: str) -> None:
+        folder, files = self._folder(path)
+        files.delete(folder, True)
 
     def __enter__(self) -> Scratch:
         return self
 
     def __exit__(self, *exc: object) -> None:
-        jvm = self._spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        conf = self._spark.sparkContext._jsc.hadoopConfiguration()
-        folder.getFileSystem(conf).delete(folder, True)
+        self._delete(self.path)
