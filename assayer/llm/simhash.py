@@ -69,10 +69,9 @@ def links(codes: DataFrame, max_bits: int = 2) -> DataFrame:
     if not 0 <= max_bits <= 2:
         raise ValueError("max_bits must be 0, 1 or 2: balls of radius 1 prove no more")
     code = F.col("code")
-    flips = [F.lit(0)] + [
-        F.shiftleft(F.lit(1).cast("long"), F.lit(bit)) for low, high in SEGMENTS for bit in range(low, high)
-    ]
-    points = codes.select("code", F.explode(F.array(*[code.bitwiseXOR(f.cast("long")) for f in flips])).alias("point"))
+    bits = [1 << bit for low, high in SEGMENTS for bit in range(low, high)]
+    flips = [F.lit(b - (1 << BITS) if b >> (BITS - 1) else b).cast("long") for b in [0, *bits]]
+    points = codes.select("code", F.explode(F.array(*[code.bitwiseXOR(flip) for flip in flips])).alias("point"))
     least = F.min("code").over(Window.partitionBy("point"))
     met = points.withColumn("least", least).where("code > least")
     if max_bits == 1:  # only a code's own point proves one bit
