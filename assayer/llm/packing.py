@@ -13,8 +13,10 @@ the partition; the positions of whole partitions come from one small table.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
@@ -35,33 +37,50 @@ _APART = re.compile(r"(?<=\S) | (?=\S)")
 
 class WordCache(dict):
     """Ids by stretch of text, as bytes. Byte-level BPE never joins across a space that follows
-    another character than white space, so each stretch with its space can be encoded alone."""
+    another character than white space, so each stretch with its space can be encoded alone.
+
+    A full cache becomes the old one, from which what is met again is taken over."""
 
     def __init__(self, tokenizer_json: str) -> None:
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on every core
+        self.old: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
 
     def _whole(self, texts: list[str]) -> list[bytes]:
+        kind = {2: "H", 4: "I"}[self.dtype.itemsize]
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
+        return [array(kind, e.ids).tobytes() for e in encoded]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut: list[list[str] | None] = []
+        if len(self) > MOST_CACHED:
+            self.old = dict(self)
+            self.clear()
+        found: list[list[bytes | None]] = []
+        gaps: list[list[tuple[int, str]]] = []
+        firsts: list[str] = []
+        get = self.get
         for text in texts:
             if any(s in text for s in self.special):
-                cut.append(None)
+                parts = [text]
             else:
-                cut.append(_APART.split(text) if _IN_RUN.search(text) else text.split(" "))
-        if len(self) > MOST_CACHED:
-            self.clear()
-        missing = list(set().union(*(parts[1:] for parts in cut if parts)).difference(self))
-        self.update(zip(missing, self._whole([" " + part for part in missing])))
-        firsts = iter(self._whole([parts[0] if parts else text for text, parts in zip(texts, cut)]))
-        get = self.__getitem__
-        return [next(firsts) + b"".join(map(get, parts[1:])) if parts else next(firsts) for parts in cut]
+                parts = _APART.split(text) if _IN_RUN.search(text) else text.split(" ")
+            firsts.append(parts[0])
+            parts[0] = ""
+            found.append(list(map(get, parts)))
+            gaps.append([(i, parts[i]) for i, ids in enumerate(found[-1]) if ids is None and i])
+        missing, old = {part for places in gaps for _, part in places}, self.old
+        self.update((part, old[part]) for part in missing if part in old)
+        new = [part for part in missing if part not in old]
+        self.update(zip(new, self._whole([" " + part for part in new])))
+        for ids, places, first in zip(found, gaps, self._whole(firsts)):
+            ids[0] = first
+            for i, part in places:
+                ids[i] = self[part]
+        return list(map(b"".join, found))
 
 
 _caches: dict[int, WordCache] = {}
