@@ -31,6 +31,9 @@ KNOWN = 200_000  # words whose counts go to every task; the others are looked up
 LONGEST = 256  # bytes of a word that may be among them
 FACTORS = 16
 NOISE = 8
+SHARED = 128  # noise tokens drawn for a batch
+BATCH = 1024
+MOST_WEIGHT = 4  # a row that stands for more occurrences is split
 SAMPLE = 400  # texts of the start
 _END = b""
 _COUNTED = 1_000_000
@@ -50,6 +53,7 @@ class Model:
     mixers: np.ndarray
     targets: np.ndarray
     bias: np.ndarray
+    squares: np.ndarray  # of past slopes, which Adagrad divides by
 
     def number(self, words: list[bytes]) -> np.ndarray:
         get = self.tokens.get
@@ -65,59 +69,74 @@ class Model:
         return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
 
     def train(self, triples: np.ndarray, weights: np.ndarray, rng: np.random.Generator, rate: float = 0.1) -> None:
-        """One pass of noise-contrastive estimation over weighted (first, second, token) rows."""
-        log_noise = np.log(NOISE * self.noise)
-        squares = [np.full(p.shape, 1e-2, np.float32) for p in (self.vectors, self.mixers, self.targets, self.bias)]
-        order = rng.permutation(len(triples))
-        for start in range(0, len(order), 2048):
-            part = order[start : start + 2048]
+        """One pass of noise-contrastive estimation over weighted (first, second, token) rows, by Adagrad."""
+        log_noise = np.log(NOISE * self.noise).astype(np.float32)
+        # The noise of a batch is shared by its rows, so that it takes one matrix product.
+        scale = np.float32(NOISE / SHARED)
+        own = (self.vectors, self.mixers, self.targets, self.bias)
+        squares = self._parts(self.squares)  # views, so that later calls go on from here
+        order = np.repeat(np.arange(len(triples)), np.ceil(weights / MOST_WEIGHT).astype(np.int64))
+        weights = (weights / np.ceil(weights / MOST_WEIGHT)).astype(np.float32)
+        order = rng.permutation(order)
+        for start in range(0, len(order), BATCH):
+            part = order[start : start + BATCH]
             first, second, token = triples[part].T
-            weight = (weights[part] / weights[part].mean()).astype(np.float32)
-            # The noise of a batch is shared by its rows, so that it takes one matrix product.
-            drawn = rng.choice(len(self.noise), 16 * NOISE, p=self.noise)
-            scale = np.float32(1 / 16)
+            weight = weights[part] / weights[part].sum()
+            drawn = rng.choice(len(self.noise), SHARED, p=self.noise)
             mixed = self.predicted(first, second)
-            own = (mixed * self.targets[token]).sum(axis=1) + self.bias[token]
+            score = np.einsum("ij,ij->i", mixed, self.targets[token]) + self.bias[token]
             other = mixed @ self.targets[drawn].T + self.bias[drawn]
             # The logit of "from the corpus" is the score less that of NOISE draws.
-            pull = (_sigmoid(own - log_noise[token]) - 1) * weight
+            pull = (_sigmoid(score - log_noise[token]) - 1) * weight
             push = _sigmoid(other - log_noise[drawn]) * (weight * scale)[:, None]
             to_mixed = pull[:, None] * self.targets[token] + push @ self.targets[drawn]
-            slopes = [np.zeros_like(p) for p in (self.vectors, self.mixers, self.targets, self.bias)]
-            np.add.at(slopes[0], first, to_mixed @ self.mixers[0].T)
-            np.add.at(slopes[0], second, to_mixed @ self.mixers[1].T)
-            slopes[1][0] = self.vectors[first].T @ to_mixed
-            slopes[1][1] = self.vectors[second].T @ to_mixed
-            np.add.at(slopes[2], token, pull[:, None] * mixed)
-            np.add.at(slopes[2], drawn, push.T @ mixed)
-            np.add.at(slopes[3], token, pull)
-            np.add.at(slopes[3], drawn, push.sum(axis=0))
-            for values, slope, square in zip((self.vectors, self.mixers, self.targets, self.bias), slopes, squares):
-                slope /= len(part)
+            slopes = [
+                _summed(first, to_mixed @ self.mixers[0].T, self.vectors)
+                + _summed(second, to_mixed @ self.mixers[1].T, self.vectors),
+                np.stack([self.vectors[first].T @ to_mixed, self.vectors[second].T @ to_mixed]),
+                _summed(token, pull[:, None] * mixed, self.targets) + _summed(drawn, push.T @ mixed, self.targets),
+                _summed(token, pull[:, None], self.bias[:, None])[:, 0]
+                + _summed(drawn, push.sum(axis=0)[:, None], self.bias[:, None])[:, 0],
+            ]
+            for values, slope, square in zip(own, slopes, squares):
                 square += slope**2
                 values -= np.float32(rate) * slope / np.sqrt(square)
 
     def parameters(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in (self.vectors, self.mixers, self.targets, self.bias)])
 
-    def with_parameters(self, flat: np.ndarray) -> Model:
+    def _parts(self, flat: np.ndarray) -> list[np.ndarray]:
         shapes = [p.shape for p in (self.vectors, self.mixers, self.targets, self.bias)]
         cuts = np.cumsum([int(np.prod(s)) for s in shapes])[:-1]
-        parts = [p.reshape(s).astype(np.float32) for p, s in zip(np.split(flat, cuts), shapes)]
-        return Model(self.tokens, self.noise, *parts)
+        return [p.reshape(s) for p, s in zip(np.split(flat, cuts), shapes)]
+
+    def with_parameters(self, flat: np.ndarray, squares: np.ndarray) -> Model:
+        """A model of its own with these numbers."""
+        return Model(self.tokens, self.noise, *self._parts(flat.astype(np.float32)), squares.astype(np.float32))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _summed(places: np.ndarray, parts: np.ndarray, like: np.ndarray) -> np.ndarray:
+    """Rows of ``parts`` summed by place, in the shape of ``like``."""
+    out = np.zeros_like(like)
+    order = np.argsort(places, kind="stable")
+    distinct, starts = np.unique(places[order], return_index=True)
+    out[distinct] = np.add.reduceat(parts[order], starts, axis=0)
+    return out
+
+
 def start(tokens: dict[bytes, int], counts: np.ndarray, factors: int = FACTORS) -> Model:
     """Small random vectors, and the unigram distribution as bias."""
     rng, n = np.random.default_rng(3), len(counts)
     noise = (counts + 0.1) / (counts + 0.1).sum()
     vectors, targets = rng.normal(0, 0.1, (2, n, factors)).astype(np.float32)
     mixers = np.stack([np.eye(factors, dtype=np.float32)] * 2) * np.float32(0.5)
-    return Model(tokens, noise, vectors, mixers, targets, np.log(noise).astype(np.float32))
+    bias = np.log(noise).astype(np.float32)
+    size = vectors.size + mixers.size + targets.size + bias.size
+    return Model(tokens, noise, vectors, mixers, targets, bias, np.full(size, 1e-6, np.float32))
 
 
 def triples(numbered: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -178,16 +197,17 @@ def frequent(counts: DataFrame, most: int, longest: int) -> dict[bytes, int]:
 def fit(texts: DataFrame, model: Model, sample: int) -> Model:
     """Noise-contrastive estimation over ``texts(doc_id, text)``, from a start on ``sample`` texts."""
     first = texts.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    model = averaged(first, model, (0.2, 0.1, 0.05))
+    model = averaged(first, model, (0.1, 0.1, 0.05))
     return averaged(texts, model, (0.05,))
 
 
 def averaged(texts: DataFrame, model: Model, rates: tuple[float, ...]) -> Model:
-    """Each partition trains a copy of the model on its texts, block by block; the mean by tokens."""
+    """Each partition trains a copy of the model on its texts, block by block; the mean by tokens, of the
+    parameters and of Adagrad's squares."""
     shared, size = texts.sparkSession.sparkContext.broadcast(model), len(model.noise)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value.with_parameters(shared.value.parameters().copy())
+        own = shared.value.with_parameters(shared.value.parameters(), shared.value.squares)
         held: list[np.ndarray] = []
         tokens = waiting = 0
         rng = np.random.default_rng(17)
@@ -212,7 +232,7 @@ def averaged(texts: DataFrame, model: Model, rates: tuple[float, ...]) -> Model:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([tokens], pa.float64()),
-                    pa.array([own.parameters().astype(np.float64) * tokens], pa.list_(pa.float64())),
+                    pa.array([np.concatenate([own.parameters(), own.squares]) * float(tokens)], pa.list_(pa.float64())),
                 ],
                 ["tokens", "summed"],
             )
@@ -221,7 +241,7 @@ def averaged(texts: DataFrame, model: Model, rates: tuple[float, ...]) -> Model:
     total = trained.select("tokens", F.posexplode("summed").alias("place", "value"))
     total = total.groupBy("place").agg((F.sum("value") / F.sum("tokens")).alias("value")).orderBy("place")
     found = total.toArrow().column("value").to_numpy()
-    return model.with_parameters(found) if len(found) else model
+    return model.with_parameters(*np.split(found, 2)) if len(found) else model
 
 
 # --- scoring -------------------------------------------------------------------------

@@ -139,16 +139,16 @@ _DECONTAMINATION = f"""
 WITH docs AS (SELECT doc_id, {_words("coalesce(text, '')")} AS w FROM documents),
 items AS (SELECT item_id, {_words("coalesce(text, '')")} AS w FROM benchmark),
 windows AS (
-    SELECT DISTINCT item_id, size, array_to_string(w[i : i + size - 1], ' ') AS window
+    SELECT DISTINCT item_id, size, array_to_string(w[i : i + size - 1], ' ') AS passage
     FROM (SELECT item_id, w, least(10, len(w)) AS size, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
           FROM items WHERE len(w) > 0)
 ),
 places AS (
-    SELECT doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') AS window
+    SELECT doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') AS passage
     FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
           FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)
 ),
-hits AS (SELECT doc_id, i, size, item_id FROM places JOIN windows USING (size, window)),
+hits AS (SELECT doc_id, i, size, item_id FROM places JOIN windows USING (size, passage)),
 found AS (
     SELECT doc_id, count(DISTINCT item_id) AS n_items,
            string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items

@@ -1,0 +1,50 @@
+from __future__ import annotations
+
+import duckdb
+import pytest
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+SF_DIR = "/root/testdata/sf0.001"
+
+DOCUMENTS = StructType(
+    [
+        StructField("doc_id", LongType()),
+        StructField("text", StringType()),
+        StructField("lang", StringType()),
+        StructField("source", StringType()),
+        StructField("n_chars", LongType()),
+        # Names that operators use themselves, and one that differs in case only.
+        StructField("score", StringType()),
+        StructField("row", StringType()),
+        StructField("_spans", StringType()),
+        StructField("TEXT", StringType()),
+    ]
+)
+
+
+@pytest.fixture
+def documents(spark):
+    """Documents from (id, text) or (id, text, lang, source), with columns whose names clash."""
+
+    def build(rows):
+        full = []
+        for row in rows:
+            doc_id, text, lang, source = (*row, None, None)[:4]
+            full.append((doc_id, text, lang, source, len(text or ""), "x", "y", "z", "other"))
+        return spark.createDataFrame(full, DOCUMENTS)
+
+    return build
+
+
+@pytest.fixture
+def duck():
+    """The given tables as views, and the rows of a statement over them."""
+    connection = duckdb.connect()
+    for name in ("documents", "embeddings", "pages", "benchmark", "labels"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
+    yield connection
+    connection.close()
+
+
+def found(frame, *names):
+    return sorted((tuple(r) for r in frame.select(*names).collect()), key=repr)

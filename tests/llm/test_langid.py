@@ -1,0 +1,67 @@
+import numpy as np
+
+from assayer.llm.langid import BUCKETS, codewords, features, fit, identify_languages
+from assayer.llm.queries import QUERIES
+
+
+def test_codewords_stay_apart():
+    words = codewords(12, 17)
+    distances = [(a != b).sum() for i, a in enumerate(words) for b in words[:i]]
+    assert min(distances) >= 4
+
+
+def test_wrong_bits_are_corrected():
+    rng = np.random.default_rng(1)
+    centres = rng.random((3, BUCKETS)).astype(np.float32)
+    x = np.repeat(centres, 30, axis=0) + rng.normal(0, 0.05, (90, BUCKETS)).astype(np.float32)
+    model = fit(x, ["a"] * 30 + ["b"] * 30 + ["c"] * 30)
+    model.weights[:, 0] = -model.weights[:, 0]  # one classifier says the contrary of the truth
+    best, share = model.decode(centres)
+    assert best.tolist() == [0, 1, 2] and (share > 0.5).all()
+
+
+def test_between_two_languages_is_ambiguous():
+    a, b = features(b"the cat and the dog " * 20), features("le chat et le chien déjà ".encode() * 20)
+    model = fit(np.array([a] * 5 + [b] * 5), ["en"] * 5 + ["fr"] * 5)
+    _, share = model.decode(np.array([a, (a + b) / 2]))
+    assert share[0] > 0.9 > share[1]
+
+
+def test_features_of_long_texts_are_those_of_all_of_it():
+    text = b"abc defg " * 200_000
+    short = b"abc defg " * 20
+    assert np.allclose(features(text), features(short), atol=2e-2) and abs((features(text) ** 2).sum() - 1) < 1e-3
+
+
+def test_held_out_accuracy(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    truth = {r[0]: r[1] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang").collect()}
+    rows = [r for r in QUERIES["op1_language_id"](spark, sf_dir).collect() if r["held_out"] and r["lang_pred"] != "und"]
+    right = np.mean([r["lang_pred"] == truth[r["doc_id"]] for r in rows])
+    assert len(rows) > 200 and right > 0.97
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_odd_rows(documents):
+    rows = [(i, "the cat and the dog sat there" if i % 2 else "le chat et le chien sont là", "en" if i % 2 else "fr") for i in range(40)]
+    rows += [(50, None, "en"), (51, "", "fr"), (52, "12 34 !?", None), (53, "the dog", None), (53, "the dog", None), (None, "le chat", "fr")]
+    rows += [(54, "the cat " * 50_000, "en")]
+    got = identify_languages(documents(rows)).collect()
+    assert len(got) == len(rows)
+    by_id = {r["doc_id"]: r for r in got}
+    assert [by_id[i]["lang_pred"] for i in (50, 51, 52, 53, None, 54)] == ["und"] * 3 + ["en", "fr", "en"]
+    assert by_id[50]["score"] == 0 and not by_id[50]["ambiguous"]
+
+
+def test_nothing_to_learn_from(documents):
+    assert [r["lang_pred"] for r in identify_languages(documents([(1, "words", None)])).collect()] == ["und"]
+    assert [r["lang_pred"] for r in identify_languages(documents([(1, "words", "en"), (2, "ok", "en")])).collect()] == ["en"] * 2
+    assert identify_languages(documents([])).collect() == []
+
+
+def test_langs_are_no_input(documents):
+    rows = [(i, "the cat and the dog" if i % 2 else "le chat et le chien", "en" if i % 2 else "fr", "s") for i in range(30)]
+    held = [r for r in identify_languages(documents(rows)).collect() if r["held_out"]]
+    swapped = [(i, t, ("fr" if lang == "en" else "en") if i in {h["doc_id"] for h in held} else lang, "t") for i, t, lang, _ in rows]
+    again = {r["doc_id"]: r["lang_pred"] for r in identify_languages(documents(swapped)).collect()}
+    assert held and all(again[r["doc_id"]] == r["lang_pred"] for r in held)

@@ -1,0 +1,70 @@
+import random
+
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from assayer.llm.queries import QUERIES, piece_model
+from assayer.llm.tokencount import Counts, Transducer, compiled, count_tokens, prefix_scan
+from tests.llm.conftest import SF_DIR, found
+
+LIBRARY = sentencepiece.SentencePieceProcessor(model_proto=piece_model())
+MACHINE = compiled(piece_model())
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(), st.sampled_from([1, 2, 5, 1000]))
+def test_any_text(text, chunk):
+    text = text.encode("utf-8", "ignore").decode()
+    assert Counts(MACHINE, chunk).of(text) == len(LIBRARY.encode(text))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="thean ▁\né0<s>", max_size=60), st.sampled_from([1, 3, 1000]))
+def test_texts_full_of_pieces(text, chunk):
+    assert Counts(MACHINE, chunk).of(text) == len(LIBRARY.encode(text))
+
+
+def test_few_states_are_enough():
+    machine = Transducer({p: LIBRARY.get_score(i) for i in range(259, 32000) for p in [LIBRARY.id_to_piece(i)]}, 40)
+    text = "Internationalisation of thoroughly unthinkable happenings " * 3
+    assert Counts(machine).of(text) == len(LIBRARY.encode(text))
+
+
+def test_long_text_without_spaces():
+    text = "".join(random.Random(2).choice("theanxyz") for _ in range(200_000))
+    assert Counts(MACHINE, 1000).of(text) == len(LIBRARY.encode(text))
+
+
+def test_state_maps_compose_to_the_whole():
+    text = "▁The▁quick▁brown▁fox"
+    maps = [MACHINE.state_map(text[i : i + 3]) for i in range(0, len(text), 3)]
+    left = MACHINE.compose(MACHINE.compose(maps[0], maps[1]), maps[2])
+    right = MACHINE.compose(maps[0], MACHINE.compose(maps[1], maps[2]))
+    assert left == right
+    scanned = prefix_scan(maps, MACHINE.compose)
+    for i, m in enumerate(scanned):
+        assert MACHINE.read(MACHINE.start, m.head)[1] + m.count == MACHINE.read(MACHINE.start, text[: 3 * i + 3])[1]
+
+
+def test_all_documents(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    wanted = []
+    for doc_id, text in docs.select("doc_id", "text").collect():
+        n = len(LIBRARY.encode(text or ""))
+        wanted.append((doc_id, len((text or "").encode()), n, n > 4096))
+    got = found(QUERIES["op9_token_counts"](spark, SF_DIR), "doc_id", "n_bytes", "n_tokens", "over_limit")
+    assert got == sorted(wanted, key=repr)
+
+
+def test_odd_rows(documents):
+    rows = [(1, None), (2, ""), (3, "é"), (3, "é"), (None, "a  b"), (4, "x" * 9000)]
+    wanted = [(i, len((t or "").encode()), len(LIBRARY.encode(t or ""))) for i, t in rows]
+    assert found(count_tokens(documents(rows), piece_model()), "doc_id", "n_bytes", "n_tokens") == sorted(wanted, key=repr)
+    assert count_tokens(documents([]), piece_model()).collect() == []
+
+
+def test_other_models_are_refused(documents):
+    with pytest.raises(Exception):
+        count_tokens(documents([]), b"not a model")

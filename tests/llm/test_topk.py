@@ -1,0 +1,82 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType, LongType, StringType, StructField, StructType
+
+from assayer.llm.queries import ORACLE, QUERIES
+from assayer.llm.topk import build_index, search, top_k
+from tests.llm.conftest import SF_DIR, found
+
+SCHEMA = StructType(
+    [
+        StructField("vec_id", LongType()),
+        StructField("embedding", ArrayType(FloatType())),
+        StructField("score", StringType()),
+        StructField("rank", StringType()),
+    ]
+)
+
+
+@pytest.fixture
+def vectors(spark):
+    return lambda rows: spark.createDataFrame([(i, v, "x", "y") for i, v in rows], SCHEMA)
+
+
+def plain(rows, k, is_query):
+    usable = []
+    for i, v in rows:
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
+            usable.append((i, [int(np.floor(1024 * float(np.float32(x)))) for x in v]))
+    out = []
+    for q in sorted({i for i, _ in usable if is_query(i)}):
+        query = min(v for i, v in usable if i == q)
+        scored = [(-sum(a * b for a, b in zip(query, v)), i) for i, v in usable if i != q and len(v) == len(query)]
+        out += [(q, n, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("kind", ["normal", "ties", "skewed", "zeros"])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_search_in_a_block(kind, seed):
+    rng = np.random.default_rng(seed)
+    size, dims = 700, 12
+    values = {
+        "normal": rng.normal(0, 150, (size, dims)),
+        "ties": rng.integers(-2, 3, (size, dims)) * 16,
+        "skewed": rng.pareto(1, (size, dims)) * 30,
+        "zeros": np.zeros((size, dims)),
+    }[kind].astype(np.int64)
+    ids = rng.permutation(size).astype(np.int64)
+    index = build_index(ids, values)
+    for query in [*values[:8], np.zeros(dims, np.int64), -values[3]]:
+        scores = values @ query
+        best = sorted((-int(s), int(i)) for s, i in zip(scores, ids) if i != 5)[:10]
+        assert search(index, query, 10, 5) == [(-s, i) for s, i in best]
+
+
+def test_odd_rows(vectors):
+    rng = random.Random(3)
+    rows = [(i, [rng.choice([-0.5, 0.0, 0.25]) for _ in range(4)]) for i in range(60)]
+    rows += [(100, None), (101, [0.1, None, 0.2, 0.3]), (102, [float("nan"), 0.0, 0.0, 0.0]), (103, [float("inf")] * 4)]
+    rows += [(None, [0.1] * 4), rows[7], rows[20], (104, [0.5, 0.5]), (105, []), (110, [0.5, 0.25])]
+    got = top_k(vectors(rows), F.col("vec_id") % 10 == 0, k=5, block=16, queries=2)
+    assert found(got, "query_id", "rank", "vec_id", "score") == plain(rows, 5, lambda i: i % 10 == 0)
+
+
+def test_fewer_candidates_than_k(vectors):
+    rows = [(0, [1.0, -1.0]), (1, [0.5, 0.5]), (2, [-1.0, 1.0])]
+    got = top_k(vectors(rows), F.col("vec_id") == 0, k=10)
+    assert found(got, "query_id", "rank", "vec_id", "score") == plain(rows, 10, lambda i: i == 0)
+
+
+def test_empty_tables(vectors):
+    assert top_k(vectors([]), F.lit(True)).collect() == []
+    assert top_k(vectors([(1, [1.0])]), F.lit(False)).collect() == []
+
+
+def test_sql(spark, duck):
+    got = found(QUERIES["op2_top_k_search"](spark, SF_DIR), "query_id", "rank", "vec_id", "score")
+    wanted = duck.execute(f"SELECT query_id, rank, vec_id, score FROM ({ORACLE['op2_top_k_search']})").fetchall()
+    assert got == sorted(wanted, key=repr) and got

@@ -1,0 +1,89 @@
+import hashlib
+
+import pytest
+
+from assayer.llm.frames import Workspace
+from assayer.llm.queries import ORACLE, QUERIES
+from assayer.llm.warc import archive, lookup, parse, read_captures, read_index, surt, write_archives, write_index
+from tests.llm.conftest import SF_DIR, found
+
+COLUMNS = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+BIG = "<p>" + "same é " * 300
+ROWS = [
+    (1, "http://www.example.org/a?b=1", BIG),
+    (9, "https://example.org:8080/", BIG),
+    (4, "http://example.org/a", BIG),
+    (5, "http://b.example.org/a", "small"),
+    (6, "http://b.example.org/a", "small"),
+    (7, None, None),
+    (8, "", ""),
+    (10, "http://example.org/x\r\ny%0A", "a\r\n\r\nWARC/1.1\r\n\r\nContent-Length: 3\r\n\r\n" * 40),
+    (11, "http://[broken", "x" * 999),
+    (12, "no scheme", "y" * 999),
+    (13, "http://c.example.org/", "z" * 1000),
+    (13, "http://c.example.org/", "z" * 1000),
+    (None, "http://d.example.org/", BIG),
+    (None, "http://d.example.org/", "alone" * 300),
+]
+
+
+def plain(rows):
+    out = []
+    for i, _, html in rows:
+        payload = (html or "").encode()
+        same = [j for j, _, h in rows if (h or "").encode() == payload and j is not None]
+        newest = max(same) if same and len(payload) >= 1000 else None
+        revisit = newest is not None and (i is None or i < newest)
+        out.append((i, len(payload), hashlib.sha1(payload).hexdigest(), "revisit" if revisit else "response", newest if revisit else None))
+    return sorted(out, key=repr)
+
+
+@pytest.fixture
+def pages(spark):
+    schema = "page_id long, url string, html string, payload string, digest string, refers_to string"
+    return lambda rows: spark.createDataFrame([(*r, "a", "b", "c") for r in rows], schema)
+
+
+def test_round_trip(pages):
+    assert found(archive(pages(ROWS), records=3, lines=4), *COLUMNS) == plain(ROWS)
+
+
+def test_empty_table(pages):
+    assert archive(pages([])).collect() == []
+
+
+def test_lookup_reads_ranges(spark, pages):
+    folder = Workspace(spark).path
+    write_archives(pages(ROWS).repartition(3), f"{folder}/warc", records=2)
+    write_index(read_captures(spark, f"{folder}/warc"), f"{folder}/index", lines=2)
+    urls = {(i, u) for i, u, _ in ROWS}
+    assert {(r["page_id"], r["url"]) for r in read_index(spark, f"{folder}/index").collect()} == urls
+    got = lookup(spark, f"{folder}/index", ["http://example.org/a", "http://b.example.org/a", "http://nowhere/"]).collect()
+    texts = {r["page_id"]: r["payload"] and bytes(r["payload"]).decode() for r in got}
+    assert texts == {4: None, 5: "small", 6: "small"}
+    assert lookup(spark, f"{folder}/index", ["http://nowhere/"]).collect() == []
+    (capture,) = lookup(spark, f"{folder}/index", [ROWS[7][1]]).collect()
+    assert bytes(capture["payload"]).decode() == ROWS[7][2]
+
+
+def test_keys():
+    assert surt("http://www.example.org/a?b=1") == "org,example,www)/a?b=1"
+    assert surt("https://example.org:8080") == "org,example:8080)/"
+    assert surt(None) == surt("") == ")/"
+    assert surt("http://[broken").startswith(")/")
+
+
+def test_files_hold_nothing_but_records(spark, pages):
+    folder = Workspace(spark).path
+    write_archives(pages(ROWS).coalesce(1), folder)
+    (content,) = [bytes(r["content"]) for r in spark.read.format("binaryFile").load(folder).collect()]
+    records = list(parse(content))
+    assert len(records) == len(ROWS) and sum(r[1] for r in records) == len(content)
+    with pytest.raises(ValueError):
+        list(parse(b"HTTP/1.1\r\n\r\n"))
+
+
+def test_sql(spark, duck):
+    got = found(QUERIES["op5_archive_index"](spark, SF_DIR), *COLUMNS)
+    wanted = duck.execute(f"SELECT {', '.join(COLUMNS)} FROM ({ORACLE['op5_archive_index']})").fetchall()
+    assert got == sorted(wanted, key=repr) and got
