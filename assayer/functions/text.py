@@ -5,11 +5,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Separator and null mark of the row fingerprint, and how many
-# name tokens after the first one are kept.
+# Separator and null mark of the row fingerprint.
 FINGERPRINT_SEPARATOR = "||"
 FINGERPRINT_NULL = "<null>"
-LAST_NAME_TOKENS = 100
 
 
 def as_texts(values: Iterable[Column]) -> list[Column]:
@@ -23,7 +21,7 @@ def fingerprint(values: Iterable[Column]) -> Column:
 
 
 def split_name(name: Column) -> tuple[Column, Column]:
-    """First token and the remaining tokens; the latter NULL for a one-token name."""
-    words = F.split(F.trim(name), r"\s+")
-    following = F.slice(words, 2, LAST_NAME_TOKENS)
-    return F.get(words, F.lit(0)), F.when(F.size(following) >= 1, F.array_join(following, " "))
+    """The first word, and all that follows it with single spaces; the latter NULL for a single word."""
+    text = F.trim(name)
+    following = F.regexp_replace(F.regexp_replace(text, r"^\S*\s+", ""), r"\s+", " ")
+    return F.regexp_extract(text, r"^\S*", 0), F.when(text.rlike(r"\s"), following)

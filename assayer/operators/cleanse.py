@@ -22,9 +22,8 @@ def trim_strings(df: DataFrame) -> DataFrame:
     return df.withColumns(_trimmed(df))
 
 
-def prepare(df: DataFrame, contract: CleanContract) -> DataFrame:
-    """Trim and type in one projection. Columns outside the contract are kept."""
-    require_columns(df, contract.required)
+def cleaned(df: DataFrame, contract: CleanContract) -> dict[str, Column]:
+    """The trimmed and typed value of each column that preparation changes."""
     types = {field.name: field.dataType for field in df.schema.fields}
     values = _trimmed(df)
 
@@ -38,5 +37,17 @@ def prepare(df: DataFrame, contract: CleanContract) -> DataFrame:
         for name in contract.dates
         if not isinstance(types[name], DateType)
     }
-    cleaned = df.withColumns(values | typed)
-    return add_date_parts(cleaned, contract.partition_date, contract.partition_prefix)
+    return values | typed
+
+
+def cleaned_key(df: DataFrame, contract: CleanContract) -> Column:
+    """The unique key as preparation makes it."""
+    return cleaned(df, contract).get(contract.unique_key, col(contract.unique_key))
+
+
+def prepare(df: DataFrame, contract: CleanContract) -> DataFrame:
+    """Trim and type in one projection. Columns outside the contract are kept."""
+    require_columns(df, contract.required)
+    return add_date_parts(
+        df.withColumns(cleaned(df, contract)), contract.partition_date, contract.partition_prefix
+    )

@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 from assayer.operators.columns import col, require_columns
 
 
+def several() -> Column:
+    """Aggregate: more than one distinct row. Counting also keeps the optimizer from dropping the
+    distinct step below, which minimum and maximum alone would not need for their result."""
+    return F.count(F.lit(1)) > 1
+
+
 def differs(column: str) -> Column:
     """Aggregate: more than one value in the group, nulls ignored."""
     return F.coalesce(F.min(col(column)) != F.max(col(column)), F.lit(False))
@@ -26,13 +32,14 @@ def differs_with_null(column: str) -> Column:
 def conflicts(df: DataFrame, key: str, attributes: Sequence[str], null_is_value: bool = False) -> DataFrame:
     """Groups that disagree, with a ``<attribute>_conflict`` flag for each attribute.
 
-    Minimum against maximum needs no distinct count: one shuffle, aggregated before
-    it, whatever the group sizes.
+    Rows are first reduced to the distinct ones, which is hashed: a minimum of texts would
+    have to sort all rows. Few are left then, and minimum against maximum needs no distinct count.
     """
     require_columns(df, [key, *attributes])
     test = differs_with_null if null_is_value else differs
-    flags = {f"{name}_conflict": test(name) for name in attributes}
-    groups = df.groupBy(col(key)).agg(*[flag.alias(name) for name, flag in flags.items()])
+    flags = {f"{name}_conflict": several() & test(name) for name in attributes}
+    distinct = df.select(*[col(c) for c in dict.fromkeys([key, *attributes])]).distinct()
+    groups = distinct.groupBy(col(key)).agg(*[flag.alias(name) for name, flag in flags.items()])
     return groups.where(reduce(or_, [col(name) for name in flags]))
 
 

@@ -1,31 +1,34 @@
 """Keep one row per key, chosen by content, however many copies a key has.
 
-A window over the key would pull all copies of a key into one task and sort the
-whole table. Here only keys that really repeat are looked at, and copies of a key
-never have to meet:
-
-1. repeated keys      one narrow aggregation over the key column alone
-2. contested rows     rows of those keys, written once with a fingerprint and a row number
-3. winners            the best row number per key; each task sends one candidate per key
-4. the mark           contested rows against winners on the row number, which is unique
-
-The results of 1-3 are written tables, so Spark sees their true sizes: it broadcasts
-the small ones by its own threshold and shuffles the others, and a lost executor
-cannot change a row number.
+A window over the key would pull all copies of a key into one task and sort the whole
+table. Here wide rows move once at most, and copies of a key never have to meet:
+
+1. repeated keys   one narrow aggregation over the key column alone
+2. contenders      key, fingerprint, tie-breakers and place of the rows of those keys
+3. losers          the places of all contenders but the best of each key, which is found with
+                   one candidate for each task and key
+4. the mark        all rows against the losers on the place, which is unique
+
+A place is a file and a row number in it, so it costs nothing to give out, and a lost
+executor cannot change it. The results of 1-3 are written tables without the rows'
+contents, so Spark sees their true sizes: it broadcasts the small ones by its own
+threshold and shuffles the others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from assayer.functions import as_texts, fingerprint
-from assayer.operators.columns import col
+from assayer.functions import fingerprint
+from assayer.operators.columns import SOURCE_FILE, col
 from assayer.sources.scratch import Scratch
 
-_PRINT, _TIE, _ROW, _KEPT, _RANK = "_print", "_tie", "_row", "_kept", "_rank"
+PLACE = ["_in_file", "_at_row"]
+_PRINT, _LOST, _RANK = "_print", "_lost", "_rank"
 
 
 def payload_columns(df: DataFrame) -> list[str]:
@@ -33,10 +36,28 @@ def payload_columns(df: DataFrame) -> list[str]:
     return [name for name in df.columns if not name.startswith("_")]
 
 
+def tie_columns(df: DataFrame) -> list[str]:
+    """What settles equal fingerprints, the same in every run: the original texts, then the source file."""
+    return [c for c in df.columns if c.startswith("_raw_")] + [c for c in df.columns if c == SOURCE_FILE]
+
+
 def with_fingerprint(df: DataFrame, payload: Sequence[str] | None = None, name: str = _PRINT) -> DataFrame:
     return df.withColumn(name, fingerprint(col(c) for c in payload or payload_columns(df)))
 
 
+def with_place(df: DataFrame, scratch: Scratch) -> DataFrame:
+    """Add each row's file, as a hash, and row number. What is not read from Parquet files is written first."""
+
+    def placed(rows: DataFrame) -> DataFrame:
+        file, row = F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")
+        return rows.select("*", file.alias(PLACE[0]), row.alias(PLACE[1]))
+
+    try:
+        return placed(df)
+    except AnalysisException:
+        return placed(scratch.stage(df, "rows"))
+
+
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys on more than one row; null is not a key."""
     counts = df.where(col(key).isNotNull()).groupBy(col(key)).agg(F.count(F.lit(1)).alias("n"))
@@ -49,43 +70,44 @@ def first_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
     return df.withColumn(_RANK, F.row_number().over(ranking)).where(col(_RANK) == 1).drop(_RANK)
 
 
+def losing_places(
+    df: DataFrame, key: str, payload: Sequence[str] | None = None, scratch: Scratch | None = None
+) -> DataFrame | None:
+    """The places of all copies but the kept one of each key; None when no key repeats.
+
+    ``df`` has the columns of ``with_place``. The kept copy has the smallest fingerprint; ties
+    go by the columns of ``tie_columns``. Rows that are equal in all of these are interchangeable.
+    Rows with a null key are never copies, and take no part in any join.
+    """
+    scratch = scratch or Scratch(df.sparkSession)
+    repeated = scratch.stage(repeated_keys(df, key), "repeated-keys")
+    if repeated.isEmpty():
+        return None
+    order = [_PRINT, *tie_columns(df), *PLACE]
+    # Reduced to what the ranking needs before the join, so that no wide row is shuffled for it.
+    narrow = with_fingerprint(df, payload).where(col(key).isNotNull()).select(*[col(c) for c in [key, *order]])
+    contenders = scratch.stage(narrow.join(repeated, key, "left_semi"), "contenders")
+    kept = scratch.stage(first_per_key(contenders, key, *order).select(*PLACE), "kept")
+    return scratch.stage(contenders.select(*PLACE).join(kept, PLACE, "left_anti"), "losers")
+
+
 def mark_duplicates(
     df: DataFrame,
     key: str,
     payload: Sequence[str] | None = None,
     flag: str = "_is_duplicate",
     scratch: Scratch | None = None,
-    gather: Sequence[str] = (),
 ) -> DataFrame:
-    """Add ``flag``: false for the row with the smallest fingerprint of its key, else true.
+    """Add ``flag``: false for the kept row of each key and for null keys, else true.
 
-    Rows with a null key are never duplicates. Equal fingerprints are settled by all
-    columns; rows equal in all columns are interchangeable. ``df`` is read several
-    times and must give the same rows each time (a file scan or staged table does).
-
-    Rows outside contested keys stay in the partitions of ``df``. ``gather`` names the
-    columns by which to bring the contested ones together, for a write by these columns.
+    ``df`` may have the columns of ``with_place``, which are then dropped; else it is given
+    places here. It is read several times and must give the same rows each time (a file scan does).
     """
     scratch = scratch or Scratch(df.sparkSession)
-    columns = [col(c) for c in df.columns]
-
-    repeated = scratch.stage(repeated_keys(df, key), "repeated-keys")
-    if repeated.isEmpty():
-        return df.withColumn(flag, F.lit(False))
-
-    contested = scratch.stage(
-        with_fingerprint(df.join(repeated, key, "left_semi").select(*columns), payload)
-        .withColumn(_TIE, F.xxhash64(*as_texts(columns)))
-        .withColumn(_ROW, F.monotonically_increasing_id()),
-        "contested-rows",
-    )
-    candidates = contested.select(col(key), _PRINT, _TIE, _ROW)
-    winners = scratch.stage(
-        first_per_key(candidates, key, _PRINT, _TIE, _ROW).select(_ROW, F.lit(True).alias(_KEPT)),
-        "kept-rows",
-    )
-    settled = contested.join(winners, _ROW, "left").select(*columns, col(_KEPT).isNull().alias(flag))
-    if gather:
-        settled = settled.hint("rebalance", *gather)
-    alone = df.join(repeated, key, "left_anti").select(*columns, F.lit(False).alias(flag))
-    return alone.union(settled)
+    columns = [col(c) for c in df.columns if c not in PLACE]
+    placed = df if set(PLACE) <= set(df.columns) else with_place(df, scratch)
+    losers = losing_places(placed, key, payload or payload_columns(df), scratch)
+    if losers is None:
+        return placed.select(*columns, F.lit(False).alias(flag))
+    marked = placed.join(losers.withColumn(_LOST, F.lit(True)), PLACE, "left")
+    return marked.select(*columns, F.coalesce(col(_LOST), F.lit(False)).alias(flag))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from assayer.contracts import CustomerContract, OrderContract
 from assayer.functions import date_parts, split_name, trailing_months
 from assayer.operators.columns import col, require_columns
-from assayer.operators.consistency import differs, raise_on_conflict
+from assayer.operators.consistency import differs, raise_on_conflict, several
 from assayer.operators.ingest import add_date_parts
 from assayer.sources.scratch import Scratch
 
@@ -23,12 +23,14 @@ _CONFLICT = "_conflict"
 def roll_up_orders(lines: DataFrame, contract: OrderContract) -> DataFrame:
     """One row per order with its attributes and whether its lines disagree on any.
 
-    The minimum ignores nulls and does not depend on row order.
+    The minimum ignores nulls and does not depend on row order. It is taken over the distinct
+    lines, since a minimum of texts sorts its rows.
     """
     require_columns(lines, [contract.key, *contract.attributes])
-    return lines.groupBy(col(contract.key)).agg(
+    distinct = lines.select(*[col(c) for c in dict.fromkeys([contract.key, *contract.attributes])]).distinct()
+    return distinct.groupBy(col(contract.key)).agg(
         *[F.min(col(line)).alias(published) for line, published in contract.attributes.items()],
-        reduce(or_, [differs(line) for line in contract.attributes]).alias(_CONFLICT),
+        (several() & reduce(or_, [differs(line) for line in contract.attributes])).alias(_CONFLICT),
     )
 
 
@@ -45,9 +47,14 @@ def gold_sales(lines: DataFrame, contract: OrderContract, scratch: Scratch | Non
     return dated.select(*[col(c) for c in contract.columns])
 
 
+def latest_date(lines: DataFrame, date_column: str) -> DataFrame:
+    """One row, ``snapshot_date``: the latest date, null without dates."""
+    return lines.agg(F.max(col(date_column)).alias("snapshot_date"))
+
+
 def snapshot_date(lines: DataFrame, date_column: str) -> datetime.date:
-    """The latest date: a single value, read from one column."""
-    latest = lines.agg(F.max(col(date_column))).first()[0]
+    """The latest date as a value."""
+    latest = latest_date(lines, date_column).first()[0]
     if latest is None:
         raise ValueError(f"No latest {date_column} is available: there are no dated rows")
     return latest

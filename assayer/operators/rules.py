@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +10,7 @@ from pyspark.sql import functions as F
 from assayer.contracts import CleanContract, Rule
 from assayer.operators.cleanse import prepare
 from assayer.operators.columns import col
-from assayer.operators.duplicates import mark_duplicates
+from assayer.operators.duplicates import mark_duplicates, with_place
 from assayer.operators.split import REASON, Split
 from assayer.sources.scratch import Scratch
 
@@ -25,32 +23,25 @@ def failed_reasons(rules: Sequence[Rule]) -> Column:
     return F.concat_ws(REASON_SEPARATOR, *[F.when(rule.broken(), F.lit(rule.reason)) for rule in rules])
 
 
-def any_broken(rules: Sequence[Rule]) -> Column:
-    return reduce(or_, [F.coalesce(rule.broken(), F.lit(False)) for rule in rules])
-
-
 def split_clean(
     df: DataFrame,
     contract: CleanContract,
     payload: Sequence[str] | None = None,
     scratch: Scratch | None = None,
-    gather: bool = False,
 ) -> Split:
     """Prepared rows that pass all rules, and the others with their reasons.
 
     Duplicates are ranked among all rows, before the other rules: when the kept
     row of a key breaks a rule, its copies are still rejected as duplicates.
 
-    With ``gather``, a ``df`` laid out by the contract's partition columns stays so.
+    Every row is evaluated once, into a written table that both results read.
     """
-    by = contract.partitions if gather else ()
-    marked = mark_duplicates(prepare(df, contract), contract.unique_key, payload, _DUPLICATE, scratch, by)
+    scratch = scratch or Scratch(df.sparkSession)
+    prepared = prepare(with_place(df, scratch), contract)
+    marked = mark_duplicates(prepared, contract.unique_key, payload, _DUPLICATE, scratch)
     rules = [*contract.rules, Rule(contract.duplicate_reason, lambda: col(_DUPLICATE))]
-    broken = any_broken(rules)
-    return Split(
-        valid=marked.where(~broken).drop(_DUPLICATE),
-        rejected=marked.where(broken).withColumn(REASON, failed_reasons(rules)).drop(_DUPLICATE),
-    )
+    evaluated = scratch.stage(marked.withColumn(REASON, failed_reasons(rules)).drop(_DUPLICATE), "evaluated")
+    return Split(valid=evaluated.where(col(REASON) == "").drop(REASON), rejected=evaluated.where(col(REASON) != ""))
 
 
 def rejection_profile(rejected: DataFrame) -> DataFrame:

@@ -79,13 +79,15 @@ def test_to_double(spark, ansi):
 def test_split_name(spark, ansi):
     long_name = " ".join(f"t{i}" for i in range(106))
     cases = {
-        "Darin Van Huff": ("Darin", "Van Huff"),
-        "Corey-Lock": ("Corey-Lock", None),
+        "Mary Jo Lee": ("Mary", "Jo Lee"),
+        "O'Neil-X": ("O'Neil-X", None),
         "  Ada   B   Lovelace ": ("Ada", "B Lovelace"),
         "": ("", None),
         "   ": ("", None),
         "\tAda B": ("", "Ada B"),
-        long_name: ("t0", " ".join(f"t{i}" for i in range(1, 101))),
+        long_name: ("t0", " ".join(f"t{i}" for i in range(1, 106))),
+        "A\t": ("A", ""),
+        "a\nb\tc": ("a", "b c"),
         None: (None, None),
     }
     got = values(spark, list(cases), lambda c: F.struct(*split_name(c)))
