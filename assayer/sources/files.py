@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Callable, Sequence
 from typing import Literal
 
 from pyspark.errors import AnalysisException
@@ -13,15 +14,11 @@ from pyspark.sql.types import StructType
 
 from assayer.contracts import date_part_names
 from assayer.operators.columns import col
-from assayer.sources.csv_records import COMPLETE_RECORD, read_split_records
 from assayer.sources.scratch import Scratch
 from assayer.sources.sizing import write_tasks
 
 SaveMode = Literal["overwrite", "append", "overwrite_partitions"]
 
-# Files up to this size are read in one task without looking for a better way.
-_ONE_TASK_BYTES = 512 * 1024 * 1024
-
 # Shuffled bytes one task of a partitioned write gets; about a quarter of it ends up in a file.
 _WRITE_TASK_BYTES = 512 * 1024 * 1024
 
@@ -29,44 +26,30 @@ _WRITE_TASK_BYTES = 512 * 1024 * 1024
 CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"'}
 
 
-def largest_file(spark: SparkSession, path: str) -> int:
-    """Bytes of the largest file under ``path``; reads sizes, not contents."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.agg(F.max("length")).first()[0] or 0
-
+def header_options(columns: Sequence[str]) -> dict[str, str]:
+    """Have Spark compare the header of each file with these columns, and raise where they differ.
 
-def lines_stand_alone(spark: SparkSession, path: str) -> bool:
-    """True when no line of the CSV can be part of a longer record. One parallel scan."""
-    lines = spark.read.text(path)
-    return lines.where(~F.col("value").rlike(COMPLETE_RECORD)).isEmpty()
+    Where headers are blank or repeated Spark has named the columns itself, and cannot compare.
+    """
+    stems = Counter(name.removesuffix(str(i)).lower() for i, name in enumerate(columns) if name.endswith(str(i)))
+    renamed = any(name == f"_c{i}" for i, name in enumerate(columns)) or any(n > 1 for n in stems.values())
+    return {} if renamed else {"enforceSchema": "false"}
 
 
-def read_csv(
-    spark: SparkSession,
-    path: str,
-    multi_line: bool | None = None,
-    one_task_bytes: int = _ONE_TASK_BYTES,
-    scratch: Scratch | None = None,
-) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Headered CSV file or folder, all columns as text; quotes are doubled inside quotes.
 
-    Records with line breaks inside quotes need ``multi_line``, but that gives each
-    file to a single task. By default it is used for files small enough for one task.
-    With larger files, all lines are checked first: when each is a record of its own
-    the files are simply split, otherwise the lines are put together to records by
-    many tasks. The result is the same (where a file mixes CR LF and LF line ends, the
-    ways for large files take both as line ends). Only large files whose quotes do not
-    follow the dialect, so that quotes do not tell the records, are left to one task.
+    With ``multi_line`` a record may hold line breaks inside quotes, and a file is read by one
+    task: work spreads over files. Where no record holds a line break, ``multi_line=False``
+    splits large files. It then reads a line break inside quotes as the end of a record, and
+    a lone carriage return is one too.
+
+    All files must have the header of the first one, in the same order; reading another one
+    raises. Blank and repeated headers cannot be compared, so such files are not checked.
     """
-    if multi_line is None and largest_file(spark, path) <= one_task_bytes:
-        multi_line = True
-    if multi_line is None:
-        multi_line = not lines_stand_alone(spark, path)
-        if multi_line:
-            records = read_split_records(spark, path, CSV_DIALECT, scratch)
-            if records is not None:
-                return records
-    return spark.read.options(**CSV_DIALECT, multiLine=multi_line).csv(path)
+    reader = spark.read.options(**CSV_DIALECT, multiLine=multi_line)
+    schema = reader.csv(path).schema
+    return reader.options(**header_options(schema.names)).schema(schema).csv(path)
 
 
 def read_parquet(
@@ -93,22 +76,19 @@ def write_parquet(
     partition_by: Sequence[str] = (),
     mode: SaveMode = "overwrite",
     task_bytes: int = _WRITE_TASK_BYTES,
-    gather: bool = True,
 ) -> None:
     """Write, optionally in ``name=value`` folders.
 
     Rows are first brought together by folder, so a folder gets few files instead of
     one from every task. It is a rebalance, not a plain repartition: a folder with very
-    many rows is spread over several tasks, and small ones share a task. With ``gather``
-    off no row moves, which is right for rows that come from the same layout.
+    many rows is spread over several tasks, and small ones share a task.
 
     ``overwrite_partitions`` replaces the folders that occur in ``df`` and no others.
     """
     if not partition_by:
         df.write.mode("overwrite" if mode == "overwrite_partitions" else mode).parquet(path)
         return
-    rows = df.hint("rebalance", *partition_by) if gather else df
-    writer = rows.write.partitionBy(*partition_by)
+    writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
     if mode == "overwrite_partitions":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
@@ -121,22 +101,74 @@ def write_parquet(
         empty.write.mode("append").parquet(path)
 
 
-def write_csv(
-    df: DataFrame,
-    path: str,
-    mode: Literal["overwrite", "append"] = "overwrite",
-    single_file: bool = False,
-    single_file_rows: int = 1_000_000,
-) -> None:
-    """Headered CSV copy. ``single_file`` is for small tables and checks that it is one."""
-    if single_file:
-        if df.limit(single_file_rows + 1).count() > single_file_rows:
-            raise ValueError(f"More than {single_file_rows} rows: write the CSV with single_file=False")
-        df = df.coalesce(1)
+def write_csv(df: DataFrame, path: str, mode: Literal["overwrite", "append"] = "overwrite") -> None:
+    """Headered CSV copy, a folder with a file from each task."""
     keep_spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     df.write.mode(mode).options(**CSV_DIALECT, **keep_spaces).csv(path)
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it wants it."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def day_folders(path: str, partition_by: Sequence[str], days: Sequence[Sequence[object]]) -> list[str]:
+    return ["/".join([path.rstrip("/"), *map(_folder_name, partition_by, day)]) for day in days]
+
+
+def _folder_name(name: str, value: object) -> str:
+    return f"{name}=" + ("__HIVE_DEFAULT_PARTITION__" if value is None else str(value))
+
+
+def distinct_days(df: DataFrame, partition_by: Sequence[str]) -> list[tuple]:
+    """The folders that rows lie in or belong to; as many as there are days."""
+    return sorted(tuple(r) for r in df.select(*[col(c) for c in partition_by]).distinct().collect())
+
+
+def read_days(
+    spark: SparkSession, path: str, partition_by: Sequence[str], days: Sequence[Sequence[object]]
+) -> DataFrame | None:
+    """The rows in the folders of some days, with all their columns, reading nothing else; None without folders."""
+    there = []
+    for folder in day_folders(path, partition_by, days):
+        files, at = _files(spark, folder)
+        if files.exists(at):
+            there.append(folder)
+    if not there:
+        return None
+    return spark.read.option("basePath", path).option("mergeSchema", True).parquet(*there)
+
+
+def delete_days(spark: SparkSession, path: str, partition_by: Sequence[str], days: Sequence[Sequence[object]]) -> None:
+    for folder in day_folders(path, partition_by, days):
+        files, at = _files(spark, folder)
+        files.delete(at, True)
+
+
+def add_to_days(
+    new: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    scratch: Scratch,
+    keep: Callable[[DataFrame], DataFrame],
+) -> list[tuple]:
+    """Add rows to a table in day folders, so that adding them again changes nothing.
+
+    The folders of the new rows are written anew, from those old rows that ``keep`` leaves,
+    which should drop the rows of an earlier attempt, and the new ones. Other folders are not
+    touched. ``new`` must be a written table. Returns the days.
+    """
+    days = distinct_days(new, partition_by)
+    old = read_days(new.sparkSession, path, partition_by, days)
+    if old is not None:
+        # Folders cannot be read and overwritten at the same time.
+        new = scratch.stage(keep(old).unionByName(new, allowMissingColumns=True), "days")
+    write_parquet(new, path, partition_by, "overwrite_partitions")
+    return days
+
+
 def between_days(
     df: DataFrame, first: datetime.date, last: datetime.date, prefix: str = "order"
 ) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 # What one reduce task should get, and how much wider rows are in a shuffle than in Parquet.
 _BYTES_PER_TASK = 512 * 1024 * 1024
 _GROWTH = 3
-_MOST_TASKS = 50_000
 
 
 @contextmanager
@@ -31,8 +30,8 @@ def input_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def shuffle_tasks(size: int, at_least: int) -> int:
-    return max(at_least, min(_MOST_TASKS, -(-size * _GROWTH // _BYTES_PER_TASK)))
+def shuffle_tasks(size: int, at_least: int, bytes_per_task: int = _BYTES_PER_TASK) -> int:
+    return max(at_least, -(-size * _GROWTH // bytes_per_task))
 
 
 @contextmanager

@@ -1,30 +1,23 @@
 """Append new landing files to Bronze, each file exactly once.
 
 The append form of daily loading: started once a day, it takes up the files that came
-since the last time and stops. What was read is kept in ``state_path``, so a second
-start, or one after a failure, neither repeats nor loses a file.
+since the last time and stops. What was read is kept in ``state_path``. A batch that failed
+half way is loaded again; it replaces the rows of its own files, and its own quarantine folder,
+so that no row is lost or doubled. The tables are plain ones, which batch jobs may add to.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from assayer.contracts import RETAIL_INGEST
+from assayer.contracts import RETAIL_INGEST, IngestContract
+from assayer.operators.columns import SOURCE_FILE, col
 from assayer.plans.layers import split_bronze, to_bronze
-from assayer.sources.files import CSV_DIALECT, read_csv
+from assayer.sources.files import CSV_DIALECT, add_to_days, header_options, read_csv, write_parquet
+from assayer.sources.scratch import Scratch
 
-
-def _append(df: DataFrame, path: str, state_path: str, partition_by: list[str]) -> None:
-    query = (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", state_path)
-        .partitionBy(*partition_by)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+BATCH = "_batch"
 
 
 def append_new_files(
@@ -35,10 +28,30 @@ def append_new_files(
     state_path: str,
     run_id: str,
     multi_line: bool = True,
+    contract: IngestContract = RETAIL_INGEST,
 ) -> None:
-    """All files in ``landing_path`` must have the same header."""
+    """All files in ``landing_path`` must have the same header. The quarantine is kept by batch."""
     header = read_csv(spark, landing_path, multi_line).schema
-    raw = spark.readStream.schema(header).options(**CSV_DIALECT, multiLine=multi_line).csv(landing_path)
-    split = split_bronze(to_bronze(raw, run_id))
-    _append(split.valid, bronze_path, f"{state_path}/valid", RETAIL_INGEST.partitions)
-    _append(split.rejected, quarantine_path, f"{state_path}/rejected", [])
+    options = CSV_DIALECT | header_options(header.names)
+    raw = spark.readStream.schema(header).options(**options, multiLine=multi_line).csv(landing_path)
+
+    def load(batch: DataFrame, number: int) -> None:
+        with Scratch(batch.sparkSession) as scratch:
+            rows = scratch.stage(batch, "batch")
+            split = split_bronze(rows, contract)
+            files = scratch.stage(rows.select(col(SOURCE_FILE)).distinct(), "files")
+
+            def of_other_files(old: DataFrame) -> DataFrame:
+                return old.join(files, SOURCE_FILE, "left_anti").select(*[col(c) for c in old.columns])
+
+            add_to_days(split.valid, bronze_path, contract.partitions, scratch, of_other_files)
+            write_parquet(split.rejected.withColumn(BATCH, F.lit(number)), quarantine_path, [BATCH], "overwrite_partitions")
+
+    query = (
+        to_bronze(raw, run_id, contract)
+        .writeStream.foreachBatch(load)
+        .option("checkpointLocation", state_path)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()

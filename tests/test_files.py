@@ -1,12 +1,11 @@
 import datetime
 import os
-import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from assayer import between_days, publish_table, read_csv, read_parquet, to_bronze, write_csv, write_parquet
-from assayer.sources.files import largest_file, lines_stand_alone
+from assayer import between_days, publish_table, read_csv, read_parquet, write_csv, write_parquet
+from assayer.sources.files import add_to_days
 from assayer.sources.scratch import Scratch, scratch_root
 from assayer.sources.sizing import shuffle_tasks, sized_shuffles
 
@@ -55,99 +54,55 @@ def test_csv_dialect(spark, tmp_path):
     ]
 
 
-@pytest.mark.parametrize(
-    "body, alone",
-    [
-        ('1,"a, b",c\n2,"say ""hi""",\n', True),
-        ('1,"two\nlines",c\n', False),
-        ('1,5" pipe,c\n', False),
-        ('1,"open,c\n2,x,"\n', False),
-        ("1,,\n\n2,é,ü\n", True),
-        ("1," + "x" * 200_000 + ',"' + "y" * 200_000 + '"\n', True),
-    ],
-)
-def test_lines_that_are_whole_records(spark, tmp_path, body, alone):
-    path = put(tmp_path / "in", "a.csv", "a,b,c\n" + body)
-    assert lines_stand_alone(spark, path) is alone
+def test_odd_lines_are_read_as_records(spark, tmp_path):
+    """An empty first line, a line of spaces, and a lone carriage return."""
+    body = '\na,b\n1,x\n   \n2,"p\rq"\n\n3,"u\nv"\n4,w\n'
+    got = [tuple(r) for r in read_csv(spark, put(tmp_path / "in", "a.csv", body)).collect()]
+    assert got == [("1", "x"), ("   ", None), ("2", "p\rq"), ("3", "u\nv"), ("4", "w")]
 
 
-def test_large_plain_csv_is_split_and_equal(spark, tmp_path):
+def test_lines_that_are_records_can_be_split(spark, tmp_path):
     body = "".join(f'{i},"name, {i}",{"z" * 50}\n' for i in range(20_000))
     path = put(tmp_path / "in", "a.csv", "Row ID,Name,Text\n" + body)
-    assert largest_file(spark, path) > 1_000_000
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
     try:
-        split, whole = read_csv(spark, path, one_task_bytes=1000), read_csv(spark, path, multi_line=True)
-        assert split.rdd.getNumPartitions() > 4
-        assert whole.rdd.getNumPartitions() == 1
+        split, whole = read_csv(spark, path, multi_line=False), read_csv(spark, path)
+        assert split.rdd.getNumPartitions() > 4 and whole.rdd.getNumPartitions() == 1
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert split.exceptAll(whole).isEmpty() and whole.exceptAll(split).isEmpty()
 
 
-def same_rows(a, b):
-    return a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
-
-
-@pytest.fixture
-def small_blocks(spark):
-    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
-    before = {name: spark.conf.get(name) for name in names}
-    yield lambda size: [spark.conf.set(name, str(size)) for name in names]
-    for name, value in before.items():
-        spark.conf.set(name, value)
-
-
-@pytest.mark.parametrize("block", [64, 1000, 20_000])
-@pytest.mark.parametrize("end", ["\n", "\r\n"])
-def test_large_csv_with_line_breaks_in_quotes_is_put_together(spark, tmp_path, small_blocks, block, end):
-    """Records over several lines and blocks, escaped quotes, short rows, empty lines."""
-    rng = random.Random(block)
-    pieces = ["a", "é", ",", end, '""', " ", "long text " * 5, f"x{end}y", "1,2"]
-
-    def field():
-        if rng.random() < 0.4:
-            return '"' + "".join(rng.choices(pieces, k=rng.randint(0, 12))) + '"'
-        return rng.choice(["", "7", "plain", " padded "])
-
-    def body(n, tag):
-        rows = [",".join([f"{tag}{i}", *(field() for _ in range(rng.randint(0, 3)))]) for i in range(n)]
-        return end.join(["Row ID,Text,Row ID,", *rows, "", "last"]) + rng.choice(["", end])
-
-    size = 120 if block < 1000 else 800
-    path = put(tmp_path / "in", "a.csv", body(size, "a"))
-    put(tmp_path / "in", "b.csv", body(size // 4, "b"))
-    put(tmp_path / "in", "c.csv", "Row ID,Text,Row ID," + end)
-    whole = read_csv(spark, path, multi_line=True)
-    small_blocks(block)
-    records = read_csv(spark, path, one_task_bytes=0)
-    assert records.columns[-1] == "_source_file"
-    assert same_rows(records.drop("_source_file"), whole)
-    bronze = to_bronze(records.withColumnsRenamed({"Text": "Order Date", "_c3": "Ship Date"}), "r")
-    assert bronze.columns[-5:] == ["_source_file", "_pipeline_run_id", "order_year", "order_month", "order_day"]
-    files = {r[0].rsplit("/", 1)[1]: r[1] for r in bronze.groupBy("_source_file").count().collect()}
-    assert files == {"a.csv": size + 1, "b.csv": size // 4 + 1}
-
-
-@pytest.mark.parametrize("stray", ['1,5" pipe\n2,"x\ny"\n', '1,"open\n2,x\n', '1,"x"y\n2,"x\ny"\n'])
-def test_large_csv_with_stray_quotes_is_left_to_spark(spark, tmp_path, stray):
-    path = put(tmp_path / "in", "a.csv", "a,b\n" + stray)
-    assert same_rows(read_csv(spark, path, one_task_bytes=0), read_csv(spark, path, multi_line=True))
+@pytest.mark.parametrize("multi_line", [True, False])
+@pytest.mark.parametrize("other", ["b,a\n1,2\n", "a\n1\n", "a,b,c\n1,2,3\n"])
+def test_files_with_another_header_are_refused(spark, tmp_path, other, multi_line):
+    path = put(tmp_path / "in", "1.csv", "a,b\n1,2\n")
+    assert read_csv(spark, path, multi_line).count() == 1
+    put(tmp_path / "in", "2.csv", other)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, path, multi_line).collect()
 
 
 def test_csv_copy_round_trip(spark, tmp_path):
-    df = spark.createDataFrame([("a,b", 'say "x"'), ("line\nbreak", None)], "p string, q string")
-    write_csv(df, str(tmp_path / "many"))
-    write_csv(df, str(tmp_path / "one"), single_file=True)
-    assert len(data_files(tmp_path / "one", ".csv")) == 1
-    for name in ("many", "one"):
-        assert set(read_csv(spark, str(tmp_path / name)).collect()) == set(df.collect())
+    df = spark.createDataFrame([("a,b", 'say "x"'), ("line\nbreak", None), (" sp ", "\t")], "p string, q string")
+    write_csv(df, str(tmp_path / "copy"))
+    assert set(read_csv(spark, str(tmp_path / "copy")).collect()) == set(df.collect())
 
 
-def test_single_csv_file_is_for_small_tables(spark, tmp_path):
-    with pytest.raises(ValueError, match="single_file=False"):
-        write_csv(spark.range(20), str(tmp_path / "one"), single_file=True, single_file_rows=10)
+def test_rows_are_added_to_their_days(spark, tmp_path):
+    """Old rows of the touched days stay, those left out go, and all columns of all files are there."""
+    path = str(tmp_path / "t")
+    write_parquet(days(spark, 100), path, DAY)
+    write_parquet(days(spark, 5, ["'p' as promo"]), path, DAY, "append")
+    new = days(spark, 10).where("day(order_date) in (1, 2)").withColumns({"id": F.col("id") + 1000, "extra": F.lit("e")})
+    with Scratch(spark) as scratch:
+        staged = scratch.stage(new, "new")
+        for _ in range(2):
+            touched = add_to_days(staged, path, DAY, scratch, lambda old: old.where("id < 1000"))
+    assert touched == [(2018, 2, 1), (2018, 2, 2)]
+    back = read_parquet(spark, path, merge_schema=True)
+    assert back.count() == 105 + 4 and back.where("promo = 'p'").count() == 5 and back.where("extra = 'e'").count() == 4
 
 
 def test_partitioned_round_trip_with_few_files(spark, tmp_path):
@@ -241,7 +196,8 @@ def test_scratch_follows_the_session_and_cleans_up(spark):
 def test_shuffle_width_follows_the_input(spark, tmp_path):
     assert shuffle_tasks(10, 200) == 200
     assert shuffle_tasks(10**12, 200) == 5588
-    assert shuffle_tasks(10**14, 200) == 50_000
+    assert shuffle_tasks(10**14, 200) == 558_794
+    assert shuffle_tasks(10**12, 200, 10**9) == 3000
     with sized_shuffles(spark.range(10)):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
     with sized_shuffles(spark.range(10**9)):

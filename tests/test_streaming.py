@@ -1,4 +1,4 @@
-from assayer import read_parquet, run_silver
+from assayer import read_parquet, run_bronze, run_silver
 from assayer.streaming.landing import append_new_files
 from test_jobs import csv_line, landing
 
@@ -23,3 +23,21 @@ def test_each_file_is_loaded_once(spark, tmp_path):
     assert silver.counts == {
         "input_row_count": 3, "output_row_count": 2, "rejected_row_count": 1, "duplicate_row_count": 1,
     }
+
+
+def test_batch_jobs_may_add_to_the_table(spark, tmp_path):
+    where = [str(tmp_path / name) for name in ("bronze", "rejected", "state")]
+    landing(tmp_path / "in", [csv_line(1, "O-1", "30/12/2018")], "a.csv")
+    append_new_files(spark, str(tmp_path / "in"), *where, "r1")
+    run = run_bronze(spark, landing(tmp_path / "more", [csv_line(2, "O-2", "30/12/2018")]), where[0], "r2", mode="append")
+    assert run.counts["output_row_count"] == 1
+    assert sorted(r["row_id"] for r in read_parquet(spark, where[0]).collect()) == ["1", "2"]
+
+
+def test_a_batch_loaded_again_changes_nothing(spark, tmp_path):
+    """As after a failure between the write and the end of the batch: another state folder, the same files."""
+    where = [str(tmp_path / name) for name in ("bronze", "rejected")]
+    landing(tmp_path / "in", [csv_line(1, "O-1", "30/12/2018"), csv_line(2, "O-1", "never")], "a.csv")
+    for attempt in ("first", "second"):
+        append_new_files(spark, str(tmp_path / "in"), *where, str(tmp_path / attempt), attempt)
+        assert [read_parquet(spark, p).count() for p in where] == [1, 1]
