@@ -1,9 +1,6 @@
 """Timings of the main operators and of a full run; prints one JSON line.
 
-``queries`` holds this library's timings. ``controls`` holds the same results written
-the plain way: distinct counts, a window over the key, one action per number, and a
-partitioned write without bringing rows together first. Each is the median of
-BENCH_REPEAT runs after one run to warm up; full runs are timed once.
+Each is the median of BENCH_REPEAT runs after one run to warm up; full runs are timed once.
 """
 
 from __future__ import annotations
@@ -14,8 +11,7 @@ import statistics
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from assayer import (
     RETAIL_CLEAN,
@@ -32,12 +28,9 @@ from assayer import (
     write_csv,
     write_parquet,
 )
-from assayer.functions import split_name, trailing_months
-from assayer.operators.cleanse import prepare
 from assayer.operators.consistency import conflicts
-from assayer.operators.duplicates import with_fingerprint
 from assayer.operators.rollups import distinct_orders, snapshot_date
-from assayer.operators.rules import count_rejected_for, failed_reasons
+from assayer.operators.rules import count_rejected_for
 from assayer.sources.scratch import Scratch
 from suite.shape import RUN_ID, landing
 
@@ -62,26 +55,6 @@ def seconds(work: Callable[[], object], repeat: int = REPEAT, warm_up: bool = Tr
     return round(statistics.median(times), 3)
 
 
-# --- controls ----------------------------------------------------------------
-
-
-def plain_silver(bronze: DataFrame) -> None:
-    """A window over the key on all rows, run again for every number and output."""
-    copies = Window.partitionBy("row_id").orderBy("print")
-    ranked = with_fingerprint(prepare(bronze, RETAIL_CLEAN), name="print").withColumn(
-        "copy", F.row_number().over(copies)
-    )
-    duplicate = F.when(F.col("row_id").isNotNull() & (F.col("copy") > 1), "duplicate row_id")
-    reason = F.concat_ws("; ", F.nullif(failed_reasons(RETAIL_CLEAN.rules), F.lit("")), duplicate)
-    marked = ranked.withColumn("_rejection_reason", reason)
-    valid, rejected = marked.where("_rejection_reason = ''"), marked.where("_rejection_reason <> ''")
-    valid.count()
-    rejected.count()
-    rejected.where("_rejection_reason like '%duplicate row_id%'").count()
-    consume(valid)
-    consume(rejected)
-
-
 def staged_silver(bronze: DataFrame) -> None:
     with Scratch(bronze.sparkSession) as scratch:
         valid, rejected = split_silver(bronze, scratch=scratch)
@@ -92,44 +65,6 @@ def staged_silver(bronze: DataFrame) -> None:
         consume(rejected)
 
 
-def plain_conflicts(silver: DataFrame) -> DataFrame:
-    names = list(RETAIL_ORDERS.attributes)
-    groups = silver.groupBy("order_id").agg(*[F.countDistinct(name).alias(name) for name in names])
-    return groups.where(" or ".join(f"{name} > 1" for name in names))
-
-
-def plain_sales(silver: DataFrame) -> None:
-    assert not plain_conflicts(silver).limit(10).collect()
-    consume(silver.groupBy("order_id").agg(*[F.first(c).alias(p) for c, p in RETAIL_ORDERS.attributes.items()]))
-
-
-def plain_customers(silver: DataFrame) -> None:
-    names = RETAIL_CUSTOMERS.stable
-    groups = silver.groupBy("customer_id").agg(*[F.countDistinct(F.ifnull(n, F.lit("<null>"))).alias(n) for n in names])
-    assert not groups.where(" or ".join(f"{n} > 1" for n in names)).limit(10).collect()
-    end = silver.agg(F.max("order_date")).first()[0]
-    first, last = split_name(F.col("customer_name"))
-
-    def orders(months: int | None):
-        inside = F.lit(True) if months is None else trailing_months(F.col("order_date"), end, months)
-        return F.countDistinct(F.when(inside, F.col("order_id")))
-
-    consume(
-        silver.dropDuplicates(["customer_id", "order_id"])
-        .groupBy("customer_id")
-        .agg(
-            F.min(first), F.min(last), F.min("segment"), F.min("country"),
-            *[orders(months).alias(name) for name, months in RETAIL_CUSTOMERS.windows.items()],
-        )
-    )
-
-
-def plain_distinct_orders(silver: DataFrame, end) -> None:
-    for months in RETAIL_CUSTOMERS.windows.values():
-        inside = F.lit(True) if months is None else trailing_months(F.col("order_date"), end, months)
-        silver.where(inside).select("order_id").distinct().count()
-
-
 def gold(build: Callable[..., DataFrame], silver: DataFrame) -> None:
     with Scratch(silver.sparkSession) as scratch:
         consume(build(silver, scratch=scratch))
@@ -177,17 +112,6 @@ def main() -> None:
             "partitioned_write": seconds(lambda: write_parquet(silver, folder(), DAY), 1, False),
             "all_layers": seconds(lambda: run_all(spark, csv, folder(), RUN_ID), 1, False),
         }
-        controls = {
-            "silver": seconds(lambda: plain_silver(bronze)),
-            "silver_without_duplicates": seconds(lambda: plain_silver(clean)),
-            "order_conflicts": seconds(lambda: consume(plain_conflicts(silver))),
-            "gold_sales": seconds(lambda: plain_sales(silver)),
-            "gold_customers": seconds(lambda: plain_customers(silver)),
-            "rolling_distinct_orders": seconds(lambda: plain_distinct_orders(silver, end)),
-            "partitioned_write": seconds(
-                lambda: silver.write.partitionBy(*DAY).parquet(folder()), 1, False
-            ),
-        }
     total = round(sum(queries.values()), 3)
     print(
         json.dumps(
@@ -196,7 +120,6 @@ def main() -> None:
                 "value": total,
                 "unit": "sec",
                 "queries": queries,
-                "controls": controls,
                 "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
                 "cpus": int(CPUS),
             }

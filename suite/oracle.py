@@ -45,13 +45,14 @@ def _parts(day: str, prefix: str) -> str:
     return ", ".join(f"CAST({part}({day}) AS INTEGER) AS {prefix}_{part}" for part in ("year", "month", "day"))
 
 
-def _landing(ship_by_order: bool = False, through_csv: bool = False, by_month: bool = False) -> str:
+def _landing(ship_by_order: bool = False, through_csv: bool = False, shared_ids: bool = False) -> str:
     """Text columns of the landing file; a CSV has no empty strings, only nulls."""
-    day = "CAST(date_trunc('month', o_orderdate) AS DATE)" if by_month else "CAST(o_orderdate AS DATE)"
+    day = "CAST(o_orderdate AS DATE)"
+    shared = "WHEN 14 THEN CAST(-l_suppkey AS VARCHAR)" if shared_ids else ""
     ship = f"{day} + 5" if ship_by_order else "CAST(l_shipdate AS DATE)"
     key = "CAST(l_orderkey * 10 + l_linenumber AS VARCHAR)"
     values = {
-        "row_id": f"CASE l_quantity WHEN 1 THEN NULL WHEN 2 THEN 'R' || {key} WHEN 3 THEN {key} || '.0' ELSE {key} END",
+        "row_id": f"CASE l_quantity WHEN 1 THEN NULL WHEN 2 THEN 'R' || {key} WHEN 3 THEN {key} || '.0' {shared} ELSE {key} END",
         "order_id": "CASE l_quantity WHEN 4 THEN '  ' ELSE 'O-' || l_orderkey END",
         "order_date": f"CASE l_quantity WHEN 5 THEN strftime({day}, '%Y-%m-%d') WHEN 6 THEN 'not-a-date'"
         f" ELSE strftime({day}, '%d/%m/%Y') END",
@@ -72,10 +73,10 @@ def _landing(ship_by_order: bool = False, through_csv: bool = False, by_month: b
     return f"landing AS (SELECT {columns} FROM {_JOINED})"
 
 
-def _upto_bronze(ship_by_order: bool = False, through_csv: bool = False, by_month: bool = False) -> str:
+def _upto_bronze(ship_by_order: bool = False, through_csv: bool = False, shared_ids: bool = False) -> str:
     columns = ", ".join(f"{_date(c)} AS {c}" if c.endswith("_date") else c for c in _LANDING)
     return (
-        f"WITH {_landing(ship_by_order, through_csv, by_month)}, parsed AS (SELECT {columns}, order_date AS _raw_order_date,"
+        f"WITH {_landing(ship_by_order, through_csv, shared_ids)}, parsed AS (SELECT {columns}, order_date AS _raw_order_date,"
         f" ship_date AS _raw_ship_date FROM landing), bronze AS (SELECT *, {_parts('order_date', 'order')} FROM parsed)"
     )
 
@@ -101,10 +102,10 @@ _FINGERPRINT = (
 )
 
 
-def _upto_silver(ship_by_order: bool = False, through_csv: bool = False, by_month: bool = False) -> str:
+def _upto_silver(ship_by_order: bool = False, through_csv: bool = False, shared_ids: bool = False) -> str:
     reason = ", ".join(f"CASE WHEN {test} THEN '{text}' END" for test, text in _RULES)
     return (
-        f"{_upto_bronze(ship_by_order, through_csv, by_month)}, {_prepared('(SELECT * FROM bronze WHERE order_date IS NOT NULL)')},"
+        f"{_upto_bronze(ship_by_order, through_csv, shared_ids)}, {_prepared('(SELECT * FROM bronze WHERE order_date IS NOT NULL)')},"
         f" ranked AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY {_FINGERPRINT}) AS copy FROM prepared),"
         f" evaluated AS (SELECT *, concat_ws('; ', {reason}) AS _rejection_reason FROM ranked),"
         " silver AS (SELECT * FROM evaluated WHERE _rejection_reason = ''),"
@@ -123,7 +124,7 @@ def _within(months: int, end: str, day: str = "order_date") -> str:
 
 _NAME = r"string_split_regex(trim(customer_name), '\s+')"
 _CUSTOMERS = f"""SELECT customer_id, min({_NAME}[1]) AS customer_first_name,
-        min(CASE WHEN len({_NAME}) > 1 THEN array_to_string({_NAME}[2:101], ' ') END) AS customer_last_name,
+        min(CASE WHEN len({_NAME}) > 1 THEN array_to_string({_NAME}[2:], ' ') END) AS customer_last_name,
         min(segment) AS customer_segment, min(country) AS country,
         count(DISTINCT CASE WHEN {_within(1, 'latest')} THEN order_id END) AS orders_last_month,
         count(DISTINCT CASE WHEN {_within(6, 'latest')} THEN order_id END) AS orders_last_6_months,
@@ -153,7 +154,7 @@ _CUSTOMER_CONFLICTS = _conflicts("customer_id", ["customer_name", "segment", "co
         CASE WHEN o_orderstatus <> 'P' THEN c_mktsegment END AS segment, n_name AS country FROM {_JOINED})"""
 )
 
-_LAYERS = _upto_silver(ship_by_order=True, through_csv=True, by_month=True)
+_LAYERS = _upto_silver(ship_by_order=True, through_csv=True)
 _COUNTS = f"""{_LAYERS}, c AS (SELECT (SELECT count(*) FROM landing) AS landed,
     (SELECT count(*) FROM bronze WHERE order_date IS NOT NULL) AS b, (SELECT count(*) FROM bronze WHERE order_date IS NULL) AS bq,
     (SELECT count(*) FROM silver) AS s, (SELECT count(*) FROM rejected) AS sq,
@@ -169,42 +170,42 @@ def _metrics(values: dict[str, str]) -> str:
 
 
 def _events() -> str:
-    """(job, event, status, input, output, rejected, duplicate) of one full run."""
+    """(job, event, status, dataset, input, output, rejected, duplicate) of one full run."""
     n = "NULL"
     rows = [
-        ("bronze_ingestion", "job_start", "started", n, n, n, n),
-        ("bronze_ingestion", "input_read", n, n, n, n, n),
-        ("bronze_ingestion", "data_transformed", n, n, "b", "bq", n),
-        ("bronze_ingestion", "output_written", n, n, "b", n, n),
-        ("bronze_ingestion", "output_written", n, n, "bq", n, n),
-        ("bronze_ingestion", "catalog_registered", n, n, n, n, n),
-        ("bronze_ingestion", "job_end", "succeeded", "landed", "b", "bq", n),
-        ("silver_cleansing", "job_start", "started", n, n, n, n),
-        ("silver_cleansing", "input_read", n, "b", n, n, n),
-        ("silver_cleansing", "data_transformed", n, "b", "s", "sq", "d"),
-        ("silver_cleansing", "output_written", n, n, "s", n, n),
-        ("silver_cleansing", "output_written", n, n, "sq", n, n),
-        ("silver_cleansing", "catalog_registered", n, n, n, n, n),
-        ("silver_cleansing", "job_end", "succeeded", "b", "s", "sq", "d"),
+        ("bronze_ingestion", "job_start", "started", n, n, n, n, n),
+        ("bronze_ingestion", "input_read", n, n, "landed", n, n, n),
+        ("bronze_ingestion", "data_transformed", n, n, n, "b", "bq", n),
+        ("bronze_ingestion", "output_written", n, "bronze", n, "b", n, n),
+        ("bronze_ingestion", "output_written", n, "bronze_quarantine", n, "bq", n, n),
+        ("bronze_ingestion", "catalog_registered", n, "retail_sales_bronze", n, n, n, n),
+        ("bronze_ingestion", "job_end", "succeeded", n, "landed", "b", "bq", n),
+        ("silver_cleansing", "job_start", "started", n, n, n, n, n),
+        ("silver_cleansing", "input_read", n, n, "b", n, n, n),
+        ("silver_cleansing", "data_transformed", n, n, "b", "s", "sq", "d"),
+        ("silver_cleansing", "output_written", n, "silver", n, "s", n, n),
+        ("silver_cleansing", "output_written", n, "silver_quarantine", n, "sq", n, n),
+        ("silver_cleansing", "catalog_registered", n, "retail_sales_silver", n, n, n, n),
+        ("silver_cleansing", "job_end", "succeeded", n, "b", "s", "sq", "d"),
     ]
     for job, rolled_up in (("gold_sales", "o"), ("gold_customer", "k")):
         rows += [
-            (job, "job_start", "started", n, n, n, n),
-            (job, "input_read", n, "s", n, n, n),
-            (job, "data_transformed", n, "s", rolled_up, n, n),
-            (job, "output_written", n, n, rolled_up, n, n),
-            (job, "catalog_registered", n, n, n, n, n),
-            (job, "output_written", n, n, rolled_up, n, n),
-            (job, "job_end", "succeeded", "s", rolled_up, n, n),
+            (job, "job_start", "started", n, n, n, n, n),
+            (job, "input_read", n, n, "s", n, n, n),
+            (job, "data_transformed", n, n, "s", rolled_up, n, n),
+            (job, "output_written", n, job, n, rolled_up, n, n),
+            (job, "catalog_registered", n, f"retail_sales_{job}", n, n, n, n),
+            (job, "output_written", n, f"{job}_csv", n, rolled_up, n, n),
+            (job, "job_end", "succeeded", n, "s", rolled_up, n, n),
         ]
     names = ("input_row_count", "output_row_count", "rejected_row_count", "duplicate_row_count")
     selects = []
-    for job, event, status, *counts in rows:
-        text = "NULL" if status == n else f"'{status}'"
+    for job, event, status, dataset, *counts in rows:
+        text, name = ("NULL" if v == n else f"'{v}'" for v in (status, dataset))
         numbers = ", ".join(f"CAST({v} AS BIGINT) AS {name}" for v, name in zip(counts, names))
         selects.append(
             f"SELECT '{job}' AS job_name, 'run-1' AS pipeline_run_id, '{event}' AS event,"
-            f" CAST({text} AS VARCHAR) AS status, {numbers} FROM c"
+            f" CAST({text} AS VARCHAR) AS status, {numbers}, CAST({name} AS VARCHAR) AS dataset FROM c"
         )
     return " UNION ALL ".join(selects)
 
@@ -223,7 +224,7 @@ ORACLE: dict[str, str] = {
         {_long('order_date')} AS date_long FROM landing""",
     "split_names": r"""SELECT p_partkey, p_name AS name, string_split_regex(trim(p_name), '\s+')[1] AS first_name,
         CASE WHEN len(string_split_regex(trim(p_name), '\s+')) > 1
-             THEN array_to_string(string_split_regex(trim(p_name), '\s+')[2:101], ' ') END AS last_name FROM part""",
+             THEN array_to_string(string_split_regex(trim(p_name), '\s+')[2:], ' ') END AS last_name FROM part""",
     "parsed_event_days": "SELECT event_id, CAST(ts AS DATE) AS from_date, CAST(ts AS DATE) AS from_timestamp,"
     " CAST(ts AS DATE) AS from_text FROM events",
     "bronze_valid": f"{_upto_bronze()} SELECT {_TYPED}, 'run-1' AS _pipeline_run_id FROM bronze WHERE order_date IS NOT NULL",
@@ -233,8 +234,11 @@ ORACLE: dict[str, str] = {
         count(*) AS with_source FROM lineitem""",
     "silver_prepared": f"{_upto_silver()} SELECT {_TYPED} FROM prepared",
     "row_fingerprints": f"{_upto_silver()} SELECT row_id, sales, {_FINGERPRINT} AS fingerprint FROM prepared",
-    "kept_of_repeated": f"""{_upto_silver()} SELECT {_BUSINESS}, {_FINGERPRINT} AS fingerprint FROM ranked
-        WHERE copy = 1 AND row_id IN (SELECT row_id FROM ranked WHERE copy = 2)""",
+    "kept_of_repeated": f"""{_upto_silver()}, printed AS (SELECT *, {_FINGERPRINT} AS fingerprint FROM prepared
+            WHERE row_id IS NOT NULL),
+        counted AS (SELECT *, count(*) OVER (PARTITION BY row_id) AS n,
+            row_number() OVER (PARTITION BY row_id ORDER BY fingerprint) AS place FROM printed)
+        SELECT {_BUSINESS}, fingerprint FROM counted WHERE place = 1 AND n > 1""",
     "silver_valid": f"{_upto_silver()} SELECT {_TYPED} FROM silver",
     "silver_rejected": f"{_upto_silver()} SELECT {_TYPED}, _rejection_reason FROM rejected",
     "silver_rejection_profile": f"""{_upto_silver()} SELECT reason, count(*) AS "rows"
@@ -257,16 +261,18 @@ ORACLE: dict[str, str] = {
         count(DISTINCT order_id) AS o FROM silver, latest) """
     + _metrics({"orders_last_month": "o1", "orders_last_6_months": "o6", "orders_all_time": "o"}),
     "csv_round_trip": f"WITH {_landing(through_csv=True)} SELECT * FROM landing",
-    "csv_text_round_trip": "SELECT doc_id, lang, nullif(text, '') AS text FROM documents",
-    "csv_text_put_together": "SELECT doc_id, lang, nullif(text, '') AS text FROM documents",
+    "csv_text_round_trip": "SELECT doc_id, nullif(text, '') AS text, nullif(lang, '') AS lang,"
+    " nullif(source, '') AS source, n_chars FROM documents",
     "partitioned_round_trip": f"{_upto_bronze()} SELECT {_TYPED} FROM bronze WHERE order_date IS NOT NULL",
     "days_read_from_partitions": f"{_upto_bronze()} SELECT {_TYPED} FROM bronze WHERE order_date BETWEEN {_WEEK}",
     "partitions_overwritten": f"""{_upto_bronze()} SELECT * REPLACE
         (CASE WHEN order_date BETWEEN {_WEEK} THEN 'moved' ELSE city END AS city) FROM bronze WHERE order_date IS NOT NULL""",
     "published_table": f"{_upto_bronze()} SELECT {_TYPED} FROM bronze WHERE order_date IS NOT NULL",
     "layered_silver": f"{_LAYERS} SELECT {_TYPED} FROM silver",
-    "layered_quarantines": f"""{_LAYERS} SELECT {_QUARANTINED}, 'order_date cannot be parsed' AS _rejection_reason
-        FROM bronze WHERE order_date IS NULL UNION ALL SELECT {_QUARANTINED}, _rejection_reason FROM rejected""",
+    "layered_quarantines": f"""{_LAYERS} SELECT {_QUARANTINED}, 'order_date cannot be parsed' AS _rejection_reason,
+            row_id AS row_id_text, sales AS sales_text, CAST(NULL AS BIGINT) AS row_id, CAST(NULL AS DOUBLE) AS sales
+        FROM bronze WHERE order_date IS NULL
+        UNION ALL SELECT {_QUARANTINED}, _rejection_reason, NULL, NULL, row_id, sales FROM rejected""",
     "layered_gold_sales": f"{_LAYERS} {_SALES}",
     "layered_gold_customers": f"{_LAYERS} {_CUSTOMERS}",
     "gold_csv_copy": f"{_LAYERS} SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({_SALES})",
@@ -290,13 +296,28 @@ ORACLE: dict[str, str] = {
             "all_time_distinct_orders": "o",
         }
     )
-    + """), e AS (SELECT metric, actual, CASE metric
-            WHEN 'bronze_rows' THEN (SELECT CAST(count(*) AS VARCHAR) FROM lineitem WHERE l_quantity <> 6)
-            WHEN 'silver_quarantine_rows' THEN '0' END AS expected FROM m)
+    + """), e AS (SELECT metric, actual, CASE metric WHEN 'silver_quarantine_rows' THEN '0' ELSE actual END AS expected
+            FROM m)
         SELECT metric, actual, expected, actual = expected AS ok FROM e""",
     "run_events": f"{_COUNTS} {_events()}",
-    "daily_increments": f"""{_upto_silver(through_csv=True, by_month=True)} SELECT {_TYPED},
-        CASE WHEN order_date < DATE '1995-07-01' THEN 'early' ELSE 'late' END AS _pipeline_run_id FROM silver""",
+    "daily_increments": f"""{_upto_silver(through_csv=True, shared_ids=True)} SELECT {_TYPED},
+        CASE WHEN order_date >= DATE '1995-07-01' OR (order_date >= DATE '1995-06-01' AND ship_mode = '1-URGENT')
+             THEN 'late' ELSE 'early' END AS _pipeline_run_id FROM silver""",
+    "customer_csv_copy": f"{_LAYERS} SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({_CUSTOMERS})",
+    "published_layers": f"{_COUNTS} "
+    + _metrics(
+        {
+            "retail_sales_bronze": "b",
+            "retail_sales_silver": "s",
+            "retail_sales_gold_sales": "o",
+            "retail_sales_gold_customer": "k",
+        }
+    ),
+    "missing_columns": """SELECT count(*) AS "rows", 'Missing required columns: city, sales' AS message FROM lineitem""",
+    "conflicting_orders_message": f"""{_upto_silver()}, found AS (SELECT order_id FROM ({_ORDER_CONFLICTS}))
+        SELECT (SELECT count(*) FROM silver) AS "rows",
+            'Conflicting order-level attributes detected for order_id(s): ' || (SELECT string_agg(order_id, ', ' ORDER BY order_id)
+                FROM (SELECT order_id FROM found ORDER BY order_id LIMIT 10)) AS message""",
 }
 for _position, _name in enumerate(RULE_NAMES):
     _test, _text = _RULES[_position]

@@ -41,21 +41,21 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing(
-    spark: SparkSession, sf_dir: str, ship_by_order: bool = False, by_month: bool = False
+    spark: SparkSession, sf_dir: str, ship_by_order: bool = False, shared_ids: bool = False
 ) -> DataFrame:
     """``ship_by_order`` gives all lines of an order one ship date, so that orders are consistent.
 
-    ``by_month`` dates all orders of a month on its first day: as many rows, in fewer day folders.
+    ``shared_ids`` gives some lines of different orders, and so of different days, the same row id.
     """
     row_id = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
     order_day, line_day = F.col("o_orderdate").cast("date"), F.col("l_shipdate").cast("date")
-    order_day = F.trunc(order_day, "month") if by_month else order_day
     ship_day = F.date_add(order_day, 5) if ship_by_order else line_day
     null = F.lit(None).cast("string")
+    flaws = {1: null, 2: F.concat(F.lit("R"), row_id), 3: F.concat(row_id, F.lit(".0"))}
+    if shared_ids:
+        flaws[14] = (-F.col("l_suppkey")).cast("string")
     return lines(spark, sf_dir).select(
-        _flawed(
-            row_id, {1: null, 2: F.concat(F.lit("R"), row_id), 3: F.concat(row_id, F.lit(".0"))}
-        ).alias("Row ID"),
+        _flawed(row_id, flaws).alias("Row ID"),
         _flawed(F.concat(F.lit("O-"), "l_orderkey"), {4: F.lit("  ")}).alias("Order ID"),
         _flawed(
             F.date_format(order_day, "dd/MM/yyyy"),
