@@ -269,34 +269,43 @@ def pack(
 def _cutting(schedule, number: dict[str | None, int], wide: bool, with_ids: bool) -> Callable:
     stored = np.dtype("<u4" if wide else "<u2")
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source", "ids"]
-    types = [pa.int64()] * 7 + [pa.string(), pa.list_(pa.int32())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = schedule.value
         for batch in batches:
-            out: list[tuple] = []
             ranges: dict[str | None, tuple[int, int]] = {}
             for source, first, n in rows(batch, "source", "first", "n"):
                 low, high = ranges.get(source, (first, first + n))
                 ranges[source] = (min(low, first), max(high, first + n))
             cuts = {source: plan.cuts(number[source], *ends) for source, ends in ranges.items()}
-            for doc_id, source, first, n, stored_ids in rows(batch, "doc_id", "source", "first", "n", "ids"):
+            found: list[tuple[np.ndarray, ...]] = []
+            sums: list[int] = []
+            parts: list[np.ndarray] = []
+            for source, first, n, stored_ids in rows(batch, "source", "first", "n", "ids"):
                 ids = np.frombuffer(stored_ids, stored).astype("<u4")
                 raw = memoryview(ids.tobytes())
                 windows, begins, offsets = cuts[source]
                 at = int(np.searchsorted(begins, first, "right")) - 1
                 to = int(np.searchsorted(begins, first + n, "left"))
-                edges = begins[at : to + 1].tolist()
-                for k, (low, high) in enumerate(zip(edges, edges[1:]), at):
-                    a, b = max(low, first) - first, min(high, first + n) - first
-                    if a >= b:
-                        continue
-                    row = (doc_id, a, b - a, zlib.crc32(raw[4 * a : 4 * b]), n)
-                    row += (int(windows[k]), int(offsets[k]) + first + a - low, source)
-                    out.append(row + (ids[a:b].astype(np.int32),) * with_ids)
-            width = 8 + with_ids
-            columns = list(zip(*out)) or [()] * width
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names[:width])
+                low = np.maximum(begins[at:to], first)
+                length = np.minimum(begins[at + 1 : to + 1], first + n) - low
+                real = np.flatnonzero(length > 0)  # some windows have no token of the source
+                low, length, place = low[real], length[real], at + real
+                found.append((low - first, length, windows[place], offsets[place] + low - begins[place]))
+                spans = list(zip((low - first).tolist(), (low - first + length).tolist()))
+                sums += [zlib.crc32(raw[4 * a : 4 * b]) for a, b in spans]
+                if with_ids:
+                    parts += [ids[a:b].astype(np.int32) for a, b in spans]
+            if not found:
+                continue
+            start, length, window, offset = (np.concatenate(c) for c in zip(*found))
+            row = pa.array(np.repeat(np.arange(batch.num_rows), [len(f[0]) for f in found]))
+            doc_id, n, source = (batch.column(c).take(row) for c in ("doc_id", "n", "source"))
+            columns = [doc_id, start, length, pa.array(sums, pa.int64()), n, window, offset, source]
+            if with_ids:
+                columns.append(pa.array(parts, pa.list_(pa.int32())))
+            arrays = [c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns]
+            yield pa.RecordBatch.from_arrays(arrays, names[: len(arrays)])
 
     return run
 
