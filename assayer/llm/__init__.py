@@ -1,29 +1,34 @@
-"""Operators for training-data corpora. Nothing else in the library imports this package."""
+"""Operators for training-data corpora. Nothing else in the library imports this package.
 
-from assayer.llm.decontamination import decontaminate, find_contamination
-from assayer.llm.langid import identify_languages
-from assayer.llm.lbl import score_texts
-from assayer.llm.packing import pack
-from assayer.llm.repeats import find_repeats, remove_repeats
-from assayer.llm.simhash import near_duplicates
-from assayer.llm.tokencount import count_tokens
-from assayer.llm.topk import top_k
-from assayer.llm.toxicity import score_toxicity
-from assayer.llm.warc import lookup, read_index, write_archives
+A name's module is imported when the name is first used, so that Python workers load what their
+own operator needs and no more.
+"""
 
-__all__ = [
-    "count_tokens",
-    "decontaminate",
-    "find_contamination",
-    "find_repeats",
-    "identify_languages",
-    "lookup",
-    "near_duplicates",
-    "pack",
-    "read_index",
-    "remove_repeats",
-    "score_texts",
-    "score_toxicity",
-    "top_k",
-    "write_archives",
-]
+from __future__ import annotations
+
+import importlib
+
+_MODULES = {
+    "archive": "warc",
+    "count_tokens": "tokencount",
+    "decontaminate": "decontamination",
+    "find_contamination": "decontamination",
+    "find_repeats": "repeats",
+    "identify_languages": "langid",
+    "lookup": "warc",
+    "near_duplicates": "simhash",
+    "pack": "packing",
+    "read_index": "warc",
+    "remove_repeats": "repeats",
+    "score_texts": "lbl",
+    "score_toxicity": "toxicity",
+    "top_k": "topk",
+    "write_archives": "warc",
+}
+__all__ = list(_MODULES)
+
+
+def __getattr__(name: str):
+    if name not in _MODULES:
+        raise AttributeError(name)
+    return getattr(importlib.import_module(f"assayer.llm.{_MODULES[name]}"), name)

@@ -29,7 +29,7 @@ from assayer.llm.frames import pick, rows
 from assayer.sources.scratch import Scratch
 
 _SCALE = 1 << 16
-MOST_CACHED = 400_000
+MOST_CACHED = 200_000  # stretches; the old cache holds as many again
 # A space between two white spaces (or at the end) belongs to a run, which must not be cut there.
 _IN_RUN = re.compile(r"\s (?=\s|\Z)")
 _APART = re.compile(r"(?<=\S) | (?=\S)")
