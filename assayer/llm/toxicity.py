@@ -95,12 +95,21 @@ def choose_features(documents: list[np.ndarray], labels: np.ndarray, most: int =
 
 
 def fit(
-    documents: list[np.ndarray], labels: np.ndarray, features: int = FEATURES, factors: int = FACTORS, epochs: int = 60
+    documents: list[np.ndarray],
+    labels: np.ndarray,
+    features: int = FEATURES,
+    factors: int = FACTORS,
+    epochs: int = 60,
+    says: np.ndarray | None = None,
 ) -> Machine:
-    """Log-loss with Adagrad on mini-batches, with weight decay; the bias absorbs the share of the classes."""
+    """Log-loss with Adagrad on mini-batches, with weight decay; the bias absorbs the share of the classes.
+
+    ``says`` weighs the documents: how many labelled ones each stands for.
+    """
+    says = np.ones(len(labels)) if says is None or not len(says) else says / says.mean()
     chosen = choose_features(documents, labels, features) if len(set(labels.tolist())) == 2 else []
     place = {bucket: i for i, bucket in enumerate(chosen)}
-    rate = min(max(float(labels.mean()) if len(labels) else 0.0, 1e-3), 1 - 1e-3)
+    rate = min(max(float((says * labels).mean()) if len(labels) else 0.0, 1e-3), 1 - 1e-3)
     rng = np.random.default_rng(7)
     bias, weights = float(np.log(rate / (1 - rate))), np.zeros(len(chosen))
     machine = Machine(place, bias, weights, rng.normal(0, 0.01, (len(chosen), factors)))
@@ -112,11 +121,11 @@ def fit(
     squares = [1e-6, np.full(len(chosen), 1e-6), np.full((len(chosen), factors), 1e-6)]
     for _ in range(epochs):
         for part in np.array_split(rng.permutation(len(x)), max(1, len(x) // 256)):
-            xb, yb = x[part], labels[part]
+            xb, yb, say = x[part], labels[part], says[part]
             total = xb @ machine.factors
             pairs = 0.5 * (total**2 - xb @ machine.factors**2).sum(axis=1)
             logit = np.clip(machine.bias + xb @ machine.weights + pairs, -30, 30)
-            error = (1 / (1 + np.exp(-logit)) - yb) / len(part)
+            error = say * (1 / (1 + np.exp(-logit)) - yb) / len(part)
             steps = [
                 float(error.sum()),
                 xb.T @ error + 1e-5 * machine.weights,
@@ -130,14 +139,16 @@ def fit(
     return machine
 
 
-def sample(docs: DataFrame, labels: DataFrame, most: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Up to ``most`` labelled training rows of each class, by hash of the id, as buckets and labels.
+def sample(docs: DataFrame, labels: DataFrame, most: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Up to ``most`` labelled training rows of each class, by hash of the id, as buckets, labels and weights.
 
-    The ids are chosen before the texts are touched, so that the texts of the sample alone are joined.
+    A row weighs as many labels of its class as there are for each one taken, so that the weighted
+    classes have the shares of all usable labels, whatever ``most`` is. The ids are chosen before the texts are touched, so that the texts of the sample alone are joined.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     usable = pick(labels, "doc_id", "toxic").select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int"))
     usable = usable.where("id is not null and toxic in (0, 1)").where(crc_mod(F.col("id"), 5) != 0)
+    counts = dict(usable.groupBy("toxic").count().collect())
     chosen = None
     for label in (0, 1):
         part = usable.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id").limit(most)
@@ -156,7 +167,9 @@ def sample(docs: DataFrame, labels: DataFrame, most: int) -> tuple[list[np.ndarr
 
     found = joined.mapInArrow(run, "id long, terms binary, toxic int").orderBy(F.xxhash64("id"), "id", "toxic", "terms")
     rows_ = found.limit(2 * most).collect()
-    return [np.frombuffer(r["terms"], np.int32) for r in rows_], np.array([r["toxic"] for r in rows_], float)
+    says = [counts[r["toxic"]] / min(counts[r["toxic"]], most) for r in rows_]
+    documents = [np.frombuffer(r["terms"], np.int32) for r in rows_]
+    return documents, np.array([r["toxic"] for r in rows_], float), np.array(says, float)
 
 
 def score_toxicity(
@@ -165,12 +178,13 @@ def score_toxicity(
     """``doc_id, held_out, score, predicted`` for each row of ``docs(doc_id, text)``.
 
     Learns from at most ``most`` rows of each class of ``labels(doc_id, toxic)`` whose
-    ``crc32`` of the id modulo 5 is not 0; labels that are null or neither 0 nor 1 are not
+    ``crc32`` of the id modulo 5 is not 0, weighted to the shares that the classes have in all of them; labels that are null or neither 0 nor 1 are not
     used, repeated ones count as they stand. Null and empty texts hold no term and get the
     score of the bias. Without labels of both classes every text gets the share of the class.
     Other columns are ignored; an empty table gives an empty result.
     """
-    machine = docs.sparkSession.sparkContext.broadcast(fit(*sample(docs, labels, most), features, factors))
+    documents, marks, says = sample(docs, labels, most)
+    machine = docs.sparkSession.sparkContext.broadcast(fit(documents, marks, features, factors, says=says))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[int, ...]] = {}

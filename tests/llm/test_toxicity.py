@@ -62,6 +62,18 @@ def test_nothing_to_learn_from(documents, labels):
     assert len(scores) == 1 and 0 <= scores.pop() < 0.5
 
 
+def test_shares_of_the_classes_hold_when_both_are_sampled(documents, labels):
+    """One text in ten is toxic, and three in ten of those with a weak term: they stay below a half."""
+    marks = [(i, int(i % 10 == 0 if i < 900 else i % 10 < 3)) for i in range(1200)]
+    texts = documents([(i, "plain" if i < 900 else "plain weak") for i in range(1200)] + [(5000, "plain weak"), (5001, None)])
+    scores = {}
+    for most in (30, 6000):
+        got = {r["doc_id"]: r for r in score_toxicity(texts, labels(marks), most=most).collect()}
+        scores[most] = [got[i]["score"] for i in (5000, 5001)]
+        assert got[5000]["predicted"] == 0
+    assert np.allclose(scores[30], scores[6000], atol=0.15)
+
+
 def test_terms():
     found = terms("Idiots, idiotic".encode())
     assert all(0 <= t < BUCKETS for t in found) and len(found) == 2 + 3
