@@ -14,6 +14,7 @@ _MODULES = {
     "decontaminate": "decontamination",
     "find_contamination": "decontamination",
     "find_repeats": "repeats",
+    "first_rows": "simhash",
     "identify_languages": "langid",
     "lookup": "warc",
     "near_duplicates": "simhash",

@@ -112,10 +112,16 @@ def _slices(benchmark: DataFrame, window: int, slice_bytes: int) -> Iterator[Sli
 
 
 def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slice_bytes: int = SLICE_BYTES, keep_text: bool = False
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    slice_bytes: int = SLICE_BYTES,
+    keep_text: bool = False,
+    columns: tuple[str, ...] = (),
 ) -> DataFrame:
     """For each row of ``docs(doc_id, text)``: ``doc_id, n_words, n_hit, n_items, items_sha256,
-    contaminated, items``; with ``keep_text`` also ``clean_text``, without the hit spans.
+    contaminated, items``; with ``keep_text`` also ``clean_text``, without the hit spans; and the
+    named other columns, of which ``text`` may be one.
 
     ``items`` are the distinct ids, as text and sorted, of the items of ``benchmark(item_id,
     text)`` of which a window occurs. An item shorter than a window is one window; an item
@@ -124,28 +130,34 @@ def find_contamination(
     empty benchmark no text is contaminated.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
-    state = pick(docs, "doc_id", "text").select(
+    others = [c for c in columns if c != "text"]
+    state = pick(docs, "doc_id", "text", *others).select(
         F.col("doc_id").cast("long"),
-        text_bytes(F.col("text")).alias("text"),
+        F.col("text").cast("string").cast("binary").alias("text"),
         F.lit(None).cast("binary").alias("hit"),
         F.array().cast("array<string>").alias("items"),
+        *others,
     )
+    types = {f.name: f.dataType.simpleString() for f in state.schema}
     previous = None
     for part in _slices(benchmark, window, slice_bytes):
         if previous is not None:
-            state = scratch.stage(state.mapInArrow(_marking(previous), state.schema), "marked")
+            state = scratch.stage(state.mapInArrow(_marking(previous, others), state.schema), "marked")
         previous = spark.sparkContext.broadcast(part)
     text = ", clean_text binary" if keep_text else ""
     result = state.mapInArrow(
-        _reporting(previous, keep_text),
+        _reporting(previous, keep_text, columns),
         "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
-        f"items array<string>{text}",
+        f"items array<string>{text}" + "".join(f", {c} {types[c]}" for c in columns),
     )
+    if "text" in columns:
+        result = result.withColumn("text", F.col("text").cast("string"))
     return result.withColumn("clean_text", F.col("clean_text").cast("string")) if keep_text else result
 
 
 def _scanned(batch: pa.RecordBatch, part: Slice) -> Iterator[tuple]:
     for doc_id, text, hit, items in rows(batch, "doc_id", "text", "hit", "items"):
+        text = text or b""
         found = words(text)
         marks, names = scan(found, part)
         if hit is not None:
@@ -153,7 +165,7 @@ def _scanned(batch: pa.RecordBatch, part: Slice) -> Iterator[tuple]:
         yield doc_id, text, marks, sorted(names.union(items))
 
 
-def _marking(part):
+def _marking(part, others: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [(hit, items) for _, _, hit, items in _scanned(batch, part.value)]
@@ -163,14 +175,15 @@ def _marking(part):
                     batch.column("text"),
                     pa.array([np.packbits(hit).tobytes() for hit, _ in found], pa.binary()),
                     pa.array([items for _, items in found], pa.list_(pa.string())),
+                    *[batch.column(c) for c in others],
                 ],
-                ["doc_id", "text", "hit", "items"],
+                ["doc_id", "text", "hit", "items", *others],
             )
 
     return run
 
 
-def _reporting(part, keep_text: bool):
+def _reporting(part, keep_text: bool, others: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -182,7 +195,8 @@ def _reporting(part, keep_text: bool):
             types = [pa.int64()] * 4 + [pa.string(), pa.bool_(), pa.list_(pa.string())] + [pa.binary()] * keep_text
             names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "clean_text"]
             columns = list(zip(*out)) or [()] * len(types)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names[: len(types)])
+            arrays = [pa.array(c, t) for c, t in zip(columns, types)] + [batch.column(c) for c in others]
+            yield pa.RecordBatch.from_arrays(arrays, [*names[: len(types)], *others])
 
     return run
 

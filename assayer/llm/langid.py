@@ -136,8 +136,11 @@ def known(text: bytes) -> bool:
     return _LETTER.search(text.decode("utf-8", "replace")) is not None
 
 
-def identify_languages(docs: DataFrame, per_language: int = PER_LANGUAGE, most: int = SAMPLE) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score, ambiguous`` for each row of ``docs(doc_id, text, lang)``.
+def identify_languages(
+    docs: DataFrame, per_language: int = PER_LANGUAGE, most: int = SAMPLE, columns: tuple[str, ...] = ()
+) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score, ambiguous`` for each row of ``docs(doc_id, text, lang)``, and
+    the named other columns, of which ``text`` may be one.
 
     Learns from at most ``per_language`` rows of each language and ``most`` in all, of those
     with a ``lang`` whose ``crc32`` of the id modulo 3 is not 1; a rare language past ``most``
@@ -151,7 +154,7 @@ def identify_languages(docs: DataFrame, per_language: int = PER_LANGUAGE, most:
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                texts = part.column("text").to_pylist()
+                texts = [t or b"" for t in part.column("text").to_pylist()]
                 names: list[str] = [UNKNOWN] * len(texts)
                 scores, unsure = np.zeros(len(texts)), np.zeros(len(texts), bool)
                 usable = [k for k, t in enumerate(texts) if known(t)] if model.value.languages else []
@@ -161,15 +164,22 @@ def identify_languages(docs: DataFrame, per_language: int = PER_LANGUAGE, most:
                         names[k] = model.value.languages[number]
                     scores[usable], unsure[usable] = share, share < AMBIGUOUS
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("held_out"), pa.array(names), pa.array(scores), pa.array(unsure)],
-                    ["doc_id", "held_out", "lang_pred", "score", "ambiguous"],
+                    [part.column("doc_id"), part.column("held_out"), pa.array(names), pa.array(scores), pa.array(unsure)]
+                    + [part.column(c) for c in columns],
+                    ["doc_id", "held_out", "lang_pred", "score", "ambiguous", *columns],
                 )
 
-    narrow = pick(docs, "doc_id", "text").select(
+    others = [c for c in columns if c != "text"]
+    narrow = pick(docs, "doc_id", "text", *others).select(
         F.col("doc_id").cast("long"),
         (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"),
-        text_bytes(F.col("text")).alias("text"),
+        F.col("text").cast("string").cast("binary").alias("text"),
+        *others,
     )
-    return narrow.mapInArrow(
-        run, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean"
+    types = {f.name: f.dataType.simpleString() for f in narrow.schema}
+    result = narrow.mapInArrow(
+        run,
+        "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean"
+        + "".join(f", {c} {types[c]}" for c in columns),
     )
+    return result.withColumn("text", F.col("text").cast("string")) if "text" in columns else result

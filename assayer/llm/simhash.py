@@ -50,18 +50,22 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * set_in > len(starts), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``doc_id`` and ``code``, the fingerprint as a signed long, for each row."""
+def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, columns: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, ``code``, the fingerprint as a signed long, and the named other columns for each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = np.array([fingerprint(t, shingle, seed) for t in batch.column("text").to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(codes.view(np.int64), pa.int64())], ["doc_id", "code"]
+                [batch.column("doc_id"), pa.array(codes.view(np.int64), pa.int64()), *[batch.column(c) for c in columns]],
+                ["doc_id", "code", *columns],
             )
 
-    narrow = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), text_bytes(F.col("text")).alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, code long")
+    narrow = pick(docs, "doc_id", "text", *columns).select(
+        F.col("doc_id").cast("long"), text_bytes(F.col("text")).alias("text"), *columns
+    )
+    others = "".join(f", {f.name} {f.dataType.simpleString()}" for f in narrow.schema if f.name in columns)
+    return narrow.mapInArrow(run, f"doc_id long, code long{others}")
 
 
 def links(codes: DataFrame, max_bits: int = 2) -> DataFrame:
@@ -82,6 +86,17 @@ def links(codes: DataFrame, max_bits: int = 2) -> DataFrame:
     ).distinct()
 
 
+def _rooted(codes: DataFrame, max_bits: int, scratch: Scratch) -> DataFrame:
+    """``codes`` with ``root``, the smallest code of the component."""
+    linked = components(links(codes.select("code"), max_bits), scratch)
+    return scratch.stage(
+        codes.join(linked, codes["code"] == linked["node"], "left").select(
+            *[codes[c] for c in codes.columns], F.coalesce("root", "code").alias("root")
+        ),
+        "rooted",
+    )
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seed: int = 42) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for each row of ``docs(doc_id, text)``.
 
@@ -94,15 +109,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seed:
     scratch = Scratch(docs.sparkSession)
     prints = scratch.stage(fingerprints(docs, shingle, seed), "prints")
     codes = scratch.stage(prints.groupBy("code").agg(F.min("doc_id").alias("first_id")), "codes")
-    linked = components(links(codes.select("code"), max_bits), scratch)
-    rooted = scratch.stage(
-        codes.join(linked, codes["code"] == linked["node"], "left").select(
-            "code", "first_id", F.coalesce("root", "code").alias("root")
-        ),
-        "rooted",
-    )
+    rooted = _rooted(codes, max_bits, scratch)
     names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = scratch.stage(rooted.join(names, "root").select("code", "component_id"), "named")
     return prints.join(named, "code").select(
         "doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def first_rows(docs: DataFrame, key: str, shingle: int = 3, max_bits: int = 2, seed: int = 42) -> DataFrame:
+    """``key`` of one row of each component of ``docs(doc_id, text, key)``: of the rows with the smallest
+    id, where null comes last, the one with the smallest key. Components are those of ``near_duplicates``,
+    told apart by their codes, so rows of different components may share an id or have none."""
+    scratch = Scratch(docs.sparkSession)
+    prints = scratch.stage(fingerprints(docs, shingle, seed, (key,)), "prints")
+    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key)
+    codes = scratch.stage(prints.groupBy("code").agg(F.min(at).alias("first")), "codes")
+    firsts = _rooted(codes, max_bits, scratch).groupBy("root").agg(F.min("first").alias("first"))
+    return scratch.stage(firsts.select(F.col(f"first.{key}").alias(key)), "firsts")

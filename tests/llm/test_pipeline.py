@@ -43,6 +43,28 @@ def test_stages_in_turn(spark, documents, tmp_path):
     assert kept["packing"].count() == corpus_pipeline.run(spark, folder).count()
 
 
+def test_rows_are_judged_by_themselves_whatever_their_id(spark, documents, tmp_path):
+    """Null and repeated ids: clean, unequal rows stay, and one of each group of copies."""
+    item = " the item of the test set with ten words exactly here"
+    rows = [(None, text(i), "en", "s0") for i in range(6)] + [(7, text(10 + i), "en", "s1") for i in range(4)]
+    rows += [(None, text(2), "en", "s0"), (None, text(3), "en", "s1"), (7, text(11), "en", "s1"), (9, text(4), "en", "s0")]
+    rows += [(None, None, "en", "s0"), (7, "12 !", "en", "s0"), (None, text(20) + item, "en", "s0"), (7, text(21) + item, "en", "s0")]
+    folder = str(tmp_path)
+    pick(documents(rows), *corpus_pipeline.COLUMNS).write.parquet(f"{folder}/documents.parquet")
+    items = [(1, "The item of the test set, with ten words exactly here.")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    docs, kept = spark.read.parquet(f"{folder}/documents.parquet"), {}
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        stage(spark, docs, folder).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+        kept[name] = sorted(((r["doc_id"], r["text"]) for r in docs.collect()), key=repr)
+    clean = [(None, text(i)) for i in (0, 1, 2, 3, 5)] + [(9, text(4))] + [(7, text(10 + i)) for i in range(4)]
+    dirty = [(None, text(20) + item), (7, text(21) + item)]
+    assert kept["language id"] == sorted([(r[0], r[1]) for r in rows[:14]] + dirty, key=repr)
+    assert kept["simhash near-dedup"] == sorted(clean + dirty, key=repr)
+    assert kept["benchmark decontamination"] == sorted(clean, key=repr)
+
+
 def test_given_documents(spark):
     pieces = corpus_pipeline.run(spark, SF_DIR).collect()
     lengths = {}
