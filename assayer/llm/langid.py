@@ -139,13 +139,13 @@ def known(text: bytes) -> bool:
 def identify_languages(
     docs: DataFrame, per_language: int = PER_LANGUAGE, most: int = SAMPLE, columns: tuple[str, ...] = ()
 ) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score, ambiguous`` for each row of ``docs(doc_id, text, lang)``, and
-    the named other columns, of which ``text`` may be one.
+    """``doc_id, held_out, lang_pred, score, ambiguous, letterless`` for each row of ``docs(doc_id, text,
+    lang)``, and the named other columns, of which ``text`` may be one.
 
     Learns from at most ``per_language`` rows of each language and ``most`` in all, of those
     with a ``lang`` whose ``crc32`` of the id modulo 3 is not 1; a rare language past ``most``
     languages is not learned. Null, empty and letterless texts are ``und`` with score 0, as is
-    every text when no language can be learned. Repeated rows come back as often; other columns
+    every text when no language can be learned; ``letterless`` tells these apart. Repeated rows come back as often; other columns
     are ignored; an empty table gives an empty result.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(*sample(docs, per_language, most)))
@@ -157,7 +157,8 @@ def identify_languages(
                 texts = [t or b"" for t in part.column("text").to_pylist()]
                 names: list[str] = [UNKNOWN] * len(texts)
                 scores, unsure = np.zeros(len(texts)), np.zeros(len(texts), bool)
-                usable = [k for k, t in enumerate(texts) if known(t)] if model.value.languages else []
+                lettered = [known(t) for t in texts]
+                usable = [k for k, has in enumerate(lettered) if has] if model.value.languages else []
                 if usable:
                     best, share = model.value.decode(np.array([features(texts[k]) for k in usable]))
                     for k, number in zip(usable, best.tolist()):
@@ -165,8 +166,8 @@ def identify_languages(
                     scores[usable], unsure[usable] = share, share < AMBIGUOUS
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("held_out"), pa.array(names), pa.array(scores), pa.array(unsure)]
-                    + [part.column(c) for c in columns],
-                    ["doc_id", "held_out", "lang_pred", "score", "ambiguous", *columns],
+                    + [pa.array([not has for has in lettered], pa.bool_()), *[part.column(c) for c in columns]],
+                    ["doc_id", "held_out", "lang_pred", "score", "ambiguous", "letterless", *columns],
                 )
 
     others = [c for c in columns if c != "text"]
@@ -179,7 +180,7 @@ def identify_languages(
     types = {f.name: f.dataType.simpleString() for f in narrow.schema}
     result = narrow.mapInArrow(
         run,
-        "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean"
+        "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean, letterless boolean"
         + "".join(f", {c} {types[c]}" for c in columns),
     )
     return result.withColumn("text", F.col("text").cast("string")) if "text" in columns else result

@@ -35,7 +35,7 @@ def piece_model() -> bytes:
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identify_languages(table(spark, sf_dir, "documents"))
+    return identify_languages(table(spark, sf_dir, "documents")).drop("letterless")
 
 
 def op2_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:

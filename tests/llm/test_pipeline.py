@@ -65,6 +65,12 @@ def test_rows_are_judged_by_themselves_whatever_their_id(spark, documents, tmp_p
     assert kept["benchmark decontamination"] == sorted(clean, key=repr)
 
 
+def test_documents_without_any_language_stay(spark, documents, tmp_path):
+    docs = documents([(i, text(i)) for i in range(5)] + [(6, None), (7, "12 !")])
+    kept = corpus_pipeline.known_language(spark, docs, str(tmp_path))
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(5))
+
+
 def test_given_documents(spark):
     pieces = corpus_pipeline.run(spark, SF_DIR).collect()
     lengths = {}
