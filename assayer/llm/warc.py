@@ -6,8 +6,8 @@ length comes from its header, never from a search for the separator.
 
 The capture index has two levels. Captures are sorted by reversed-host key and cut into blocks
 of lines, which are compressed; the directory keeps the first and last key of each block. A
-lookup searches the directory, decompresses the blocks that can hold the key, and reads the
-ranges that their lines name from the archives.
+lookup scans the directory, decompresses the blocks that can hold the key, loads the archives
+that their lines name and cuts the ranges out of them.
 """
 
 from __future__ import annotations
@@ -235,10 +235,10 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def lookup(spark: SparkSession, path: str, urls: list[str], with_payload: bool = True) -> DataFrame:
-    """The captures of some URLs, with ``payload`` read by range from the archives.
+    """The captures of some URLs, with ``payload`` cut from the archives.
 
-    The directory is searched by its keys, only the blocks found are decompressed, and only the
-    files named in them are read. A revisit's payload is null; ``refers_to`` names its response.
+    The whole directory is scanned, only the blocks found are decompressed, and only the
+    files named in them are loaded, whole. A revisit's payload is null; ``refers_to`` names its response.
     """
     keys = sorted({surt(u) for u in urls})
     shared = spark.sparkContext.broadcast(keys)
