@@ -1,8 +1,9 @@
-"""Removal of long repeated byte strings, by bucket-pointer refinement over sampled suffixes.
+"""Removal of long repeated byte strings, by hashes around sampled anchors.
 
 A string of ``length`` bytes is judged through its anchor: the place in it whose q-gram has the
 smallest hash. Equal strings have equal anchors, and neighbouring strings mostly share theirs, so
-one suffix in about sixty stands for all of them. The anchors are sorted into buckets and refined:
+one suffix in about sixty stands for all of them. The anchors are grouped and the groups refined by
+content hashes, in place of bucket-pointer refinement, which sorts buckets by those of later offsets:
 
 1. by the q-gram at the anchor. A q-gram that occurs once ends the search.
 2. by the identifier of the run, which is all that the strings of this anchor cover. A run
