@@ -14,6 +14,7 @@ _MODULES = {
     "decontaminate": "decontamination",
     "find_contamination": "decontamination",
     "find_repeats": "repeats",
+    "find_runs": "periodic",
     "first_rows": "simhash",
     "identify_languages": "langid",
     "lookup": "warc",

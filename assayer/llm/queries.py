@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -12,6 +13,7 @@ from assayer.llm.decontamination import find_contamination
 from assayer.llm.langid import identify_languages
 from assayer.llm.lbl import score_texts
 from assayer.llm.packing import pack
+from assayer.llm.periodic import describe_runs, find_runs
 from assayer.llm.repeats import find_repeats
 from assayer.llm.simhash import near_duplicates
 from assayer.llm.tokencount import count_tokens
@@ -78,6 +80,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def plant_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """In a tenth of the texts, by their id, the words from one on repeat the first few of them. Rows without id stay."""
+    if doc_id is None or not words:
+        return words
+    drawn, tenth = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if tenth:
+        return words
+    first = drawn % len(words)
+    left = len(words) - first
+    part = words[first : first + 1 + left // (3 + drawn % 8)]
+    return words[:first] + (part * (left // len(part) + 1))[:left]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return describe_runs(find_runs(table(spark, sf_dir, "documents"), exponent=4, length=6, rewrite=plant_period))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -91,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_token_counts,
         op10_toxicity,
+        op13_periodic_runs,
     )
 }
 
