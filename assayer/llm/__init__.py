@@ -18,12 +18,14 @@ _MODULES = {
     "first_rows": "simhash",
     "identify_languages": "langid",
     "lookup": "warc",
+    "manifest": "merkle",
     "near_duplicates": "simhash",
     "pack": "packing",
     "read_index": "warc",
     "remove_repeats": "repeats",
     "score_texts": "lbl",
     "score_toxicity": "toxicity",
+    "tampered_proofs": "merkle",
     "top_k": "topk",
     "write_archives": "warc",
 }

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from assayer.llm.decontamination import find_contamination
 from assayer.llm.langid import identify_languages
 from assayer.llm.lbl import score_texts
+from assayer.llm.merkle import tampered_proofs
 from assayer.llm.packing import pack
 from assayer.llm.periodic import describe_runs, find_runs
 from assayer.llm.repeats import find_repeats
@@ -22,6 +23,9 @@ from assayer.llm.toxicity import score_toxicity
 from assayer.llm.warc import archive
 
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -80,6 +84,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lower = F.translate(F.col("text").cast("string"), _UPPER, _UPPER.lower())
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    return tampered_proofs(docs, columns, "lang", "doc_id", {"text": lower}, third)
+
+
 def plant_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """In a tenth of the texts, by their id, the words from one on repeat the first few of them. Rows without id stay."""
     if doc_id is None or not words:
@@ -110,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_token_counts,
         op10_toxicity,
+        op12_merkle_manifest,
         op13_periodic_runs,
     )
 }
@@ -151,7 +164,7 @@ FROM largest
 
 
 def _words(column: str) -> str:
-    lower = f"translate({column}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    lower = f"translate({column}, '{_UPPER}', '{_UPPER.lower()}')"
     return f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 
@@ -184,8 +197,85 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM docs LEFT JOIN found USING (doc_id) LEFT JOIN covered USING (doc_id)
 """
 
+def _encoded(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"coalesce(CAST(strlen({text}) AS VARCHAR) || ':' || {text}, '-')"
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of ASCII text, bit by bit."""
+    bit = "xor(x >> 1, 3988292384 * (x & 1))"
+    byte = f"list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, _: {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([4294967295], {codes}), lambda crc, byte: {byte}), 4294967295)"
+
+
+_ROW = " || ".join(map(_encoded, ("doc_id", "source", "lang", "n_chars")))
+_MERKLE = f"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, lang, sha256({_ROW} || {_encoded("text")}) AS leaf,
+           CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0
+                THEN sha256({_ROW} || {_encoded(f"translate(text, '{_UPPER}', '{_UPPER.lower()}')")}) END AS changed
+    FROM documents
+),
+leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+           count(*) OVER (PARTITION BY lang) AS n
+    FROM docs
+),
+nodes(lang, level, idx, n, digest) AS (
+    SELECT lang, 0, idx, n, leaf FROM leaves
+    UNION ALL
+    SELECT lang, level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx))
+    FROM nodes WHERE n > 1 GROUP BY lang, level, idx // 8, (n + 7) // 8
+),
+subroots AS (
+    SELECT lang, digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS n
+    FROM nodes WHERE n = 1
+),
+tops(level, idx, n, digest) AS (
+    SELECT 0, idx, n, digest FROM subroots
+    UNION ALL
+    SELECT level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx))
+    FROM tops WHERE n > 1 GROUP BY level, idx // 8, (n + 7) // 8
+),
+runs AS (
+    SELECT lang, level, idx // 8 AS run, list(digest ORDER BY idx) AS digests
+    FROM nodes WHERE n > 1 GROUP BY lang, level, idx // 8
+),
+top_runs AS (
+    SELECT level, idx // 8 AS run, list(digest ORDER BY idx) AS digests FROM tops WHERE n > 1 GROUP BY level, idx // 8
+),
+places AS (
+    SELECT l.lang, l.idx, r.level, r.digests, (l.idx // (1::BIGINT << (3 * r.level))) % 8 AS pos
+    FROM leaves l JOIN runs r ON l.lang IS NOT DISTINCT FROM r.lang AND l.idx // (1::BIGINT << (3 * r.level + 3)) = r.run
+    UNION ALL
+    SELECT l.lang, l.idx, 100 + r.level, r.digests, (s.idx // (1::BIGINT << (3 * r.level))) % 8
+    FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+    JOIN top_runs r ON s.idx // (1::BIGINT << (3 * r.level + 3)) = r.run
+),
+steps AS (
+    SELECT lang, idx, level, array_to_string(digests[1:pos], '') AS l, array_to_string(digests[pos + 2:], '') AS r
+    FROM places
+),
+paths AS (
+    SELECT lang, idx, string_agg(l || r, '' ORDER BY level) AS siblings, list({{'l': l, 'r': r}} ORDER BY level) AS path
+    FROM steps GROUP BY lang, idx
+),
+proofs AS (
+    SELECT v.doc_id, v.leaf, s.digest AS subroot, (SELECT digest FROM tops WHERE n = 1) AS root,
+           sha256(coalesce(p.siblings, '')) AS proof_sha256,
+           list_reduce(list_concat([{{'l': '', 'r': coalesce(v.changed, v.leaf)}}], coalesce(p.path, [])),
+                       lambda a, b: {{'l': '', 'r': sha256(b.l || a.r || b.r)}}).r AS folded_root
+    FROM leaves v JOIN subroots s ON v.lang IS NOT DISTINCT FROM s.lang
+    LEFT JOIN paths p ON v.lang IS NOT DISTINCT FROM p.lang AND v.idx = p.idx
+)
+SELECT *, folded_root = root AS verified FROM proofs
+"""
+
 ORACLE: dict[str, str] = {
     "op2_top_k_search": _TOP_K,
     "op5_archive_index": _ARCHIVE,
     "op6_decontamination": _DECONTAMINATION,
+    "op12_merkle_manifest": _MERKLE,
 }
