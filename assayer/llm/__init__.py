@@ -25,6 +25,7 @@ _MODULES = {
     "remove_repeats": "repeats",
     "score_texts": "lbl",
     "score_toxicity": "toxicity",
+    "shard_groups": "sharding",
     "tampered_proofs": "merkle",
     "top_k": "topk",
     "write_archives": "warc",

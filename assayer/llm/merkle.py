@@ -20,18 +20,17 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayer.llm.frames import Workspace, pick
-from assayer.sources.sizing import sized_shuffles
+from assayer.llm.ranking import PLACE, offsets, ordered, rank
 
 FAN = 8
 #: Rows that may join with one copy of a node.
 PER_KEY = 4096
 #: The tree over the subroots; the groups' trees count from 0.
 TOP = -1
-_PLACE = ["_part", "_file"]
 _PATH = "array<struct<left:string,right:string>>"
 
 
@@ -59,28 +58,6 @@ def siblings(path: Column) -> Column:
     return F.array_join(F.transform(path, lambda step: F.concat(step["left"], step["right"])), "")
 
 
-def ordered(rows: DataFrame, order: Sequence[str], work: Workspace) -> DataFrame:
-    """``rows`` written in order, by ranges, with the part, file and row number each lies at."""
-    with sized_shuffles(rows):
-        by_range = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        written = work.stage(by_range.withColumn("_part", F.spark_partition_id()), "ordered")
-    return written.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-
-
-def offsets(placed: DataFrame, group: Sequence[str]) -> DataFrame:
-    """For each group and file of ``ordered`` the group's first row there, and how many it has before it.
-
-    Few rows: files cut the order into ranges, so most hold one group.
-    """
-    counted = placed.groupBy(*group, *_PLACE).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy(*group).orderBy(*_PLACE).rowsBetween(Window.unboundedPreceding, -1)
-    return counted.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-
-
-def _rank() -> Column:
-    return F.col("_row") - F.col("_first") + F.col("_before")
-
-
 def runs(nodes: DataFrame, level: int, fan: int, *more: str) -> DataFrame:
     """The nodes of the next level: ``tree, level, idx, n, members, digest``. A run has ``fan`` members at most.
 
@@ -176,19 +153,19 @@ def manifest(
 
     # Groups are numbered in their order; these numbers are their places in the tree over the subroots.
     sizes = ordered(starts.groupBy(group).agg(F.sum("_rows").alias("n")), [group], work)
-    trees = sizes.join(offsets(sizes, []), _PLACE).select(
-        F.col(group).alias("_group"), "n", _rank().cast("int").alias("tree")
+    trees = sizes.join(offsets(sizes, []), PLACE).select(
+        F.col(group).alias("_group"), "n", rank().cast("int").alias("tree")
     )
     trees = work.stage(trees, "trees")
     count, most, total = trees.agg(F.count(F.lit(1)), *[F.coalesce(f("n"), F.lit(0)) for f in (F.max, F.sum)]).first()
 
     # Joined with the small table first, so that the leaves are joined once.
     named = starts.join(trees, F.col(group).eqNullSafe(F.col("_group"))).select(
-        *[F.col(c).alias(f"{c}_at") for c in _PLACE], "_group", "tree", "n", "_first", "_before"
+        *[F.col(c).alias(f"{c}_at") for c in PLACE], "_group", "tree", "n", "_first", "_before"
     )
-    same = [placed[c] == named[f"{c}_at"] for c in _PLACE]
+    same = [placed[c] == named[f"{c}_at"] for c in PLACE]
     numbered = placed.join(named, [*same, placed[group].eqNullSafe(named["_group"])]).select(
-        "tree", "n", _rank().alias("idx"), F.col("leaf").alias("digest"), group, *kept
+        "tree", "n", rank().alias("idx"), F.col("leaf").alias("digest"), group, *kept
     )
 
     floor = work.stage(runs(numbered, 1, fan, group, *kept), "level")

@@ -16,6 +16,7 @@ from assayer.llm.merkle import tampered_proofs
 from assayer.llm.packing import pack
 from assayer.llm.periodic import describe_runs, find_runs
 from assayer.llm.repeats import find_repeats
+from assayer.llm.sharding import shard_groups
 from assayer.llm.simhash import near_duplicates
 from assayer.llm.tokencount import count_tokens
 from assayer.llm.topk import top_k
@@ -84,6 +85,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = shard_groups(table(spark, sf_dir, "documents"), shards=16)
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     lower = F.translate(F.col("text").cast("string"), _UPPER, _UPPER.lower())
@@ -122,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_token_counts,
         op10_toxicity,
+        op11_best_fit_shards,
         op12_merkle_manifest,
         op13_periodic_runs,
     )
