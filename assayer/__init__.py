@@ -17,10 +17,12 @@ from assayer.plans.jobs import (
     Publish,
     run_all,
     run_bronze,
+    run_facts,
     run_gold_customers,
     run_gold_sales,
     run_silver,
 )
+from assayer.plans.keyindex import KeyIndex
 from assayer.plans.layers import (
     check_customers,
     check_orders,
@@ -41,6 +43,7 @@ __all__ = [
     "CleanContract",
     "CustomerContract",
     "IngestContract",
+    "KeyIndex",
     "OrderContract",
     "Publish",
     "Rule",
@@ -56,6 +59,7 @@ __all__ = [
     "require_columns",
     "run_all",
     "run_bronze",
+    "run_facts",
     "run_gold_customers",
     "run_gold_sales",
     "run_silver",

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from assayer.contracts import date_part_names
 from assayer.operators.columns import col
-from assayer.sources.scratch import Scratch
+from assayer.sources.folders import Day, Replaced, exists, finish_replacing, folder_name, replace_folders
 from assayer.sources.sizing import write_tasks
 
 SaveMode = Literal["overwrite", "append", "overwrite_partitions"]
@@ -83,45 +83,60 @@ def write_parquet(
     one from every task. It is a rebalance, not a plain repartition: a folder with very
     many rows is spread over several tasks, and small ones share a task.
 
-    ``overwrite_partitions`` replaces the folders that occur in ``df`` and no others.
+    ``overwrite_partitions`` replaces the folders that occur in ``df`` and no others, as ``replace_days`` does.
     """
     if not partition_by:
         df.write.mode("overwrite" if mode == "overwrite_partitions" else mode).parquet(path)
         return
-    writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
     if mode == "overwrite_partitions":
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    else:
-        writer = writer.mode(mode).option("partitionOverwriteMode", "static")
+        replace_days(df, path, partition_by, (), task_bytes)
+        return
+    _write_folders(df, path, partition_by, mode, task_bytes)
+    _with_a_file(df, path)
+
+
+def _write_folders(df: DataFrame, path: str, partition_by: Sequence[str], mode: str, task_bytes: int) -> None:
+    writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
     with write_tasks(df.sparkSession, task_bytes):
-        writer.parquet(path)
+        writer.mode(mode).option("partitionOverwriteMode", "static").parquet(path)
+
+
+def _with_a_file(df: DataFrame, path: str) -> None:
+    """Without rows there are no folders and no file to take a schema from."""
     if not _readable(df.sparkSession, path):
-        # Without rows there are no folders and no file to take a schema from.
         empty = df.sparkSession.createDataFrame([], df.schema)
         empty.write.mode("append").parquet(path)
 
 
+def replace_days(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    days: Sequence[Day] = (),
+    task_bytes: int = _WRITE_TASK_BYTES,
+) -> Replaced:
+    """Write the folders that occur in ``df`` anew; those of ``days`` that do not occur in it go.
+
+    ``df`` may read the table: new folders are written beside the old ones before they take their place, and
+    a run that breaks off in between leaves a note by which the next one goes on.
+    """
+    done = replace_folders(
+        df.sparkSession,
+        path,
+        partition_by,
+        lambda beside: _write_folders(df, beside, partition_by, "errorifexists", task_bytes),
+        [folder_name(partition_by, day) for day in days],
+    )
+    _with_a_file(df, path)
+    return done
+
+
 def write_csv(df: DataFrame, path: str, mode: Literal["overwrite", "append"] = "overwrite") -> None:
     """Headered CSV copy, a folder with a file from each task."""
     keep_spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     df.write.mode(mode).options(**CSV_DIALECT, **keep_spaces).csv(path)
 
 
-def _files(spark: SparkSession, path: str):
-    """The file system of a path, and the path as it wants it."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
-
-
-def day_folders(path: str, partition_by: Sequence[str], days: Sequence[Sequence[object]]) -> list[str]:
-    return ["/".join([path.rstrip("/"), *map(_folder_name, partition_by, day)]) for day in days]
-
-
-def _folder_name(name: str, value: object) -> str:
-    return f"{name}=" + ("__HIVE_DEFAULT_PARTITION__" if value is None else str(value))
-
-
 def distinct_days(df: DataFrame, partition_by: Sequence[str]) -> list[tuple]:
     """The folders that rows lie in or belong to; as many as there are days."""
     return sorted(tuple(r) for r in df.select(*[col(c) for c in partition_by]).distinct().collect())
@@ -131,42 +146,27 @@ def read_days(
     spark: SparkSession, path: str, partition_by: Sequence[str], days: Sequence[Sequence[object]]
 ) -> DataFrame | None:
     """The rows in the folders of some days, with all their columns, reading nothing else; None without folders."""
-    there = []
-    for folder in day_folders(path, partition_by, days):
-        files, at = _files(spark, folder)
-        if files.exists(at):
-            there.append(folder)
+    folders = [f"{path.rstrip('/')}/{folder_name(partition_by, day)}" for day in days]
+    there = [folder for folder in folders if exists(spark, folder)]
     if not there:
         return None
     return spark.read.option("basePath", path).option("mergeSchema", True).parquet(*there)
 
 
-def delete_days(spark: SparkSession, path: str, partition_by: Sequence[str], days: Sequence[Sequence[object]]) -> None:
-    for folder in day_folders(path, partition_by, days):
-        files, at = _files(spark, folder)
-        files.delete(at, True)
-
-
 def add_to_days(
-    new: DataFrame,
-    path: str,
-    partition_by: Sequence[str],
-    scratch: Scratch,
-    keep: Callable[[DataFrame], DataFrame],
-) -> list[tuple]:
+    new: DataFrame, path: str, partition_by: Sequence[str], keep: Callable[[DataFrame], DataFrame]
+) -> Replaced:
     """Add rows to a table in day folders, so that adding them again changes nothing.
 
     The folders of the new rows are written anew, from those old rows that ``keep`` leaves,
     which should drop the rows of an earlier attempt, and the new ones. Other folders are not
-    touched. ``new`` must be a written table. Returns the days.
+    touched. ``new`` must be a written table.
     """
-    days = distinct_days(new, partition_by)
-    old = read_days(new.sparkSession, path, partition_by, days)
+    finish_replacing(new.sparkSession, path)
+    old = read_days(new.sparkSession, path, partition_by, distinct_days(new, partition_by))
     if old is not None:
-        # Folders cannot be read and overwritten at the same time.
-        new = scratch.stage(keep(old).unionByName(new, allowMissingColumns=True), "days")
-    write_parquet(new, path, partition_by, "overwrite_partitions")
-    return days
+        new = keep(old).unionByName(new, allowMissingColumns=True)
+    return replace_days(new, path, partition_by)
 
 
 def between_days(

@@ -25,6 +25,15 @@ def with_conf(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
             spark.conf.set(name, value)
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session with the same options, for a job that sets some while others run beside it."""
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
+            session.conf.set(name, value)
+    return session
+
+
 def input_bytes(df: DataFrame) -> int:
     """Spark's own size estimate; for a file scan, the bytes on disk."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

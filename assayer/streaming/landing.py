@@ -44,7 +44,7 @@ def append_new_files(
             def of_other_files(old: DataFrame) -> DataFrame:
                 return old.join(files, SOURCE_FILE, "left_anti").select(*[col(c) for c in old.columns])
 
-            add_to_days(split.valid, bronze_path, contract.partitions, scratch, of_other_files)
+            add_to_days(split.valid, bronze_path, contract.partitions, of_other_files)
             write_parquet(split.rejected.withColumn(BATCH, F.lit(number)), quarantine_path, [BATCH], "overwrite_partitions")
 
     query = (

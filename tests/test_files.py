@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from assayer import between_days, publish_table, read_csv, read_parquet, write_csv, write_parquet
 from assayer.sources.files import add_to_days
+from assayer.sources.folders import Replaced
 from assayer.sources.scratch import Scratch, scratch_root
 from assayer.sources.sizing import shuffle_tasks, sized_shuffles, with_conf
 
@@ -99,8 +100,9 @@ def test_rows_are_added_to_their_days(spark, tmp_path):
     with Scratch(spark) as scratch:
         staged = scratch.stage(new, "new")
         for _ in range(2):
-            touched = add_to_days(staged, path, DAY, scratch, lambda old: old.where("id < 1000"))
-    assert touched == [(2018, 2, 1), (2018, 2, 2)]
+            touched = add_to_days(staged, path, DAY, lambda old: old.where("id < 1000"))
+    folders = tuple(f"order_year=2018/order_month=2/order_day={day}" for day in (1, 2))
+    assert touched == Replaced(put=folders)
     back = read_parquet(spark, path, merge_schema=True)
     assert back.count() == 105 + 4 and back.where("promo = 'p'").count() == 5 and back.where("extra = 'e'").count() == 4
 
