@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from assayer.contracts import date_part_names
 from assayer.operators.columns import col
-from assayer.sources.folders import Day, Replaced, exists, finish_replacing, folder_name, replace_folders
+from assayer.sources.folders import Day, Replaced, existing_folders, exists, finish_replacing, folder_name, replace_folders
 from assayer.sources.sizing import write_tasks
 
 SaveMode = Literal["overwrite", "append", "overwrite_partitions"]
@@ -22,6 +22,9 @@ SaveMode = Literal["overwrite", "append", "overwrite_partitions"]
 # Shuffled bytes one task of a partitioned write gets; about a quarter of it ends up in a file.
 _WRITE_TASK_BYTES = 512 * 1024 * 1024
 
+# Folders that are looked for by name; beyond that the table's folders are listed at once.
+_ASKED_ONE_BY_ONE = 16
+
 # The CSV dialect.
 CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"'}
 
@@ -146,11 +149,15 @@ def read_days(
     spark: SparkSession, path: str, partition_by: Sequence[str], days: Sequence[Sequence[object]]
 ) -> DataFrame | None:
     """The rows in the folders of some days, with all their columns, reading nothing else; None without folders."""
-    folders = [f"{path.rstrip('/')}/{folder_name(partition_by, day)}" for day in days]
-    there = [folder for folder in folders if exists(spark, folder)]
+    wanted = [folder_name(partition_by, day) for day in days]
+    if len(wanted) > _ASKED_ONE_BY_ONE:
+        there = set(existing_folders(spark, path, partition_by)).intersection(wanted)
+    else:
+        there = {folder for folder in wanted if exists(spark, f"{path.rstrip('/')}/{folder}")}
     if not there:
         return None
-    return spark.read.option("basePath", path).option("mergeSchema", True).parquet(*there)
+    paths = [f"{path.rstrip('/')}/{folder}" for folder in sorted(there)]
+    return spark.read.option("basePath", path).option("mergeSchema", True).parquet(*paths)
 
 
 def add_to_days(

@@ -111,31 +111,38 @@ def _read_note(spark: SparkSession, beside: str) -> dict | None:
     return json.loads(text)
 
 
-def _move(spark: SparkSession, source: str, target: str) -> None:
-    """Move a folder in place of another one; nothing to do where it has been moved already."""
-    files, new = file_system(spark, source)
-    if not files.exists(new):
-        return
-    _, at = file_system(spark, target)
-    files.delete(at, True)
-    files.mkdirs(at.getParent())
-    if not files.rename(new, at):
-        raise OSError(f"Cannot move {source} to {target}")
+def _carry_out(spark: SparkSession, path: str, beside: str, note: dict, again: bool = True) -> None:
+    """Delete and move as the note says; ``again`` if some of it may have been done already.
 
+    Calls to the file system are few for each folder, since there may be as many as days.
+    """
+    files, _ = file_system(spark, path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    depth = [part.split("=")[0] for part in (note["put"] or note["gone"] or [""])[0].split("/")]
+    there = set(existing_folders(spark, path, depth))
+    left = set(existing_folders(spark, beside, depth)) if again else set(note["put"])
+    for parent in sorted({folder.rpartition("/")[0] for folder in left}):
+        files.mkdirs(at(f"{path}/{parent}"))
 
-def _carry_out(spark: SparkSession, path: str, beside: str, note: dict) -> None:
     def gone(folder: str) -> None:
-        delete(spark, f"{path}/{folder}")
+        files.delete(at(f"{path}/{folder}"), True)
 
     def put(folder: str) -> None:
-        _move(spark, f"{beside}/{folder}", f"{path}/{folder}")
+        _move(files, at(f"{beside}/{folder}"), at(f"{path}/{folder}"), folder in there)
 
     with ThreadPoolExecutor(_MOVES_AT_ONCE) as pool:
-        list(pool.map(gone, note["gone"]))
-        list(pool.map(put, note["put"]))
+        list(pool.map(gone, there.intersection(note["gone"])))
+        list(pool.map(put, [folder for folder in note["put"] if folder in left]))
     delete(spark, beside)
 
 
+def _move(files, source, target, occupied: bool) -> None:
+    if occupied:
+        files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"Cannot move {source} to {target}")
+
+
 def add_files(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
     """Have ``write`` write beside, and move its files into the folder. Several jobs may do so at a time,
     which Spark's own appending does not allow."""
@@ -143,8 +150,8 @@ def add_files(spark: SparkSession, path: str, write: Callable[[str], None]) -> N
     write(beside)
     for file in _listed(spark, f"{_literal(beside)}/part-*"):
         files, at = file_system(spark, file)
-        _, folder = file_system(spark, f"{path.rstrip('/')}/{file.split('/')[-1]}")
-        if not files.rename(at, folder):
+        _, target = file_system(spark, f"{path.rstrip('/')}/{file.split('/')[-1]}")
+        if not files.rename(at, target):
             raise OSError(f"Cannot move {file} to {path}")
     delete(spark, beside)
 
@@ -181,6 +188,8 @@ def replace_folders(
     write(beside)
     put = existing_folders(spark, beside, partition_by)
     gone = sorted(set(emptied) - set(put))
-    _write_note(spark, beside, {"put": put, "gone": gone})
-    finish_replacing(spark, path)
+    note = {"put": put, "gone": gone}
+    _write_note(spark, beside, note)
+    _carry_out(spark, path, beside, note, again=False)
+    delete(spark, f"{path}/{PENDING}")
     return Replaced(tuple(put), tuple(gone))

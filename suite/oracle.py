@@ -303,6 +303,8 @@ ORACLE: dict[str, str] = {
     "daily_increments": f"""{_upto_silver(through_csv=True, shared_ids=True)} SELECT {_TYPED},
         CASE WHEN order_date >= DATE '1995-07-01' OR (order_date >= DATE '1995-06-01' AND ship_mode = '1-URGENT')
              THEN 'late' ELSE 'early' END AS _pipeline_run_id FROM silver""",
+    "daily_gold_customers": f"{_upto_silver(through_csv=True)} {_CUSTOMERS}",
+    "daily_order_conflicts": f"{_upto_silver(through_csv=True)} {_ORDER_CONFLICTS}",
     "customer_csv_copy": f"{_LAYERS} SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({_CUSTOMERS})",
     "published_layers": f"{_COUNTS} "
     + _metrics(

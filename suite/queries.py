@@ -14,6 +14,7 @@ from assayer import (
     RETAIL_CUSTOMERS,
     RETAIL_INGEST,
     RETAIL_ORDERS,
+    KeyIndex,
     Publish,
     between_days,
     check_orders,
@@ -24,6 +25,7 @@ from assayer import (
     require_columns,
     run_all,
     run_bronze,
+    run_facts,
     run_gold_customers,
     run_gold_sales,
     run_silver,
@@ -42,6 +44,7 @@ from assayer.operators.duplicates import first_per_key, repeated_keys, with_fing
 from assayer.operators.ingest import parse_dates
 from assayer.operators.rollups import distinct_orders, latest_date, roll_up_customers, snapshot_date
 from assayer.operators.rules import count_rejected_for, rejection_profile
+from assayer.plans.facts import Facts
 from assayer.plans.jobs import BRONZE_TABLE, CUSTOMER_TABLE, FOLDERS, SALES_TABLE, SILVER_TABLE
 from assayer.plans.metrics import as_metrics, count_rows, layer_metrics, reconcile
 from assayer.sources.scratch import Scratch
@@ -411,12 +414,51 @@ def daily_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     for name, (rows, _) in deliveries.items():
         write_csv(rows, f"{root}/landing/{name}")
+    index = KeyIndex(f"{root}/index")
     for name in ("early", "late", "early"):
-        run_bronze(spark, f"{root}/landing/{name}", f"{root}/bronze", name, mode="overwrite_partitions")
-        run_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/rejected", name, days=deliveries[name][1])
+        run_bronze(spark, f"{root}/landing/{name}", f"{root}/bronze", name, mode="overwrite_partitions", index=index)
+        run_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/rejected", name, days=deliveries[name][1], index=index)
     return read_parquet(spark, f"{root}/silver").select(*_TYPED, "_pipeline_run_id")
 
 
+def _daily_facts(spark: SparkSession, sf_dir: str, kind: str) -> tuple[Facts, str]:
+    """The facts of orders or customers, and where the layers lie, after three deliveries. The second one brings the
+    last months with wrong customers and cities on urgent orders, the third brings the same days as they should be."""
+    root = _fresh(spark)
+    raw = landing(spark, sf_dir)
+    day, cut, end = parse_date(F.col("Order Date"), "dd/MM/yyyy"), datetime.date(1998, 4, 1), datetime.date(2069, 12, 31)
+    late = raw.where(F.coalesce(day >= F.lit(cut), F.lit(True)))
+    urgent = F.col("Ship Mode") == "1-URGENT"
+    wrong = late.withColumns(
+        {name: F.when(urgent, F.concat(name, F.lit(" wrong"))).otherwise(F.col(name)) for name in ("Customer ID", "City")}
+    )
+    deliveries = [
+        ("early", raw.where(day < F.lit(cut)), (datetime.date(1970, 1, 1), cut - datetime.timedelta(1))),
+        ("late", wrong, (cut, end)),
+        ("late", late, (cut, end)),
+    ]
+    index, facts = KeyIndex(f"{root}/index"), {}
+    for i, (name, rows, days) in enumerate(deliveries):
+        write_csv(rows, f"{root}/landing/{i}")
+        run_bronze(spark, f"{root}/landing/{i}", f"{root}/bronze", name, mode="overwrite_partitions", index=index)
+        run = run_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/rejected", name, days=days, index=index)
+        facts = run_facts(spark, f"{root}/silver", f"{root}/facts", name, days=run.days if i else None, kinds=(kind,))
+    return facts[kind], root
+
+
+def daily_gold_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer snapshot of facts that were kept from delivery to delivery."""
+    facts, root = _daily_facts(spark, sf_dir, "customers")
+    run_gold_customers(spark, facts, f"{root}/customers", RUN_ID)
+    return read_parquet(spark, f"{root}/customers").select(*RETAIL_CUSTOMERS.columns)
+
+
+def daily_order_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders in conflict, judged anew where a delivery touched them."""
+    facts, _ = _daily_facts(spark, sf_dir, "orders")
+    return facts.conflicts(spark)
+
+
 # --- errors, as the text that a caller gets ------------------------------------
 
 
@@ -496,6 +538,8 @@ QUERIES: dict[str, Query] = {
         reconciled_layers,
         run_events,
         daily_increments,
+        daily_gold_customers,
+        daily_order_conflicts,
         customer_csv_copy,
         published_layers,
         missing_columns,
