@@ -29,6 +29,10 @@ BLOCK = 16384
 QUERIES = 256
 STEP = 16  # width of a segment in integer units
 ROUNDS = 8
+#: Accumulated contributions are exact up to this; where they could pass it, all vectors of a block are scored.
+EXACT = 1 << 52
+#: Scores and their bounds stay below this, so that they fit a long.
+MOST = 1 << 61
 
 
 class Index(NamedTuple):
@@ -61,12 +65,13 @@ def search(index: Index, query: np.ndarray, k: int, own: int | None, step: int =
     slack = np.abs(query) * (step - 1)
     most = np.abs(query) * (high - low)
     top = int(most.max()) if dims else 0
+    rounds = ROUNDS if int(np.abs(query).max(initial=0)) * int(np.abs(falling).max(initial=0) + 1) * step * 4 * dims < EXACT else 0
     sums = np.full(size, floor.sum(), np.int64)
     met = np.zeros(dims, np.int64)  # postings processed, from the dimension's own end
     allowed = max(4 * k, size >> 6)
     banned = ids == own if own is not None else np.zeros(size, bool)
     possible = np.flatnonzero(~banned)
-    for turn in range(1, ROUNDS + 1):
+    for turn in range(1, rounds + 1):
         bar = top * (ROUNDS - turn) // ROUNDS
         places, gains, rest = [], [], slack.copy()
         for d in np.flatnonzero(query):
@@ -107,11 +112,13 @@ def search(index: Index, query: np.ndarray, k: int, own: int | None, step: int =
 
 
 def quantised(embedding: Column) -> Column:
-    """``floor(1024 * x)`` of each component; null for vectors with a null or non-finite component."""
+    """``floor(1024 * x)`` of each component; null for vectors with a null or non-finite component,
+    or one so large that a score might not fit a long."""
     values = F.transform(embedding, lambda x: F.floor(x.cast("double") * 1024).cast("long"))
+    most = F.sqrt(F.lit(float(MOST)) / F.greatest(F.size(embedding), F.lit(1)))
     bad = F.exists(
         embedding,
-        lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == F.lit(float("inf"))),
+        lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) * 1024 > most),
     )
     return F.when(F.coalesce(bad, F.lit(True)), F.lit(None)).otherwise(values)
 
@@ -150,12 +157,13 @@ def top_k(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` best rows of ``vectors(vec_id, embedding)``.
 
-    ``is_query`` is a condition on ``vec_id``. Candidates are all rows but those with the
-    query's own id. Scores are inner products of the vectors in 1/1024, rounded down; ties go
-    to the smaller id, and rows that repeat an id count each. Null vectors, vectors with null or
-    non-finite components and rows without an id take no part; vectors of different length do
-    not meet. A query that repeats an id counts once, with its first vector. Other columns are
-    ignored; no queries or no candidates give no rows.
+    ``is_query`` is a condition on ``vec_id``. Candidates are all rows but the query's own. Scores
+    are inner products of the vectors in 1/1024, rounded down; ties go to the smaller id, and rows that
+    repeat an id count each. Null vectors, vectors with null or non-finite components and rows without
+    an id take no part; nor do vectors with a component of more than ``sqrt(2 ** 61 / n) / 1024``, ``n``
+    being their length, whose scores might not fit a long. Vectors of different length do not meet. Of
+    rows that repeat a query's id the least vector asks, and the others are candidates. Other columns
+    are ignored; no queries or no candidates give no rows.
 
     Queries and rows meet block by block. Each pair of blocks is a task's work of bounded size.
     """
@@ -188,18 +196,24 @@ def top_k(
                 )
                 names = np.frombuffer(row["query_ids"], np.int64)
                 asked_here = np.frombuffer(row["query_vectors"], np.int64).reshape(len(names), dim)
+                # One more than asked for, since one of them may be the query's own row.
                 found = [
-                    (int(name), vec_id, score)
+                    (int(name), vec_id, score, int(query @ query))
                     for name, query in zip(names, asked_here)
-                    for score, vec_id in search(index, query, k, int(name), step)
+                    for score, vec_id in search(index, query, k + 1, None, step)
                 ]
-                columns = list(zip(*found)) or [(), (), ()]
+                columns = list(zip(*found)) or [(), (), (), ()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"]
+                    [pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score", "own_score"]
                 )
 
-    near = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+    near = pairs.mapInArrow(run, "query_id long, vec_id long, score long, own_score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score"
-    )
+    best = near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
+    # Rows of the query's id and own score look alike; one of them is its own.
+    own = (F.col("vec_id") == F.col("query_id")) & (F.col("score") == F.col("own_score"))
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    best = best.withColumn("own", own).withColumn("owned", F.sum(own.cast("int")).over(upto))
+    others = best.where(~(F.col("own") & (F.col("owned") == 1)))
+    rank = (F.col("place") - F.least("owned", F.lit(1))).cast("int")
+    return others.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

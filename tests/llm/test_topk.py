@@ -27,12 +27,15 @@ def vectors(spark):
 def plain(rows, k, is_query):
     usable = []
     for i, v in rows:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
+        most = (2**61 / max(1, len(v or []))) ** 0.5 / 1024
+        if i is not None and v is not None and all(x is not None and abs(np.float32(x)) <= most for x in v):
             usable.append((i, [int(np.floor(1024 * float(np.float32(x)))) for x in v]))
     out = []
     for q in sorted({i for i, _ in usable if is_query(i)}):
         query = min(v for i, v in usable if i == q)
-        scored = [(-sum(a * b for a, b in zip(query, v)), i) for i, v in usable if i != q and len(v) == len(query)]
+        others = list(usable)
+        others.remove((q, query))
+        scored = [(-sum(a * b for a, b in zip(query, v)), i) for i, v in others if len(v) == len(query)]
         out += [(q, n, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k], 1)]
     return sorted(out, key=repr)
 
@@ -65,6 +68,31 @@ def test_odd_rows(vectors):
     assert found(got, "query_id", "rank", "vec_id", "score") == plain(rows, 5, lambda i: i % 10 == 0)
 
 
+def test_rows_that_repeat_a_query(vectors):
+    """Of equal rows one asks and the others are candidates; so are rows of its id with other vectors."""
+    rows = [(0, [0.5, 0.5]), (0, [0.5, 0.5]), (0, [0.5, 0.25]), (0, [0.25, 0.75]), (10, [0.5, 0.5]), (10, [-1.0, 0.0])]
+    rows += [(i, [0.01 * i, 0.3]) for i in range(1, 10)]
+    for k in (1, 3, 20):
+        got = top_k(vectors(rows), F.col("vec_id") % 10 == 0, k=k, block=4, queries=1)
+        assert found(got, "query_id", "rank", "vec_id", "score") == plain(rows, k, lambda i: i % 10 == 0)
+
+
+def test_large_components(vectors):
+    """Scores beyond what sums of contributions hold exactly; what might not fit a long takes no part."""
+    rng = random.Random(5)
+    rows = [(i, [rng.choice([-1, 1]) * rng.random() * 10 ** rng.randrange(6) for _ in range(4)]) for i in range(50)]
+    rows += [(60, [1e30, 0.0, 0.0, 0.0]), (70, [7e5, 7e5, -7e5, 7e5]), (71, [7e5, 7e5, 7e5, 7e5]), (72, [8e5, 0.0, 0.0, 0.0])]
+    got = top_k(vectors(rows), F.col("vec_id") % 10 == 0, k=5, block=16)
+    assert found(got, "query_id", "rank", "vec_id", "score") == plain(rows, 5, lambda i: i % 10 == 0)
+
+
+def test_long_vectors(vectors):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(0, 1, 768).tolist()) for i in range(40)]
+    got = top_k(vectors(rows), F.col("vec_id") % 10 == 0, k=3)
+    assert found(got, "query_id", "rank", "vec_id", "score") == plain(rows, 3, lambda i: i % 10 == 0)
+
+
 def test_fewer_candidates_than_k(vectors):
     rows = [(0, [1.0, -1.0]), (1, [0.5, 0.5]), (2, [-1.0, 1.0])]
     got = top_k(vectors(rows), F.col("vec_id") == 0, k=10)
