@@ -1,10 +1,11 @@
 """Keep one row per key, chosen by content, however many copies a key has.
 
 A window over the key would pull all copies of a key into one task and sort the whole
-table. Here wide rows move once at most, and copies of a key never have to meet:
+table. Here wide rows move once at most, and no more than ``PER_KEY`` copies of a key meet:
 
 1. repeated keys   one narrow aggregation over the key column alone
-2. contenders      key, fingerprint, tie-breakers and place of the rows of those keys
+2. contenders      key, fingerprint, tie-breakers and place of the rows of those keys; the rows of
+                   very frequent ones are dealt to several tasks
 3. losers          the places of all contenders but the best of each key, which is found with
                    one candidate for each task and key
 4. the mark        all rows against the losers on the place, which is unique
@@ -28,7 +29,9 @@ from assayer.operators.columns import SOURCE_FILE, col
 from assayer.sources.scratch import Scratch
 
 PLACE = ["_in_file", "_at_row"]
-_PRINT, _LOST, _RANK = "_print", "_lost", "_rank"
+#: Rows of one key that may meet in a task.
+PER_KEY = 1 << 20
+_PRINT, _LOST, _RANK, _COUNT, _COPIES, _SALT = "_print", "_lost", "_rank", "_n", "_copies", "_salt"
 
 
 def payload_columns(df: DataFrame) -> list[str]:
@@ -58,10 +61,32 @@ def with_place(df: DataFrame, scratch: Scratch) -> DataFrame:
         return placed(scratch.stage(df, "rows"))
 
 
+def repeated_counts(df: DataFrame, key: str) -> DataFrame:
+    """Keys on more than one row, and on how many; null is not a key."""
+    counts = df.where(col(key).isNotNull()).groupBy(col(key)).agg(F.count(F.lit(1)).alias(_COUNT))
+    return counts.where(col(_COUNT) > 1)
+
+
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
-    """Keys on more than one row; null is not a key."""
-    counts = df.where(col(key).isNotNull()).groupBy(col(key)).agg(F.count(F.lit(1)).alias("n"))
-    return counts.where("n > 1").select(col(key))
+    return repeated_counts(df, key).select(col(key))
+
+
+def rows_of(df: DataFrame, repeated: DataFrame, key: str, per_key: int = PER_KEY) -> DataFrame:
+    """The rows of ``df`` whose key is in ``repeated``, a written table of ``repeated_counts``.
+
+    A key with more than ``per_key`` rows is listed several times, and its rows are dealt to these copies by
+    their place, so that they do not meet in one task when the join is shuffled. There are no more such
+    keys than ``per_key`` goes into the rows, so the list of them alone is broadcast.
+    """
+    copies = (col(_COUNT) - 1 - (col(_COUNT) - 1) % per_key) / per_key + 1
+    hot = repeated.select(col(key), copies.cast("long").alias(_COPIES)).where(col(_COPIES) > 1)
+    if hot.isEmpty():
+        return df.join(repeated, key, "left_semi")
+    salt = F.pmod(F.xxhash64(*PLACE), F.coalesce(col(_COPIES), F.lit(1)))
+    dealt = df.join(F.broadcast(hot), key, "left").withColumn(_SALT, salt)
+    last = copies.cast("long") - 1
+    listed = repeated.select(col(key), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias(_SALT))
+    return dealt.join(listed, [key, _SALT], "left_semi").select(*[col(c) for c in df.columns])
 
 
 def first_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
@@ -80,13 +105,13 @@ def losing_places(
     Rows with a null key are never copies, and take no part in any join.
     """
     scratch = scratch or Scratch(df.sparkSession)
-    repeated = scratch.stage(repeated_keys(df, key), "repeated-keys")
+    repeated = scratch.stage(repeated_counts(df, key), "repeated-keys")
     if repeated.isEmpty():
         return None
     order = [_PRINT, *tie_columns(df), *PLACE]
     # Reduced to what the ranking needs before the join, so that no wide row is shuffled for it.
     narrow = with_fingerprint(df, payload).where(col(key).isNotNull()).select(*[col(c) for c in [key, *order]])
-    contenders = scratch.stage(narrow.join(repeated, key, "left_semi"), "contenders")
+    contenders = scratch.stage(rows_of(narrow, repeated, key), "contenders")
     kept = scratch.stage(first_per_key(contenders, key, *order).select(*PLACE), "kept")
     return scratch.stage(contenders.select(*PLACE).join(kept, PLACE, "left_anti"), "losers")
 

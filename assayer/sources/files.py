@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import datetime
 from collections import Counter
 from collections.abc import Callable, Sequence
@@ -22,6 +23,9 @@ SaveMode = Literal["overwrite", "append", "overwrite_partitions"]
 # Shuffled bytes one task of a partitioned write gets; about a quarter of it ends up in a file.
 _WRITE_TASK_BYTES = 512 * 1024 * 1024
 
+# Differently written headers that are looked at; more of them cannot all be the same names.
+_HEADERS_COMPARED = 1000
+
 # Folders that are looked for by name; beyond that the table's folders are listed at once.
 _ASKED_ONE_BY_ONE = 16
 
@@ -48,11 +52,34 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     a lone carriage return is one too.
 
     All files must have the header of the first one, in the same order; reading another one
-    raises. Blank and repeated headers cannot be compared, so such files are not checked.
+    raises. Spark compares them while it reads. Where headers are blank or repeated it cannot, and
+    the first lines of all files are compared before.
     """
     reader = spark.read.options(**CSV_DIALECT, multiLine=multi_line)
     schema = reader.csv(path).schema
-    return reader.options(**header_options(schema.names)).schema(schema).csv(path)
+    comparable = header_options(schema.names)
+    if not comparable:
+        compare_headers(spark, path)
+    return reader.options(**comparable).schema(schema).csv(path)
+
+
+def first_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line``: the first line of each file that has one. Every task keeps one line of a file."""
+    place = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_block_start")]
+    lines = spark.read.text(path).select("value", *place).where("file_block_start = 0")
+    lines = lines.withColumn("at", F.monotonically_increasing_id())
+    return lines.groupBy(F.col("file_path").alias("file")).agg(F.min_by("value", "at").alias("line"))
+
+
+def compare_headers(spark: SparkSession, path: str) -> None:
+    """ValueError when files have different headers; how a name is quoted makes no difference."""
+    texts = first_lines(spark, path).groupBy("line").agg(F.min("file").alias("file")).orderBy("file")
+    found: dict[tuple[str, ...], str] = {}
+    for row in texts.limit(_HEADERS_COMPARED).collect():
+        names = next(csv.reader([row["line"].removeprefix("\ufeff")], doublequote=True), [])
+        found.setdefault(tuple(names), row["file"])
+    if len(found) > 1:
+        raise ValueError(f"Files have different headers, for example {' and '.join(list(found.values())[:2])}")
 
 
 def read_parquet(

@@ -85,6 +85,17 @@ def test_files_with_another_header_are_refused(spark, tmp_path, other, multi_lin
         read_csv(spark, path, multi_line).collect()
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_blank_and_repeated_headers_are_compared(spark, tmp_path, multi_line):
+    for name, header in (("a", "x,,x"), ("b", '"x",,"x"')):
+        (tmp_path / f"{name}.csv").write_text(f"{header}\n1,2,3\n4,5,6\n")
+    (tmp_path / "empty.csv").write_text("")
+    assert read_csv(spark, str(tmp_path), multi_line).count() == 4
+    (tmp_path / "c.csv").write_text("x,x,\n1,2,3\n")
+    with pytest.raises(ValueError, match="different headers.*[ac].csv"):
+        read_csv(spark, str(tmp_path), multi_line)
+
+
 def test_csv_copy_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("a,b", 'say "x"'), ("line\nbreak", None), (" sp ", "\t")], "p string, q string")
     write_csv(df, str(tmp_path / "copy"))

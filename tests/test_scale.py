@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from assayer import RETAIL_CLEAN, RETAIL_CUSTOMERS, RETAIL_ORDERS, run_silver, split_silver, write_parquet
 from assayer.functions import date_parts
 from assayer.operators.consistency import conflicts
-from assayer.operators.duplicates import first_per_key, mark_duplicates, repeated_keys
+from assayer.operators.duplicates import first_per_key, mark_duplicates, repeated_counts, repeated_keys, rows_of, with_place
 from assayer.operators.rollups import distinct_orders, roll_up_customers, roll_up_orders
 from assayer.sources.scratch import Scratch
+from assayer.sources.sizing import with_conf
 
 
 def exchanged(df):
@@ -76,6 +77,29 @@ def test_marking_has_no_window_and_reads_only_the_key_to_find_repeats(spark):
         assert schemas == ["struct<row_id:string>"]
 
 
+def test_rows_of_a_hot_key_are_dealt_to_several_tasks(spark):
+    """A third of the rows have one key. Shuffled, no task gets more than twice the median."""
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.enabled": "false",
+    }
+    with Scratch(spark) as scratch, with_conf(spark, options):
+        keys = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id").cast("long") % 9000)
+        rows = with_place(scratch.stage(spark.range(30_000, numPartitions=4).select(keys.alias("k"), "id"), "rows"), scratch)
+        repeated = scratch.stage(repeated_counts(rows, "k"), "repeated")
+        plain, dealt = rows_of(rows, repeated, "k"), rows_of(rows, repeated, "k", per_key=20)
+
+        def sizes(df):
+            counts = df.groupBy(F.spark_partition_id().alias("task")).count().collect()
+            return sorted(r["count"] for r in counts)
+
+        assert max(sizes(plain)) > 2 * sizes(plain)[4]
+        assert len(sizes(dealt)) == 8 and max(sizes(dealt)) <= 2 * sizes(dealt)[4]
+        assert "SortMergeJoin" in plan(dealt) and sorted(dealt.columns) == sorted(rows.columns)
+        assert sorted(r["id"] for r in dealt.collect()) == sorted(r["id"] for r in plain.collect())
+
+
 class Watched(Scratch):
     """Keeps the plan of each staged table."""
 
