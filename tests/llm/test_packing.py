@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -6,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from assayer.llm.packing import Schedule, WordCache, pack, sequences
+from assayer.llm.packing import Encoder, Schedule, pack, sequences
 from assayer.llm.queries import byte_tokenizer
 from tests.llm.conftest import SF_DIR
 
@@ -99,11 +100,49 @@ def test_schedule_is_a_partition(seed):
         assert taken[:, -1].tolist() == totals
 
 
-def test_cached_stretches_equal_the_library(tokenizer):
-    rng, cache = random.Random(1), WordCache(byte_tokenizer())
-    alphabets = ["ab ", "a \n\t", "ab'sé 1.", "x <|endoftext|>", "  \x1c\x85a　"]
+def odd_texts():
+    rng = random.Random(1)
+    alphabets = ["ab ", "a \n\t", "ab'sé 1.", "x <|endoftext|>", "  \x1c\x85a　", "'sltremdv ", "日本한ไทयُ12٣ "]
     texts = ["".join(rng.choice(a) for _ in range(rng.randrange(30))) for a in alphabets for _ in range(400)]
-    texts += ["a<|endoftext|> b", "word\n <|endoftext|>  x", "  lead", "trail  ", " "]
-    wanted = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
-    got = [np.frombuffer(x, cache.dtype).tolist() for x in cache.encode(texts)]
+    texts += ["a<|endoftext|> b", "word\n <|endoftext|>  x", "  lead", "trail  ", " ", ""]
+    every = (chr(c) for c in range(1, 0x20000) if not 0xD800 <= c < 0xE000)
+    texts += [f"a{c}1 {c}b{c} {c}{c} 7{c}." for c in every]
+    return texts + [" " * 5000 + "x", "\n" * 300_000 + "x", "x" * 200_000, "ab" * 100_000, "^" * 100_000, " " * 500_000 + "é"]
+
+
+def test_encoder_equals_the_library(tokenizer):
+    texts, encoder = odd_texts(), Encoder(byte_tokenizer())
+    assert encoder.merging is not None
+    wanted = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)]
     assert [t for t, a, b in zip(texts, got, wanted) if a != b] == []
+
+
+def changed(change):
+    parts = json.loads(byte_tokenizer())
+    change(parts)
+    return json.dumps(parts)
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        lambda p: p["model"]["merges"].reverse(),
+        lambda p: p["model"]["merges"].__setitem__(slice(0, 2), p["model"]["merges"][1::-1]),
+        lambda p: p["pre_tokenizer"].update(add_prefix_space=True),
+        lambda p: p["model"].update(ignore_merges=True),
+        lambda p: p.update(normalizer={"type": "NFC"}),
+    ],
+)
+def test_other_vocabularies_go_through_the_library(change):
+    text = changed(change)
+    texts, encoder = odd_texts()[:2000] + ["The words that were merged in the other order"], Encoder(text)
+    assert encoder.merging is None
+    wanted = [e.ids for e in Tokenizer.from_str(text).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == wanted
+
+
+def test_very_long_texts(documents, tokenizer):
+    rows = [(1, "word é " * 150_000, "en", "a"), (2, " " * 400_000 + "x", "en", "b"), (3, "y" * 300_000, "en", "b")]
+    pieces = [r.asDict() for r in pack(documents(rows), byte_tokenizer()).collect()]
+    check(pieces, {r[0]: r[1] for r in rows}, tokenizer)
