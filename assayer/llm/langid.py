@@ -105,13 +105,26 @@ def fit(x: np.ndarray, languages: list[str], rounds: int = 150) -> Model:
     return Model(names, words, weights, trust / trust.mean())
 
 
+def first_rows(usable: DataFrame, per_language: int, most: int) -> DataFrame:
+    """``id, lang`` of the first ``per_language`` ids of each language by hash, and of ``most`` in all.
+
+    A frequent language has all but a few ids set aside by a bound on the hash before any are gathered:
+    four times as many as wanted are left, and some more so that chance leaves none short.
+    """
+    # Languages come in turn, so that those past the first ``most`` would have no row: a table of ``most`` rows.
+    sizes = usable.groupBy("lang").agg(F.approx_count_distinct("id").alias("ids")).orderBy("lang").limit(most)
+    part = F.xxhash64("id") / F.lit(2.0**64) + 0.5  # in the order of the hash, from 0 to 1
+    near = usable.join(F.broadcast(sizes), "lang").where(part * F.col("ids") <= 4 * per_language + 64)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
+    firsts = near.select("id", "lang").distinct().withColumn("place", place).where(F.col("place") <= per_language)
+    return firsts.orderBy("place", "lang").limit(most).select("id", "lang")
+
+
 def sample(docs: DataFrame, per_language: int, most: int) -> tuple[np.ndarray, list[str]]:
     """Features and languages of labelled training rows, the first ones of each language by hash of the id."""
     narrow = pick(docs, "doc_id", "lang").select(F.col("doc_id").cast("long").alias("id"), F.col("lang").cast("string"))
     usable = narrow.where("lang is not null and id is not null").where(crc_mod(F.col("id"), 3) != 1)
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    firsts = usable.withColumn("place", place).where(F.col("place") <= per_language)
-    chosen = Scratch(docs.sparkSession).stage(firsts.orderBy("place", "lang").limit(most).select("id", "lang").distinct(), "chosen")
+    chosen = Scratch(docs.sparkSession).stage(first_rows(usable, per_language, most), "chosen")
     texts = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), text_bytes(F.col("text")).alias("text"))
     # ``chosen`` has ``most`` rows of an id and a language at most.
     joined = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("id", "text", "lang")

@@ -1,6 +1,7 @@
 import numpy as np
+import pytest
 
-from assayer.llm.langid import BUCKETS, codewords, features, fit, identify_languages
+from assayer.llm.langid import BUCKETS, codewords, features, first_rows, fit, identify_languages
 from assayer.llm.queries import QUERIES
 
 
@@ -65,3 +66,23 @@ def test_langs_are_no_input(documents):
     swapped = [(i, t, ("fr" if lang == "en" else "en") if i in {h["doc_id"] for h in held} else lang, "t") for i, t, lang, _ in rows]
     again = {r["doc_id"]: r["lang_pred"] for r in identify_languages(documents(swapped)).collect()}
     assert held and all(again[r["doc_id"]] == r["lang_pred"] for r in held)
+
+
+@pytest.mark.parametrize("per_language, most", [(1, 100), (20, 100), (20, 30), (5000, 9000), (3, 2)])
+def test_first_rows_are_those_of_a_whole_ranking(spark, per_language, most):
+    """A language with most of the rows, small ones, and ids that repeat thousands of times."""
+    rows = spark.range(30_000).selectExpr("if(id < 8000, 5, id) as id", "case when id % 500 = 0 then 'b' when id % 7777 = 3 then 'c' else 'a' end as lang")
+    ranked = rows.distinct().selectExpr("id", "lang", "row_number() over (partition by lang order by xxhash64(id), id) as place")
+    ranked = [(r["place"], r["lang"], r["id"]) for r in ranked.collect() if r["place"] <= per_language]
+    wanted = sorted((i, lang) for _, lang, i in sorted(ranked)[:most])
+    assert sorted((r["id"], r["lang"]) for r in first_rows(rows, per_language, most).collect()) == wanted
+
+
+def test_frequent_languages_are_cut_before_they_are_gathered(spark):
+    rows = spark.range(200_000).selectExpr("id", "if(id % 3 = 0, 'a', 'b') as lang")
+    plan = first_rows(rows, 10, 100)
+    assert len(plan.collect()) == 20
+    ranked = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert ranked.index("Window") < ranked.index("<= 104.0")
+    near = rows.where("(xxhash64(id) / 18446744073709551616d + 0.5) * if(lang = 'a', 66667, 133333) <= 104")
+    assert 100 < near.count() < 350
