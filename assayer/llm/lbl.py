@@ -1,20 +1,26 @@
 """Language-model scores: a log-bilinear model trained with noise-contrastive estimation.
 
-The model predicts a word of a bounded vocabulary, the end of the text, or the class of all
-other words, from the vectors of the two tokens before: the context's vectors are multiplied
-by a matrix for each place and summed, and a token's score is the product with its own vector
-plus a bias. A rare word has the probability of its class times its smoothed share in the class,
-from counts over all training texts, so that every token of every text has a probability and
-they sum to one.
-
-Training compares the tokens of the corpus with noise from the unigram distribution. A start on
-a bounded sample gives common parameters; then every partition goes on over all of
-its training tokens, and the results are averaged, weighted by tokens. Scoring normalises over
-the whole vocabulary: distinct contexts are multiplied with all token vectors at once.
+The model predicts from the vectors of the two tokens before: the context's vectors are
+multiplied by a matrix for each place and summed, and a token's score is the product with its
+own vector and bias. The vocabulary grows with the cube root of the training tokens, and its
+output is factored: the most frequent words, the end of the text, the class of all other words
+and the classes of less frequent words of the vocabulary are predicted first, then the word
+among its class. Classes are about as large as there are classes, so a token is normalised over
+a few times the root of the vocabulary. A word outside it has the probability of its class times
+its smoothed share in the class, from counts over all training texts, so every token of every
+text has a probability and they sum to one. As context, such a word has one of as many hashed
+vectors as the vocabulary has words.
+
+Training compares the tokens of the corpus with noise from the unigram distribution, for a
+class and for a word among its class. A start on a bounded sample gives common parameters; then
+every partition goes on over all of its training tokens, and the results are averaged, weighted
+by tokens. Scoring normalises fully, with batched matrix products for distinct contexts.
 """
 
 from __future__ import annotations
 
+import hashlib
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,9 +32,10 @@ from pyspark.sql import functions as F
 
 from assayer.llm.frames import Workspace, crc_mod, pick, rows, text_bytes
 
-VOCABULARY = 512  # predicted tokens: the most frequent words, the end and the rare class
-KNOWN = 200_000  # words whose counts go to every task; the others are looked up by a join
-LONGEST = 256  # bytes of a word that may be among them
+GROWTH = 16  # words of the vocabulary for each unit of the cube root of the training tokens
+CLASS = 256  # words of a class, and of those predicted without one, at least
+KNOWN = 200_000  # words whose counts go to every task, at least; the others are looked up by a join
+LONGEST = 256  # bytes of a word that stands for itself; a longer one is told by its SHA-256
 FACTORS = 16
 NOISE = 8
 SHARED = 128  # noise tokens drawn for a batch
@@ -38,42 +45,81 @@ SAMPLE = 400  # texts of the start
 _END = b""
 _COUNTED = 1_000_000
 _BLOCK = 100_000
+_PART = 4096  # parameters in a row
+
+
+def words_of(text: bytes) -> list[bytes]:
+    """The words of a text. A long word is named by a blank, which no word holds, and its digest."""
+    return [w if len(w) <= LONGEST else b" " + hashlib.sha256(w).digest() for w in text.lower().split()]
 
 
 @dataclass
 class Model:
-    """``tokens`` numbers the vocabulary from 2; 0 is the end, also before a text, and 1 a rare word.
+    """Outputs are numbered: 0 the end, also before a text, 1 a word outside the vocabulary, then the most
+    frequent words, from ``first_class`` the classes, and from ``top`` the words of the classes, ``width`` of
+    each, the last one's fewer. A word outside the vocabulary is a context by its hash, numbered after the outputs.
 
-    ``vectors`` are the context's, ``mixers`` the matrix of each place, ``targets`` and ``bias`` the predicted tokens'.
+    ``vectors`` are the contexts', ``mixers`` the matrix of each place, ``targets`` the outputs', bias last.
+    ``noise`` is the unigram probability of each of the first ``top`` outputs, then of each word among its class.
     """
 
     tokens: dict[bytes, int]
+    first_class: int
+    top: int
+    width: int
     noise: np.ndarray
     vectors: np.ndarray
     mixers: np.ndarray
     targets: np.ndarray
-    bias: np.ndarray
     squares: np.ndarray  # of past slopes, which Adagrad divides by
 
+    @property
+    def contexts(self) -> int:
+        return len(self.vectors)
+
     def number(self, words: list[bytes]) -> np.ndarray:
-        get = self.tokens.get
-        return np.array([get(w, 1) for w in words] + [0], np.int64)
+        """The contexts that the words and the end are."""
+        get, outputs, hashed = self.tokens.get, len(self.targets), len(self.vectors) - len(self.targets)
+        return np.array([get(w, 0) or outputs + zlib.crc32(w) % hashed for w in words] + [0], np.int64)
+
+    def outputs(self, contexts: np.ndarray) -> np.ndarray:
+        """What is predicted where these contexts stand."""
+        return np.where(contexts < len(self.targets), contexts, 1)
+
+    def classes(self, outputs: np.ndarray) -> np.ndarray:
+        """The first prediction for each output: itself, or its class."""
+        return np.where(outputs < self.top, outputs, self.first_class + (outputs - self.top) // self.width)
+
+    def words_in(self, of_class: int) -> slice:
+        first = self.top + (of_class - self.first_class) * self.width
+        return slice(first, min(first + self.width, len(self.targets)))
 
     def predicted(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        return self.vectors[first] @ self.mixers[0] + self.vectors[second] @ self.mixers[1]
+        mixed = self.vectors[first] @ self.mixers[0] + self.vectors[second] @ self.mixers[1]
+        return np.concatenate([mixed, np.ones((len(mixed), 1), np.float32)], axis=1)
 
-    def log_probabilities(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """Natural logarithms for the whole vocabulary, a row for each context."""
-        scores = self.predicted(first, second) @ self.targets.T + self.bias
+    def log_among(self, mixed: np.ndarray, outputs: slice) -> np.ndarray:
+        """Natural logarithms of the probabilities of some outputs among themselves, a row for each context."""
+        scores = mixed @ self.targets[outputs].T
         scores -= scores.max(axis=1, keepdims=True)
         return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
 
+    def log_probabilities(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Natural logarithms for all outputs, a row for each context; classes have those of their words together."""
+        mixed = self.predicted(first, second)
+        found = [self.log_among(mixed, slice(0, self.top))]
+        for c in range(self.first_class, self.top):
+            found.append(found[0][:, c : c + 1] + self.log_among(mixed, self.words_in(c)))
+        return np.concatenate(found, axis=1)
+
     def train(self, triples: np.ndarray, weights: np.ndarray, rng: np.random.Generator, rate: float = 0.1) -> None:
-        """One pass of noise-contrastive estimation over weighted (first, second, token) rows, by Adagrad."""
+        """One pass of noise-contrastive estimation over weighted (first, second, token) contexts, by Adagrad."""
         log_noise = np.log(NOISE * self.noise).astype(np.float32)
+        # Noise is drawn by the distribution function: of the first outputs, then of each class in turn.
+        over_top, over_words = np.cumsum(self.noise[: self.top]), np.cumsum(self.noise[self.top :])
+        n_words = len(over_words)
         # The noise of a batch is shared by its rows, so that it takes one matrix product.
         scale = np.float32(NOISE / SHARED)
-        own = (self.vectors, self.mixers, self.targets, self.bias)
         squares = self._parts(self.squares)  # views, so that later calls go on from here
         order = np.repeat(np.arange(len(triples)), np.ceil(weights / MOST_WEIGHT).astype(np.int64))
         weights = (weights / np.ceil(weights / MOST_WEIGHT)).astype(np.float32)
@@ -81,62 +127,92 @@ class Model:
         for start in range(0, len(order), BATCH):
             part = order[start : start + BATCH]
             first, second, token = triples[part].T
+            token = self.outputs(token)
             weight = weights[part] / weights[part].sum()
-            drawn = rng.choice(len(self.noise), SHARED, p=self.noise)
             mixed = self.predicted(first, second)
-            score = np.einsum("ij,ij->i", mixed, self.targets[token]) + self.bias[token]
-            other = mixed @ self.targets[drawn].T + self.bias[drawn]
+            among = self.classes(token)
+            drawn = np.minimum(np.searchsorted(over_top, rng.random(SHARED) * over_top[-1], "right"), self.top - 1)
+            score = np.einsum("ij,ij->i", mixed, self.targets[among])
+            other = mixed @ self.targets[drawn].T
             # The logit of "from the corpus" is the score less that of NOISE draws.
-            pull = (_sigmoid(score - log_noise[token]) - 1) * weight
+            pull = (_sigmoid(score - log_noise[among]) - 1) * weight
             push = _sigmoid(other - log_noise[drawn]) * (weight * scale)[:, None]
-            to_mixed = pull[:, None] * self.targets[token] + push @ self.targets[drawn]
-            slopes = [
-                _summed(first, to_mixed @ self.mixers[0].T, self.vectors)
-                + _summed(second, to_mixed @ self.mixers[1].T, self.vectors),
-                np.stack([self.vectors[first].T @ to_mixed, self.vectors[second].T @ to_mixed]),
-                _summed(token, pull[:, None] * mixed, self.targets) + _summed(drawn, push.T @ mixed, self.targets),
-                _summed(token, pull[:, None], self.bias[:, None])[:, 0]
-                + _summed(drawn, push.sum(axis=0)[:, None], self.bias[:, None])[:, 0],
+            to_mixed = pull[:, None] * self.targets[among] + push @ self.targets[drawn]
+            places, parts = [among, drawn], [pull[:, None] * mixed, push.T @ mixed]
+            inner = np.flatnonzero(token >= self.top)
+            if len(inner):
+                word, mine = token[inner], mixed[inner]
+                low = (word - self.top) // self.width * self.width
+                high = np.minimum(low + self.width, n_words)
+                # The probabilities of the words of a class sum to one.
+                below = np.where(low > 0, over_words[low - 1], 0)
+                points = below[:, None] + rng.random((len(inner), NOISE)) * (over_words[high - 1] - below)[:, None]
+                wrong = np.clip(np.searchsorted(over_words, points, "right"), low[:, None], high[:, None] - 1) + self.top
+                right, others = self.targets[word], self.targets[wrong]
+                drag = (_sigmoid(np.einsum("ij,ij->i", mine, right) - log_noise[word]) - 1) * weight[inner]
+                shove = _sigmoid((others @ mine[:, :, None])[:, :, 0] - log_noise[wrong]) * weight[inner][:, None]
+                to_mixed[inner] += drag[:, None] * right + (shove[:, None, :] @ others)[:, 0]
+                places += [word, wrong.ravel()]
+                parts += [drag[:, None] * mine, (shove[:, :, None] * mine[:, None, :]).reshape(-1, mine.shape[1])]
+            back = to_mixed[:, :-1]
+            steps = [
+                _summed(np.concatenate([first, second]), np.concatenate([back @ self.mixers[0].T, back @ self.mixers[1].T])),
+                (slice(None), np.stack([self.vectors[first].T @ back, self.vectors[second].T @ back])),
+                _summed(np.concatenate(places), np.concatenate(parts)),
             ]
-            for values, slope, square in zip(own, slopes, squares):
-                square += slope**2
-                values -= np.float32(rate) * slope / np.sqrt(square)
+            for values, square, (at, slope) in zip((self.vectors, self.mixers, self.targets), squares, steps):
+                square[at] += slope**2
+                values[at] -= np.float32(rate) * slope / np.sqrt(square[at])
 
     def parameters(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in (self.vectors, self.mixers, self.targets, self.bias)])
+        return np.concatenate([p.ravel() for p in (self.vectors, self.mixers, self.targets)])
 
     def _parts(self, flat: np.ndarray) -> list[np.ndarray]:
-        shapes = [p.shape for p in (self.vectors, self.mixers, self.targets, self.bias)]
+        shapes = [p.shape for p in (self.vectors, self.mixers, self.targets)]
         cuts = np.cumsum([int(np.prod(s)) for s in shapes])[:-1]
         return [p.reshape(s) for p, s in zip(np.split(flat, cuts), shapes)]
 
     def with_parameters(self, flat: np.ndarray, squares: np.ndarray) -> Model:
         """A model of its own with these numbers."""
-        return Model(self.tokens, self.noise, *self._parts(flat.astype(np.float32)), squares.astype(np.float32))
+        parts = self._parts(np.array(flat, np.float32))
+        return Model(
+            self.tokens, self.first_class, self.top, self.width, self.noise, *parts, np.array(squares, np.float32)
+        )
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _summed(places: np.ndarray, parts: np.ndarray, like: np.ndarray) -> np.ndarray:
-    """Rows of ``parts`` summed by place, in the shape of ``like``."""
-    out = np.zeros_like(like)
+def _summed(places: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct places, and the rows of ``parts`` summed for each."""
     order = np.argsort(places, kind="stable")
-    distinct, starts = np.unique(places[order], return_index=True)
-    out[distinct] = np.add.reduceat(parts[order], starts, axis=0)
-    return out
+    sorted_ = places[order]
+    starts = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
+    return sorted_[starts], np.add.reduceat(parts[order], starts, axis=0)
+
 
+def start(words: list[bytes], counts: np.ndarray, factors: int = FACTORS, width: int = CLASS) -> Model:
+    """Small random vectors, and the unigram distribution as bias.
 
-def start(tokens: dict[bytes, int], counts: np.ndarray, factors: int = FACTORS) -> Model:
-    """Small random vectors, and the unigram distribution as bias."""
-    rng, n = np.random.default_rng(3), len(counts)
-    noise = (counts + 0.1) / (counts + 0.1).sum()
-    vectors, targets = rng.normal(0, 0.1, (2, n, factors)).astype(np.float32)
+    ``words`` are the vocabulary from the most frequent word down; ``counts`` those of the end, of all words outside
+    the vocabulary together, and of each word.
+    """
+    rng, width = np.random.default_rng(3), max(width, int(np.ceil(np.sqrt(len(words)))))
+    head = counts[: 2 + width]
+    inner = counts[2 + width :] + 0.1
+    firsts = np.arange(0, len(inner), width)
+    in_class = np.add.reduceat(inner, firsts) if len(inner) else inner
+    sizes = np.diff(np.append(firsts, len(inner)))
+    of_top = np.concatenate([head + 0.1, in_class])
+    noise = np.concatenate([of_top / of_top.sum(), inner / np.repeat(in_class, sizes)])
+    first_class, top, n = len(head), len(of_top), len(noise)
+    tokens = {w: i + 2 if i < width else i + 2 + len(firsts) for i, w in enumerate(words)}
+    vectors = rng.normal(0, 0.1, (n + len(words) + 1, factors)).astype(np.float32)
     mixers = np.stack([np.eye(factors, dtype=np.float32)] * 2) * np.float32(0.5)
-    bias = np.log(noise).astype(np.float32)
-    size = vectors.size + mixers.size + targets.size + bias.size
-    return Model(tokens, noise, vectors, mixers, targets, bias, np.full(size, 1e-6, np.float32))
+    targets = np.concatenate([rng.normal(0, 0.1, (n, factors)), np.log(noise)[:, None]], axis=1).astype(np.float32)
+    size = vectors.size + mixers.size + targets.size
+    return Model(tokens, first_class, top, width, noise, vectors, mixers, targets, np.full(size, 1e-6, np.float32))
 
 
 def triples(numbered: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -167,7 +243,7 @@ def count_words(texts: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                counted.update(text.lower().split())
+                counted.update(words_of(text))
                 counted[_END] += 1
                 if len(counted) > _COUNTED:
                     yield flush()
@@ -176,35 +252,45 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def frequent(counts: DataFrame, most: int, longest: int) -> dict[bytes, int]:
-    """The counts of at most ``most`` words: all of a count or none, from the highest count down."""
-    usable = counts.where((F.octet_length("word") <= longest) & (F.octet_length("word") > 0))
-    total, least = 0, None
+def frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
+    """The counts of the ``most`` most frequent words. Of the words of the lowest count some are taken, by hash:
+    a bound on the hash leaves few more than wanted, so that no task sorts all words of that count."""
+    usable = counts.where(F.octet_length("word") > 0)
+    total, edge, share = 0, 0, 0.0
     by_count = usable.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n"))
     for n, words in by_count.toLocalIterator():
         if total + words > most:
+            room = most - total
+            edge, share = n, (room + 10 * room**0.5 + 100) / words
             break
-        total, least = total + words, n
-    if least is None:
-        return {}
-    found = usable.where(F.col("n") >= least).select("word", "n").toArrow()
-    return dict(zip(found.column("word").to_pylist(), found.column("n").to_pylist()))
+        total += words
+    found = usable.where(F.col("n") > edge).select("word", "n")
+    if edge and room:
+        hashed = F.xxhash64("word")
+        near = usable.where((F.col("n") == edge) & (hashed.cast("double") < (min(share, 1.0) - 0.5) * 2.0**64))
+        found = found.unionAll(near.orderBy(hashed, "word").limit(room).select("word", "n"))
+    table = found.toArrow()
+    return dict(zip(table.column("word").to_pylist(), table.column("n").to_pylist()))
 
 
 # --- training ------------------------------------------------------------------------
 
 
-def fit(texts: DataFrame, model: Model, sample: int) -> Model:
-    """Noise-contrastive estimation over ``texts(doc_id, text)``, from a start on ``sample`` texts."""
+def fit(texts: DataFrame, model: Model, sample: int, rounds: int = 1) -> Model:
+    """Noise-contrastive estimation over ``texts(doc_id, text)``, from a start on ``sample`` texts; ``rounds``
+    times all partitions train from the mean of the round before."""
     first = texts.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     model = averaged(first, model, (0.1, 0.1, 0.05))
-    return averaged(texts, model, (0.05,))
+    for _ in range(rounds):
+        model = averaged(texts, model, (0.05,))
+    return model
 
 
 def averaged(texts: DataFrame, model: Model, rates: tuple[float, ...]) -> Model:
     """Each partition trains a copy of the model on its texts, block by block; the mean by tokens, of the
-    parameters and of Adagrad's squares."""
-    shared, size = texts.sparkSession.sparkContext.broadcast(model), len(model.noise)
+    parameters and of Adagrad's squares. Parameters travel in parts, which are summed as they arrive."""
+    shared, size = texts.sparkSession.sparkContext.broadcast(model), model.contexts
+    names, kinds = ["place", "tokens", "summed"], [pa.int64(), pa.float64(), pa.list_(pa.float64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value.with_parameters(shared.value.parameters(), shared.value.squares)
@@ -220,7 +306,7 @@ def averaged(texts: DataFrame, model: Model, rates: tuple[float, ...]) -> Model:
 
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                held.append(own.number(text.lower().split()))
+                held.append(own.number(words_of(text)))
                 tokens += len(held[-1])
                 waiting += len(held[-1])
                 if waiting > _BLOCK:
@@ -229,26 +315,42 @@ def averaged(texts: DataFrame, model: Model, rates: tuple[float, ...]) -> Model:
         if held:
             step()
         if tokens:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([tokens], pa.float64()),
-                    pa.array([np.concatenate([own.parameters(), own.squares]) * float(tokens)], pa.list_(pa.float64())),
-                ],
-                ["tokens", "summed"],
-            )
+            flat = np.concatenate([own.parameters(), own.squares])
+            for i in range(0, len(flat), _PART):
+                summed = flat[i : i + _PART] * float(tokens)
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((i, tokens, summed), kinds)], names)
 
-    trained = texts.select("text").mapInArrow(run, "tokens double, summed array<double>")
-    total = trained.select("tokens", F.posexplode("summed").alias("place", "value"))
-    total = total.groupBy("place").agg((F.sum("value") / F.sum("tokens")).alias("value")).orderBy("place")
-    found = total.toArrow().column("value").to_numpy()
-    return model.with_parameters(*np.split(found, 2)) if len(found) else model
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, list] = {}
+        for batch in batches:
+            for i, place in enumerate(batch.column("place").to_pylist()):
+                values = batch.column("summed")[i].values.to_numpy(zero_copy_only=False)
+                total = totals.setdefault(place, [0.0, np.zeros(len(values))])
+                total[0] += batch.column("tokens")[i].as_py()
+                total[1] += values
+        for place, (tokens, summed) in totals.items():
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((place, tokens, summed), kinds)], names)
+
+    schema = "place long, tokens double, summed array<double>"
+    total = texts.select("text").mapInArrow(run, schema).repartition("place").mapInArrow(add, schema)
+    found = total.orderBy("place").toArrow()
+    if not found.num_rows:
+        return model
+    tokens = found.column("tokens")[0].as_py()
+    return model.with_parameters(*np.split(found.column("summed").combine_chunks().flatten().to_numpy() / tokens, 2))
 
 
 # --- scoring -------------------------------------------------------------------------
 
 
 def score_texts(
-    docs: DataFrame, vocabulary: int = VOCABULARY, known: int = KNOWN, factors: int = FACTORS, sample: int = SAMPLE
+    docs: DataFrame,
+    vocabulary: int | None = None,
+    known: int = KNOWN,
+    factors: int = FACTORS,
+    sample: int = SAMPLE,
+    rounds: int = 1,
+    width: int = CLASS,
 ) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for each row of
     ``docs(doc_id, text)``, scores as log10 probabilities.
@@ -256,9 +358,10 @@ def score_texts(
     Tokens are words between white space, with A-Z in lower case, and the end of the text.
     Learns from the texts whose ``crc32`` of the id modulo 10 is not 0; ``n_known`` counts the
     tokens seen there, ``train_tokens`` all tokens there. ``base_score`` is that of the smoothed
-    unigram counts, ``score`` that of the model. A null text is empty and has its end alone.
-    Repeated rows count as often and come back as often; other columns are ignored; an empty
-    table gives an empty result.
+    unigram counts, ``score`` that of the model. ``vocabulary`` words are predicted; without it,
+    ``GROWTH`` times the cube root of the training tokens. A null text is empty and has its end alone.
+    A text or word may have any length. Repeated rows count as often and come back as often; other
+    columns are ignored; an empty table gives an empty result.
     """
     spark, work = docs.sparkSession, Workspace(docs.sparkSession)
     texts = pick(docs, "doc_id", "text").select(
@@ -270,36 +373,41 @@ def score_texts(
     counts = work.stage(count_words(learned), "counts")
     all_tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     ends = counts.where(F.octet_length("word") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    table = frequent(counts, known, LONGEST)
-    chosen = sorted(table, key=lambda w: (-table[w], w))[: max(0, vocabulary - 2)]
-    tokens = {word: i for i, word in enumerate(chosen, 2)}
+    most = int(GROWTH * all_tokens ** (1 / 3)) if vocabulary is None else vocabulary
+    table = frequent(counts, max(known, most))
+    chosen = sorted(table, key=lambda w: (-table[w], w))[:most]
     in_vocabulary = [table[w] for w in chosen]
     rare_tokens = all_tokens - ends - sum(in_vocabulary)
     rare_words = distinct - (ends > 0) - len(chosen)
-    model = start(tokens, np.array([ends, rare_tokens, *in_vocabulary], float), factors)
-    model = fit(learned, model, sample)
+    model = start(chosen, np.array([ends, rare_tokens, *in_vocabulary], float), factors, width)
+    model = fit(learned, model, sample, rounds)
+    model.squares = model.squares[:0]
     shared = spark.sparkContext.broadcast((model, table, ends))
 
     scored = work.stage(
         texts.select("doc_id", "held_out", "text").mapInArrow(
             _scoring(shared),
             "doc_id long, held_out boolean, n_tokens long, n_known long, known_logs double, n_rare long, "
-            "rare_logs double, model_log double, others array<binary>, row long",
+            "rare_logs double, model_log double, others array<binary>, times array<long>, row long",
         ),
         "scored",
     )
-    # Words outside the table are looked up by a join.
-    asked = scored.where(F.size("others") > 0).select("row", F.explode("others").alias("word"))
+    # Words outside the table are looked up by a join, each once for a row. None of them is frequent.
+    asked = scored.where(F.size("others") > 0).select("row", F.explode(F.arrays_zip("others", "times")).alias("x"))
     found = (
-        asked.join(counts, "word", "left")
-        .select("row", F.coalesce("n", F.lit(0)).alias("n"))
+        asked.select("row", F.col("x.others").alias("word"), F.col("x.times").alias("times"))
+        .join(counts, "word", "left")
+        .select("row", "times", F.coalesce("n", F.lit(0)).alias("n"))
         .groupBy("row")
-        .agg(F.sum((F.col("n") > 0).cast("long")).alias("seen"), F.sum(F.log10(F.col("n") + 0.1)).alias("logs"))
+        .agg(
+            F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("seen"),
+            F.sum(F.col("times") * F.log10(F.col("n") + 0.1)).alias("logs"),
+        )
     )
     base = float(np.log10(all_tokens + 0.1 * (distinct + 1)))
     rare = float(np.log10(rare_tokens + 0.1 * (rare_words + 1)))
     seen, logs = F.coalesce("seen", F.lit(0)), F.coalesce("logs", F.lit(0.0))
-    return scored.drop("others").join(found, "row", "left").select(
+    return scored.drop("others", "times").join(found, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
@@ -316,33 +424,42 @@ def _scoring(shared):
 
         model, table, ends = shared.value
         logs = {word: float(np.log10(n + 0.1)) for word, n in table.items()}
-        end_log, size = float(np.log10(ends + 0.1)), len(model.noise)
-        row = TaskContext.get().partitionId() << 40
+        end_log, row = float(np.log10(ends + 0.1)), TaskContext.get().partitionId() << 40
+        out, numbered, waiting = [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            contexts, tokens = _contexts(numbered, model.contexts)
+            values = _model_logs(model, contexts, model.outputs(tokens))
+            ends_at = np.cumsum([len(ids) for ids in numbered])
+            sums = np.add.reduceat(values, np.concatenate(([0], ends_at[:-1])))
+            for line, value in zip(out, sums.tolist()):
+                line[7] = value
+            done = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _SCORED.types)], _SCORED.names)
+            out.clear()
+            numbered.clear()
+            return done
+
         for batch in batches:
-            for i in range(0, batch.num_rows, 1000):
-                part, out, numbered = batch.slice(i, 1000), [], []
-                for doc_id, held_out, text in rows(part, "doc_id", "held_out", "text"):
-                    words = text.lower().split()
-                    ids = model.number(words)
-                    numbered.append(ids)
-                    known = [logs[w] for w in words if w in logs]
-                    others = [w for w in words if w not in logs]
-                    rare = np.flatnonzero(ids[:-1] == 1)
-                    rare_logs = [logs[words[k]] for k in rare.tolist() if words[k] in logs]
-                    n_known = len(known) + (ends > 0)
-                    out.append(
-                        [doc_id, held_out, len(ids), n_known, sum(known) + end_log, len(rare), sum(rare_logs), 0.0, others, row]
-                    )
-                    row += 1
-                contexts, tokens = _contexts(numbered, size)
-                values = _model_logs(model, contexts, tokens)
-                ends_at = np.cumsum([len(ids) for ids in numbered])
-                sums = np.add.reduceat(values, np.concatenate(([0], ends_at[:-1])))
-                for line, value in zip(out, sums.tolist()):
-                    line[7] = value
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), _SCORED.types)], _SCORED.names
-                )
+            for doc_id, held_out, text in rows(batch, "doc_id", "held_out", "text"):
+                words = words_of(text)
+                ids = model.number(words)
+                numbered.append(ids)
+                known = [logs[w] for w in words if w in logs]
+                others = Counter(w for w in words if w not in logs)
+                rare = np.flatnonzero(model.outputs(ids[:-1]) == 1)
+                rare_logs = [logs[words[k]] for k in rare.tolist() if words[k] in logs]
+                n_known = len(known) + (ends > 0)
+                out.append(
+                    [doc_id, held_out, len(ids), n_known, sum(known) + end_log, len(rare), sum(rare_logs), 0.0,
+                     list(others), list(others.values()), row]
+                )
+                row += 1
+                waiting += len(ids)
+                if waiting > _BLOCK:
+                    yield flush()
+                    waiting = 0
+        if out:
+            yield flush()
 
     return run
 
@@ -351,7 +468,8 @@ _SCORED = pa.schema(
     [
         ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
         ("known_logs", pa.float64()), ("n_rare", pa.int64()), ("rare_logs", pa.float64()),
-        ("model_log", pa.float64()), ("others", pa.list_(pa.binary())), ("row", pa.int64()),
+        ("model_log", pa.float64()), ("others", pa.list_(pa.binary())), ("times", pa.list_(pa.int64())),
+        ("row", pa.int64()),
     ]
 )
 
@@ -368,16 +486,28 @@ def _contexts(numbered: list[np.ndarray], size: int) -> tuple[np.ndarray, np.nda
     return codes[inside], np.concatenate(numbered)
 
 
-def _model_logs(model: Model, contexts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """The log10 probability of each token; a context that occurs often is normalised once."""
-    size = len(model.noise)
+def _model_logs(model: Model, contexts: np.ndarray, outputs: np.ndarray) -> np.ndarray:
+    """The log10 probability of each output; a context that occurs often is mixed and normalised once."""
     distinct, which = np.unique(contexts, return_inverse=True)
+    mixed = np.empty((len(distinct), model.targets.shape[1]), np.float32)
+    among = model.classes(outputs)
     order = np.argsort(which, kind="stable")
     edges = np.searchsorted(which[order], np.arange(0, len(distinct) + 2048, 2048))
-    out = np.empty(len(tokens))
+    out = np.empty(len(outputs))
     for k, (a, b) in enumerate(zip(edges, edges[1:])):
-        some = distinct[2048 * k : 2048 * (k + 1)]
-        table = model.log_probabilities(some // size, some % size)
+        some = slice(2048 * k, 2048 * (k + 1))
+        mixed[some] = model.predicted(*np.divmod(distinct[some], model.contexts))
+        logs = model.log_among(mixed[some], slice(0, model.top))
         mine = order[a:b]
-        out[mine] = table[which[mine] - 2048 * k, tokens[mine]]
+        out[mine] = logs[which[mine] - 2048 * k, among[mine]]
+    # Words of one class are normalised together, in pieces of bounded size.
+    inner = np.flatnonzero(outputs >= model.top)
+    inner = inner[np.argsort(among[inner], kind="stable")]
+    edges = np.searchsorted(among[inner], np.arange(model.first_class, model.top + 1))
+    for c, (a, b) in enumerate(zip(edges, edges[1:]), model.first_class):
+        words = model.words_in(c)
+        for i in range(a, b, 2048):
+            mine = inner[i : min(i + 2048, b)]
+            logs = model.log_among(mixed[which[mine]], words)
+            out[mine] += logs[np.arange(len(mine)), outputs[mine] - words.start]
     return out / np.log(10)

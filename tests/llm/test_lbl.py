@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from assayer.llm.lbl import score_texts, start, triples
+from assayer.llm.lbl import _contexts, _model_logs, frequent, score_texts, start, triples
 from tests.llm.conftest import SF_DIR
 
 
@@ -36,11 +36,64 @@ def base(rows):
 
 
 def test_probabilities_sum_to_one():
-    model = start({b"a": 2, b"b": 3}, np.array([5.0, 2.0, 7.0, 1.0]))
-    rows_, weights = triples([model.number([b"a", b"b", b"x"])] * 5, 4)
+    words = [bytes([c]) for c in b"abcdefg"]
+    model = start(words, np.array([5.0, 2.0, 7, 6, 5, 4, 3, 2, 1]), width=3)
+    rows_, weights = triples([model.number([b"a", b"g", b"e", b"x"])] * 5, model.contexts)
     model.train(rows_, weights, np.random.default_rng(1))
-    logs = model.log_probabilities(np.array([0, 1, 2]), np.array([3, 0, 1]))
-    assert np.allclose(np.exp(logs).sum(axis=1), 1, atol=1e-5)
+    logs = model.log_probabilities(np.arange(model.contexts), np.arange(model.contexts)[::-1])
+    # Classes stand for their words, so they are left out of the sum.
+    assert (model.first_class, model.top) == (5, 7) and logs.shape[1] == 11
+    assert np.allclose(np.exp(np.delete(logs, range(5, 7), axis=1)).sum(axis=1), 1, atol=1e-5)
+
+
+def test_batched_scores_are_those_of_the_model_one_by_one():
+    rng = random.Random(8)
+    words = [f"w{i}".encode() for i in range(50)]
+    model = start(words, np.array([9.0, 30.0, *range(60, 10, -1)]), width=7)
+    texts = [[rng.choice([*words, b"x", b"y", b"z"]) for _ in range(rng.randrange(9))] for _ in range(300)]
+    numbered = [model.number(t) for t in texts]
+    rows_, weights = triples(numbered, model.contexts)
+    model.train(rows_, weights, np.random.default_rng(1))
+    contexts, tokens = _contexts(numbered, model.contexts)
+    got, k = _model_logs(model, contexts, model.outputs(tokens)), 0
+    for ids in numbered:
+        for before, last, token in zip([0, 0, *ids], [0, *ids], ids):
+            mixed = [
+                sum(float(model.vectors[c][i] * model.mixers[place][i][j]) for place, c in enumerate((before, last)) for i in range(16))
+                for j in range(16)
+            ]
+
+            def among(output, outputs):
+                scores = {o: sum(m * float(t) for m, t in zip([*mixed, 1], model.targets[o])) for o in outputs}
+                return scores[output] - math.log(sum(math.exp(s) for s in scores.values()))
+
+            token = token if token < len(model.targets) else 1
+            if token < model.top:
+                wanted = among(token, range(model.top))
+            else:
+                at = (token - model.top) // 8  # the root of the vocabulary is more than the width asked for
+                mates = range(model.top + 8 * at, min(model.top + 8 * at + 8, len(model.targets)))
+                wanted = among(model.first_class + at, range(model.top)) + among(token, mates)
+            assert math.isclose(got[k], wanted / math.log(10), rel_tol=1e-3, abs_tol=1e-3)
+            k += 1
+        if k > 400:
+            break
+
+
+def test_words_of_equal_count_beyond_the_bound(spark):
+    rows = [(f"w{i}".encode(), 1) for i in range(3000)] + [(b"often", 9), (b"", 5)]
+    counts = spark.createDataFrame(rows, "word binary, n long").repartition(3)
+    for most, wanted in [(0, 0), (1, 1), (500, 500), (3001, 3001), (9000, 3001)]:
+        got = frequent(counts, most)
+        assert len(got) == wanted and b"" not in got and (not most or got[b"often"] == 9)
+        assert got == frequent(counts.repartition(5), most)
+
+
+def test_long_words_are_told_apart(documents):
+    longs = ["x" * 300 + str(i) for i in range(3)]
+    rows = [(i, f"a {longs[i % 3]} {longs[0]} B {longs[0]}") for i in range(40)]
+    for known in (200_000, 1):
+        assert base(score_texts(documents(rows), known=known, vocabulary=1).collect()) == plain(rows)
 
 
 def test_triples_of_texts():
