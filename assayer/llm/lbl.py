@@ -39,7 +39,8 @@ LONGEST = 256  # bytes of a word that stands for itself; a longer one is told by
 FACTORS = 16
 NOISE = 8
 SHARED = 128  # noise tokens drawn for a batch
-BATCH = 1024
+INNER = 4  # noise words drawn for each word of a class
+BATCH = 2048
 MOST_WEIGHT = 4  # a row that stands for more occurrences is split
 SAMPLE = 400  # texts of the start
 _END = b""
@@ -100,9 +101,14 @@ class Model:
 
     def log_among(self, mixed: np.ndarray, outputs: slice) -> np.ndarray:
         """Natural logarithms of the probabilities of some outputs among themselves, a row for each context."""
+        return mixed @ self.targets[outputs].T - self.log_sum(mixed, outputs)[:, None]
+
+    def log_sum(self, mixed: np.ndarray, outputs: slice) -> np.ndarray:
+        """What the scores of some outputs are normalised by."""
         scores = mixed @ self.targets[outputs].T
-        scores -= scores.max(axis=1, keepdims=True)
-        return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
+        most = scores.max(axis=1)
+        scores -= most[:, None]
+        return np.log(np.exp(scores, out=scores).sum(axis=1)) + most
 
     def log_probabilities(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         """Natural logarithms for all outputs, a row for each context; classes have those of their words together."""
@@ -114,7 +120,8 @@ class Model:
 
     def train(self, triples: np.ndarray, weights: np.ndarray, rng: np.random.Generator, rate: float = 0.1) -> None:
         """One pass of noise-contrastive estimation over weighted (first, second, token) contexts, by Adagrad."""
-        log_noise = np.log(NOISE * self.noise).astype(np.float32)
+        times = np.where(np.arange(len(self.noise)) < self.top, NOISE, INNER)
+        log_noise = np.log(times * self.noise).astype(np.float32)
         # Noise is drawn by the distribution function: of the first outputs, then of each class in turn.
         over_top, over_words = np.cumsum(self.noise[: self.top]), np.cumsum(self.noise[self.top :])
         n_words = len(over_words)
@@ -134,7 +141,7 @@ class Model:
             drawn = np.minimum(np.searchsorted(over_top, rng.random(SHARED) * over_top[-1], "right"), self.top - 1)
             score = np.einsum("ij,ij->i", mixed, self.targets[among])
             other = mixed @ self.targets[drawn].T
-            # The logit of "from the corpus" is the score less that of NOISE draws.
+            # The logit of "from the corpus" is the score less that of all draws.
             pull = (_sigmoid(score - log_noise[among]) - 1) * weight
             push = _sigmoid(other - log_noise[drawn]) * (weight * scale)[:, None]
             to_mixed = pull[:, None] * self.targets[among] + push @ self.targets[drawn]
@@ -146,7 +153,7 @@ class Model:
                 high = np.minimum(low + self.width, n_words)
                 # The probabilities of the words of a class sum to one.
                 below = np.where(low > 0, over_words[low - 1], 0)
-                points = below[:, None] + rng.random((len(inner), NOISE)) * (over_words[high - 1] - below)[:, None]
+                points = below[:, None] + rng.random((len(inner), INNER)) * (over_words[high - 1] - below)[:, None]
                 wrong = np.clip(np.searchsorted(over_words, points, "right"), low[:, None], high[:, None] - 1) + self.top
                 right, others = self.targets[word], self.targets[wrong]
                 drag = (_sigmoid(np.einsum("ij,ij->i", mine, right) - log_noise[word]) - 1) * weight[inner]
@@ -181,15 +188,18 @@ class Model:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    out = np.clip(x, -30, 30)
+    np.exp(np.negative(out, out=out), out=out)
+    out += 1
+    return np.reciprocal(out, out=out)
 
 
 def _summed(places: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct places, and the rows of ``parts`` summed for each."""
-    order = np.argsort(places, kind="stable")
-    sorted_ = places[order]
-    starts = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
-    return sorted_[starts], np.add.reduceat(parts[order], starts, axis=0)
+    distinct, which = np.unique(places, return_inverse=True)
+    cells = which[:, None] * parts.shape[1] + np.arange(parts.shape[1])
+    summed = np.bincount(cells.ravel(), parts.ravel(), len(distinct) * parts.shape[1])
+    return distinct, summed.reshape(len(distinct), -1).astype(np.float32)
 
 
 def start(words: list[bytes], counts: np.ndarray, factors: int = FACTORS, width: int = CLASS) -> Model:
@@ -491,23 +501,19 @@ def _model_logs(model: Model, contexts: np.ndarray, outputs: np.ndarray) -> np.n
     distinct, which = np.unique(contexts, return_inverse=True)
     mixed = np.empty((len(distinct), model.targets.shape[1]), np.float32)
     among = model.classes(outputs)
-    order = np.argsort(which, kind="stable")
-    edges = np.searchsorted(which[order], np.arange(0, len(distinct) + 2048, 2048))
-    out = np.empty(len(outputs))
-    for k, (a, b) in enumerate(zip(edges, edges[1:])):
-        some = slice(2048 * k, 2048 * (k + 1))
+    sums = np.empty(len(distinct), np.float32)
+    for i in range(0, len(distinct), 2048):
+        some = slice(i, i + 2048)
         mixed[some] = model.predicted(*np.divmod(distinct[some], model.contexts))
-        logs = model.log_among(mixed[some], slice(0, model.top))
-        mine = order[a:b]
-        out[mine] = logs[which[mine] - 2048 * k, among[mine]]
+        sums[some] = model.log_sum(mixed[some], slice(0, model.top))
+    out = np.einsum("ij,ij->i", mixed[which], model.targets[among]) - sums[which]
     # Words of one class are normalised together, in pieces of bounded size.
     inner = np.flatnonzero(outputs >= model.top)
     inner = inner[np.argsort(among[inner], kind="stable")]
     edges = np.searchsorted(among[inner], np.arange(model.first_class, model.top + 1))
     for c, (a, b) in enumerate(zip(edges, edges[1:]), model.first_class):
-        words = model.words_in(c)
         for i in range(a, b, 2048):
             mine = inner[i : min(i + 2048, b)]
-            logs = model.log_among(mixed[which[mine]], words)
-            out[mine] += logs[np.arange(len(mine)), outputs[mine] - words.start]
-    return out / np.log(10)
+            own = mixed[which[mine]]
+            out[mine] += np.einsum("ij,ij->i", own, model.targets[outputs[mine]]) - model.log_sum(own, model.words_in(c))
+    return out.astype(float) / np.log(10)
