@@ -8,8 +8,9 @@ and the classes of less frequent words of the vocabulary are predicted first, th
 among its class. Classes are about as large as there are classes, so a token is normalised over
 a few times the root of the vocabulary. A word outside it has the probability of its class times
 its smoothed share in the class, from counts over all training texts, so every token of every
-text has a probability and they sum to one. As context, such a word has one of as many hashed
-vectors as the vocabulary has words.
+text has a probability and they sum to one. Such words share a vector
+as context. The token before has a vector of its own, the one before that the vector of its class,
+so that contexts repeat, and are trained and normalised once.
 
 Training compares the tokens of the corpus with noise from the unigram distribution, for a
 class and for a word among its class. A start on a bounded sample gives common parameters; then
@@ -20,7 +21,6 @@ by tokens. Scoring normalises fully, with batched matrix products for distinct c
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,12 +33,12 @@ from pyspark.sql import functions as F
 from assayer.llm.frames import Workspace, crc_mod, pick, rows, text_bytes
 
 GROWTH = 16  # words of the vocabulary for each unit of the cube root of the training tokens
-CLASS = 256  # words of a class, and of those predicted without one, at least
+CLASS = 128  # words of a class, and of those predicted without one, at least
 KNOWN = 200_000  # words whose counts go to every task, at least; the others are looked up by a join
 LONGEST = 256  # bytes of a word that stands for itself; a longer one is told by its SHA-256
 FACTORS = 16
 NOISE = 8
-SHARED = 128  # noise tokens drawn for a batch
+SHARED = 64  # noise tokens drawn for a batch
 INNER = 4  # noise words drawn for each word of a class
 BATCH = 2048
 MOST_WEIGHT = 4  # a row that stands for more occurrences is split
@@ -58,7 +58,7 @@ def words_of(text: bytes) -> list[bytes]:
 class Model:
     """Outputs are numbered: 0 the end, also before a text, 1 a word outside the vocabulary, then the most
     frequent words, from ``first_class`` the classes, and from ``top`` the words of the classes, ``width`` of
-    each, the last one's fewer. A word outside the vocabulary is a context by its hash, numbered after the outputs.
+    each, the last one's fewer. Contexts have the same numbers.
 
     ``vectors`` are the contexts', ``mixers`` the matrix of each place, ``targets`` the outputs', bias last.
     ``noise`` is the unigram probability of each of the first ``top`` outputs, then of each word among its class.
@@ -74,18 +74,13 @@ class Model:
     targets: np.ndarray
     squares: np.ndarray  # of past slopes, which Adagrad divides by
 
-    @property
-    def contexts(self) -> int:
-        return len(self.vectors)
-
     def number(self, words: list[bytes]) -> np.ndarray:
-        """The contexts that the words and the end are."""
-        get, outputs, hashed = self.tokens.get, len(self.targets), len(self.vectors) - len(self.targets)
-        return np.array([get(w, 0) or outputs + zlib.crc32(w) % hashed for w in words] + [0], np.int64)
+        get = self.tokens.get
+        return np.array([get(w, 1) for w in words] + [0], np.int64)
 
-    def outputs(self, contexts: np.ndarray) -> np.ndarray:
-        """What is predicted where these contexts stand."""
-        return np.where(contexts < len(self.targets), contexts, 1)
+    def far(self) -> np.ndarray:
+        """The number that each output has as the token before the last one."""
+        return self.classes(np.arange(len(self.targets)))
 
     def classes(self, outputs: np.ndarray) -> np.ndarray:
         """The first prediction for each output: itself, or its class."""
@@ -119,7 +114,7 @@ class Model:
         return np.concatenate(found, axis=1)
 
     def train(self, triples: np.ndarray, weights: np.ndarray, rng: np.random.Generator, rate: float = 0.1) -> None:
-        """One pass of noise-contrastive estimation over weighted (first, second, token) contexts, by Adagrad."""
+        """One pass of noise-contrastive estimation over weighted (first, second, token) rows, by Adagrad."""
         times = np.where(np.arange(len(self.noise)) < self.top, NOISE, INNER)
         log_noise = np.log(times * self.noise).astype(np.float32)
         # Noise is drawn by the distribution function: of the first outputs, then of each class in turn.
@@ -134,7 +129,6 @@ class Model:
         for start in range(0, len(order), BATCH):
             part = order[start : start + BATCH]
             first, second, token = triples[part].T
-            token = self.outputs(token)
             weight = weights[part] / weights[part].sum()
             mixed = self.predicted(first, second)
             among = self.classes(token)
@@ -218,20 +212,18 @@ def start(words: list[bytes], counts: np.ndarray, factors: int = FACTORS, width:
     noise = np.concatenate([of_top / of_top.sum(), inner / np.repeat(in_class, sizes)])
     first_class, top, n = len(head), len(of_top), len(noise)
     tokens = {w: i + 2 if i < width else i + 2 + len(firsts) for i, w in enumerate(words)}
-    vectors = rng.normal(0, 0.1, (n + len(words) + 1, factors)).astype(np.float32)
+    vectors = rng.normal(0, 0.1, (n, factors)).astype(np.float32)
     mixers = np.stack([np.eye(factors, dtype=np.float32)] * 2) * np.float32(0.5)
     targets = np.concatenate([rng.normal(0, 0.1, (n, factors)), np.log(noise)[:, None]], axis=1).astype(np.float32)
     size = vectors.size + mixers.size + targets.size
     return Model(tokens, first_class, top, width, noise, vectors, mixers, targets, np.full(size, 1e-6, np.float32))
 
 
-def triples(numbered: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (first, second, token) rows of some texts, and how often each occurs."""
-    codes = []
-    for ids in numbered:
-        padded = np.concatenate(([0, 0], ids))
-        codes.append((padded[:-2] * size + padded[1:-1]) * size + padded[2:])
-    found, n = np.unique(np.concatenate(codes), return_counts=True)
+def triples(numbered: list[np.ndarray], far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (first, second, token) rows of some texts, and how often each occurs; ``far`` numbers the first."""
+    contexts, tokens = _contexts(numbered, far)
+    size = len(far)
+    found, n = np.unique(contexts * size + tokens, return_counts=True)
     return np.stack([found // size**2, found // size % size, found % size], axis=1), n
 
 
@@ -299,7 +291,7 @@ def fit(texts: DataFrame, model: Model, sample: int, rounds: int = 1) -> Model:
 def averaged(texts: DataFrame, model: Model, rates: tuple[float, ...]) -> Model:
     """Each partition trains a copy of the model on its texts, block by block; the mean by tokens, of the
     parameters and of Adagrad's squares. Parameters travel in parts, which are summed as they arrive."""
-    shared, size = texts.sparkSession.sparkContext.broadcast(model), model.contexts
+    shared, far = texts.sparkSession.sparkContext.broadcast(model), model.far()
     names, kinds = ["place", "tokens", "summed"], [pa.int64(), pa.float64(), pa.list_(pa.float64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +301,7 @@ def averaged(texts: DataFrame, model: Model, rates: tuple[float, ...]) -> Model:
         rng = np.random.default_rng(17)
 
         def step() -> None:
-            rows_, weights = triples(held, size)
+            rows_, weights = triples(held, far)
             for rate in rates:
                 own.train(rows_, weights, rng, rate)
             held.clear()
@@ -434,12 +426,12 @@ def _scoring(shared):
 
         model, table, ends = shared.value
         logs = {word: float(np.log10(n + 0.1)) for word, n in table.items()}
-        end_log, row = float(np.log10(ends + 0.1)), TaskContext.get().partitionId() << 40
+        end_log, row, far = float(np.log10(ends + 0.1)), TaskContext.get().partitionId() << 40, model.far()
         out, numbered, waiting = [], [], 0
 
         def flush() -> pa.RecordBatch:
-            contexts, tokens = _contexts(numbered, model.contexts)
-            values = _model_logs(model, contexts, model.outputs(tokens))
+            contexts, tokens = _contexts(numbered, far)
+            values = _model_logs(model, contexts, tokens)
             ends_at = np.cumsum([len(ids) for ids in numbered])
             sums = np.add.reduceat(values, np.concatenate(([0], ends_at[:-1])))
             for line, value in zip(out, sums.tolist()):
@@ -456,7 +448,7 @@ def _scoring(shared):
                 numbered.append(ids)
                 known = [logs[w] for w in words if w in logs]
                 others = Counter(w for w in words if w not in logs)
-                rare = np.flatnonzero(model.outputs(ids[:-1]) == 1)
+                rare = np.flatnonzero(ids[:-1] == 1)
                 rare_logs = [logs[words[k]] for k in rare.tolist() if words[k] in logs]
                 n_known = len(known) + (ends > 0)
                 out.append(
@@ -484,10 +476,10 @@ _SCORED = pa.schema(
 )
 
 
-def _contexts(numbered: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+def _contexts(numbered: list[np.ndarray], far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The context of every token of some texts, as one number, and the tokens."""
     padded = np.concatenate([np.concatenate(([0, 0], ids)) for ids in numbered])
-    codes = padded[:-2] * size + padded[1:-1]
+    codes = far[padded[:-2]] * len(far) + padded[1:-1]
     inside = np.ones(len(codes), bool)
     at = 0
     for ids in numbered[:-1]:
@@ -504,7 +496,7 @@ def _model_logs(model: Model, contexts: np.ndarray, outputs: np.ndarray) -> np.n
     sums = np.empty(len(distinct), np.float32)
     for i in range(0, len(distinct), 2048):
         some = slice(i, i + 2048)
-        mixed[some] = model.predicted(*np.divmod(distinct[some], model.contexts))
+        mixed[some] = model.predicted(*np.divmod(distinct[some], len(model.targets)))
         sums[some] = model.log_sum(mixed[some], slice(0, model.top))
     out = np.einsum("ij,ij->i", mixed[which], model.targets[among]) - sums[which]
     # Words of one class are normalised together, in pieces of bounded size.

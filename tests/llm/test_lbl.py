@@ -38,9 +38,9 @@ def base(rows):
 def test_probabilities_sum_to_one():
     words = [bytes([c]) for c in b"abcdefg"]
     model = start(words, np.array([5.0, 2.0, 7, 6, 5, 4, 3, 2, 1]), width=3)
-    rows_, weights = triples([model.number([b"a", b"g", b"e", b"x"])] * 5, model.contexts)
+    rows_, weights = triples([model.number([b"a", b"g", b"e", b"x"])] * 5, model.far())
     model.train(rows_, weights, np.random.default_rng(1))
-    logs = model.log_probabilities(np.arange(model.contexts), np.arange(model.contexts)[::-1])
+    logs = model.log_probabilities(np.arange(11), np.arange(11)[::-1])
     # Classes stand for their words, so they are left out of the sum.
     assert (model.first_class, model.top) == (5, 7) and logs.shape[1] == 11
     assert np.allclose(np.exp(np.delete(logs, range(5, 7), axis=1)).sum(axis=1), 1, atol=1e-5)
@@ -52,12 +52,14 @@ def test_batched_scores_are_those_of_the_model_one_by_one():
     model = start(words, np.array([9.0, 30.0, *range(60, 10, -1)]), width=7)
     texts = [[rng.choice([*words, b"x", b"y", b"z"]) for _ in range(rng.randrange(9))] for _ in range(300)]
     numbered = [model.number(t) for t in texts]
-    rows_, weights = triples(numbered, model.contexts)
+    rows_, weights = triples(numbered, model.far())
     model.train(rows_, weights, np.random.default_rng(1))
-    contexts, tokens = _contexts(numbered, model.contexts)
-    got, k = _model_logs(model, contexts, model.outputs(tokens)), 0
+    contexts, tokens = _contexts(numbered, model.far())
+    got, k = _model_logs(model, contexts, tokens), 0
     for ids in numbered:
         for before, last, token in zip([0, 0, *ids], [0, *ids], ids):
+            if before >= model.top:
+                before = model.first_class + (before - model.top) // 8
             mixed = [
                 sum(float(model.vectors[c][i] * model.mixers[place][i][j]) for place, c in enumerate((before, last)) for i in range(16))
                 for j in range(16)
@@ -67,7 +69,6 @@ def test_batched_scores_are_those_of_the_model_one_by_one():
                 scores = {o: sum(m * float(t) for m, t in zip([*mixed, 1], model.targets[o])) for o in outputs}
                 return scores[output] - math.log(sum(math.exp(s) for s in scores.values()))
 
-            token = token if token < len(model.targets) else 1
             if token < model.top:
                 wanted = among(token, range(model.top))
             else:
@@ -97,7 +98,7 @@ def test_long_words_are_told_apart(documents):
 
 
 def test_triples_of_texts():
-    found, n = triples([np.array([2, 3, 0]), np.array([2, 0])], 4)
+    found, n = triples([np.array([2, 3, 0]), np.array([2, 0])], np.arange(4))
     assert sorted((*map(int, row), int(k)) for row, k in zip(found, n)) == [(0, 0, 2, 2), (0, 2, 0, 1), (0, 2, 3, 1), (2, 3, 0, 1)]
 
 
