@@ -8,9 +8,9 @@ and the classes of less frequent words of the vocabulary are predicted first, th
 among its class. Classes are about as large as there are classes, so a token is normalised over
 a few times the root of the vocabulary. A word outside it has the probability of its class times
 its smoothed share in the class, from counts over all training texts, so every token of every
-text has a probability and they sum to one. Such words share a vector
-as context. The token before has a vector of its own, the one before that the vector of its class,
-so that contexts repeat, and are trained and normalised once.
+text has a probability and they sum to one. Such words share a vector as context. The token
+before has a vector of its own, the one before that the vector of its class, so that contexts
+repeat, and are trained and normalised once.
 
 Training compares the tokens of the corpus with noise from the unigram distribution, for a
 class and for a word among its class. A start on a bounded sample gives common parameters; then
