@@ -23,10 +23,10 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, null texts among them, go: no language can be told.
-    Where no language could be learned, the others stay all the same."""
+    """Documents whose language cannot be told go: those without a letter, null texts among them, and those
+    that lie between languages by the prediction. Where no language could be learned, the others stay all the same."""
     found = identify_languages(pick(docs, *COLUMNS), columns=COLUMNS[1:])
-    return found.where("not letterless").select(*COLUMNS)
+    return found.where("not letterless and not ambiguous").select(*COLUMNS)
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

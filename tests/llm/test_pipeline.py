@@ -100,3 +100,12 @@ def test_empty_table(spark, documents, tmp_path):
     pick(documents([]), *corpus_pipeline.COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_documents_between_languages_go(spark, documents, tmp_path):
+    """The prediction decides, not the given language."""
+    english, french = "the cat and the dog sat there", "le chat et le chien sont là"
+    rows = [(i, english if i % 2 else french, "en" if i % 2 else "fr") for i in range(40)]
+    rows += [(50, f"{english} {french}", None), (51, english, None)]
+    kept = corpus_pipeline.known_language(spark, documents(rows), str(tmp_path))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(40), 51]
