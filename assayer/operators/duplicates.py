@@ -4,16 +4,18 @@ A window over the key would pull all copies of a key into one task and sort the
 table. Here wide rows move once at most, and no more than ``PER_KEY`` copies of a key meet:
 
 1. repeated keys   one narrow aggregation over the key column alone
-2. contenders      key, fingerprint, tie-breakers and place of the rows of those keys; the rows of
-                   very frequent ones are dealt to several tasks
+2. contenders      key, fingerprint, tie-breakers and place of the rows of those keys; most rows of other
+                   keys go before, by a bit for each hash, and the rows of very frequent ones are dealt
+                   to several tasks
 3. losers          the places of all contenders but the best of each key, which is found with
                    one candidate for each task and key
-4. the mark        all rows against the losers on the place, which is unique
+4. the mark        all rows against the losers on the place, which is unique; the losers are one
+                   bit for each row of a block of rows, so that no wide row is shuffled for it
 
 A place is a file and a row number in it, so it costs nothing to give out, and a lost
-executor cannot change it. The results of 1-3 are written tables without the rows'
+executor cannot change it. The results of 1-4 are written tables without the rows'
 contents, so Spark sees their true sizes: it broadcasts the small ones by its own
-threshold and shuffles the others.
+threshold and shuffles the others. Of the bits a fixed number of blocks is broadcast.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayer.functions import fingerprint
@@ -31,7 +33,9 @@ from assayer.sources.scratch import Scratch
 PLACE = ["_in_file", "_at_row"]
 #: Rows of one key that may meet in a task.
 PER_KEY = 1 << 20
-_PRINT, _LOST, _RANK, _COUNT, _COPIES, _SALT = "_print", "_lost", "_rank", "_n", "_copies", "_salt"
+#: Rows of a block, which is what Spark's bitmaps hold, and blocks that are broadcast: 64 MB, half a billion rows.
+BLOCK_ROWS, BLOCKS = 1 << 15, 1 << 14
+_PRINT, _RANK, _COUNT, _COPIES, _SALT, _BLOCK, _BITS = "_print", "_rank", "_n", "_copies", "_salt", "_block", "_bits"
 
 
 def payload_columns(df: DataFrame) -> list[str]:
@@ -89,6 +93,34 @@ def rows_of(df: DataFrame, repeated: DataFrame, key: str, per_key: int = PER_KEY
     return dealt.join(listed, [key, _SALT], "left_semi").select(*[col(c) for c in df.columns])
 
 
+def _block(number: Column) -> Column:
+    return F.shiftright(number, BLOCK_ROWS.bit_length() - 1)
+
+
+def _bits(number: Column) -> Column:
+    """Aggregate: the bitmap of the numbers of one block."""
+    return F.bitmap_construct_agg(F.pmod(number, F.lit(BLOCK_ROWS))).alias(_BITS)
+
+
+def _has(number: Column) -> Column:
+    """Whether a number's bit is set in its block's bitmap; false without a bitmap."""
+    place = F.pmod(number, F.lit(BLOCK_ROWS)).cast("int")
+    byte = F.conv(F.hex(F.substring(col(_BITS), F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.getbit(byte, F.pmod(place, F.lit(8))) == 1, F.lit(False))
+
+
+def probably_in(df: DataFrame, repeated: DataFrame, key: str, scratch: Scratch) -> DataFrame:
+    """``df`` without most rows whose key is not in ``repeated``, a written table; no row whose key is in it goes.
+
+    Each key sets the bit of its hash, of eight bits a key as long as ``BLOCKS`` hold them. The bits are
+    broadcast, so the rows stay where they are.
+    """
+    blocks = min(BLOCKS, -(-repeated.count() * 8 // BLOCK_ROWS))
+    spot = F.pmod(F.xxhash64(col(key)), F.lit(blocks * BLOCK_ROWS))
+    bits = scratch.stage(repeated.groupBy(_block(spot).alias(_BLOCK)).agg(_bits(spot)), "key-bits")
+    return df.join(F.broadcast(bits), (_block(spot) == col(_BLOCK)) & _has(spot), "left_semi")
+
+
 def first_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
     """One row per key. Filtering on rank 1 lets Spark cut each task to one row per key."""
     ranking = Window.partitionBy(col(key)).orderBy(*[col(c) for c in order])
@@ -110,8 +142,10 @@ def losing_places(
         return None
     order = [_PRINT, *tie_columns(df), *PLACE]
     # Reduced to what the ranking needs before the join, so that no wide row is shuffled for it.
-    narrow = with_fingerprint(df, payload).where(col(key).isNotNull()).select(*[col(c) for c in [key, *order]])
-    contenders = scratch.stage(rows_of(narrow, repeated, key), "contenders")
+    likely = probably_in(df.where(col(key).isNotNull()), repeated, key, scratch)
+    narrow = with_fingerprint(likely, payload).select(*[col(c) for c in [key, *order]])
+    # The bytes of a fingerprint have the order of its digits, in half the space.
+    contenders = scratch.stage(rows_of(narrow.withColumn(_PRINT, F.unhex(_PRINT)), repeated, key), "contenders")
     kept = scratch.stage(first_per_key(contenders, key, *order).select(*PLACE), "kept")
     return scratch.stage(contenders.select(*PLACE).join(kept, PLACE, "left_anti"), "losers")
 
@@ -134,5 +168,9 @@ def mark_duplicates(
     losers = losing_places(placed, key, payload or payload_columns(df), scratch)
     if losers is None:
         return placed.select(*columns, F.lit(False).alias(flag))
-    marked = placed.join(losers.withColumn(_LOST, F.lit(True)), PLACE, "left")
-    return marked.select(*columns, F.coalesce(col(_LOST), F.lit(False)).alias(flag))
+    row = col(PLACE[1])
+    lost = scratch.stage(losers.groupBy(col(PLACE[0]), _block(row).alias(_BLOCK)).agg(_bits(row)), "lost")
+    if lost.count() <= BLOCKS:
+        lost = F.broadcast(lost)
+    marked = placed.withColumn(_BLOCK, _block(row)).join(lost, [PLACE[0], _BLOCK], "left")
+    return marked.select(*columns, _has(row).alias(flag))

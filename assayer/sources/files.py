@@ -161,10 +161,16 @@ def replace_days(
     return done
 
 
-def write_csv(df: DataFrame, path: str, mode: Literal["overwrite", "append"] = "overwrite") -> None:
-    """Headered CSV copy, a folder with a file from each task."""
-    keep_spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.mode(mode).options(**CSV_DIALECT, **keep_spaces).csv(path)
+def write_csv(
+    df: DataFrame,
+    path: str,
+    mode: Literal["overwrite", "append"] = "overwrite",
+    compression: Literal["none", "gzip"] = "none",
+) -> None:
+    """Headered CSV copy, a folder with a file from each task. ``read_csv`` tells by a file's name how it is
+    compressed; a file in gzip is read by one task."""
+    options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "compression": compression}
+    df.write.mode(mode).options(**CSV_DIALECT, **options).csv(path)
 
 
 def distinct_days(df: DataFrame, partition_by: Sequence[str]) -> list[tuple]:

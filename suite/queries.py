@@ -305,7 +305,7 @@ def published_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     """A root folder with the landing file in it."""
     root = _fresh(spark)
-    write_csv(landing(spark, sf_dir, ship_by_order=True), f"{root}/landing")
+    write_csv(landing(spark, sf_dir, ship_by_order=True), f"{root}/landing", compression="gzip")
     return root
 
 
@@ -413,7 +413,7 @@ def daily_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "late": (raw.where(late), (month, datetime.date(2069, 12, 31))),
     }
     for name, (rows, _) in deliveries.items():
-        write_csv(rows, f"{root}/landing/{name}")
+        write_csv(rows, f"{root}/landing/{name}", compression="gzip")
     index = KeyIndex(f"{root}/index")
     for name in ("early", "late", "early"):
         run_bronze(spark, f"{root}/landing/{name}", f"{root}/bronze", name, mode="overwrite_partitions", index=index)
@@ -439,7 +439,7 @@ def _daily_facts(spark: SparkSession, sf_dir: str, kind: str) -> tuple[Facts, st
     ]
     index, facts = KeyIndex(f"{root}/index"), {}
     for i, (name, rows, days) in enumerate(deliveries):
-        write_csv(rows, f"{root}/landing/{i}")
+        write_csv(rows, f"{root}/landing/{i}", compression="gzip")
         run_bronze(spark, f"{root}/landing/{i}", f"{root}/bronze", name, mode="overwrite_partitions", index=index)
         run = run_silver(spark, f"{root}/bronze", f"{root}/silver", f"{root}/rejected", name, days=days, index=index)
         facts = run_facts(spark, f"{root}/silver", f"{root}/facts", name, days=run.days if i else None, kinds=(kind,))

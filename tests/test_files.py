@@ -218,3 +218,16 @@ def test_shuffle_width_follows_the_input(spark, tmp_path):
     with sized_shuffles(spark.range(10**9)):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "45"
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+def test_compressed_csv_reads_back(spark, tmp_path):
+    df = days(spark).select("id", F.concat("v", F.lit('\n, "q"')).alias("v"))
+    write_csv(df, f"{tmp_path}/c", compression="gzip")
+    assert data_files(f"{tmp_path}/c", ".csv.gz") and not data_files(f"{tmp_path}/c", ".csv")
+    assert rows(read_csv(spark, f"{tmp_path}/c")) == sorted((str(r["id"]), r["v"]) for r in df.collect())
+
+
+def test_scratch_tables_are_packed(spark):
+    with Scratch(spark) as scratch:
+        scratch.stage(days(spark), "t")
+        assert data_files(scratch.path.removeprefix("file:"), ".zstd.parquet")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from assayer import RETAIL_CLEAN, RETAIL_CUSTOMERS, RETAIL_ORDERS, run_silver, split_silver, write_parquet
 from assayer.functions import date_parts
 from assayer.operators.consistency import conflicts
-from assayer.operators.duplicates import first_per_key, mark_duplicates, repeated_counts, repeated_keys, rows_of, with_place
+from assayer.operators.duplicates import first_per_key, mark_duplicates, probably_in, repeated_counts, repeated_keys, rows_of, with_place
 from assayer.operators.rollups import distinct_orders, roll_up_customers, roll_up_orders
 from assayer.sources.scratch import Scratch
 from assayer.sources.sizing import with_conf
@@ -182,3 +182,30 @@ def test_aggregations_are_partial_and_never_expand(spark):
 def test_contract_prefix_names():
     assert RETAIL_CLEAN.partitions == ["order_year", "order_month", "order_day"]
     assert RETAIL_CUSTOMERS.partitions == ["snapshot_year", "snapshot_month", "snapshot_day"]
+
+
+def test_marking_moves_no_wide_row(spark):
+    """Also where Spark itself would broadcast nothing."""
+    with Scratch(spark) as scratch, with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        lines = scratch.stage(many_lines(spark), "lines")
+        marked = mark_duplicates(lines, "row_id", scratch=scratch)
+        assert exchanged(marked) == [] or all("sales" not in moved for moved in exchanged(marked))
+        assert "SortMergeJoin" not in plan(marked)
+        counts = {tuple(r) for r in marked.groupBy("row_id").agg(F.count_if("_is_duplicate")).collect()}
+        assert ("7", 9_999) in counts and {n for k, n in counts if k != "7"} == {0}
+
+
+def test_bits_lose_no_row_of_a_repeated_key(spark):
+    """Rows of several blocks and keys whose hashes fall into several bitmaps."""
+    n = 70_000
+    rows = spark.range(n).selectExpr("if(id % 7 = 0, id - id % 2, id) as k", "id as v")
+    with Scratch(spark) as scratch:
+        rows = scratch.stage(rows.coalesce(1), "rows")
+        repeated = scratch.stage(repeated_counts(rows, "k"), "repeated")
+        wanted = {r[0] for r in repeated.collect()}
+        kept = [r["k"] for r in probably_in(rows, repeated, "k", scratch).collect()]
+        assert sum(k in wanted for k in kept) == 2 * len(wanted)
+        assert len(kept) - 2 * len(wanted) < n / 4
+        lost = mark_duplicates(rows, "k", scratch=scratch).where("_is_duplicate")
+        assert lost.count() == lost.select("k").distinct().count() == len(wanted)
+        assert {r["k"] for r in lost.collect()} == wanted
