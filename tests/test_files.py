@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayer import between_days, publish_table, read_csv, read_parquet, write_csv, write_parquet
-from assayer.sources.files import add_to_days
+from assayer.sources.files import add_to_days, lies_by_folder
 from assayer.sources.folders import Replaced
 from assayer.sources.scratch import Scratch, scratch_root
 from assayer.sources.sizing import shuffle_tasks, sized_shuffles, with_conf
@@ -231,3 +231,17 @@ def test_scratch_tables_are_packed(spark):
     with Scratch(spark) as scratch:
         scratch.stage(days(spark), "t")
         assert data_files(scratch.path.removeprefix("file:"), ".zstd.parquet")
+
+
+def test_rows_that_lie_by_folder_are_written_from_there(spark, tmp_path):
+    write_parquet(days(spark).repartition(4, "order_day"), f"{tmp_path}/together")
+    write_parquet(days(spark).repartition(12), f"{tmp_path}/scattered")
+    together, scattered = (read_parquet(spark, f"{tmp_path}/{name}") for name in ("together", "scattered"))
+    assert lies_by_folder(together.where("id < 300").drop("v"), DAY) and not lies_by_folder(scattered, DAY)
+    assert not lies_by_folder(days(spark), DAY)
+    for name, df in (("a", together), ("b", scattered)):
+        write_parquet(df, f"{tmp_path}/{name}", DAY, maybe_sorted=True)
+        assert rows(read_parquet(spark, f"{tmp_path}/{name}")) == rows(days(spark))
+        assert len(data_files(f"{tmp_path}/{name}")) == 5
+    write_parquet(together.limit(0), f"{tmp_path}/c", DAY, maybe_sorted=True)
+    assert read_parquet(spark, f"{tmp_path}/c").count() == 0
