@@ -5,10 +5,12 @@ table. Here wide rows move once at most, and no more than ``PER_KEY`` copies of
 
 1. repeated keys   one narrow aggregation over the key column alone
 2. contenders      key, fingerprint, tie-breakers and place of the rows of those keys; most rows of other
-                   keys go before, by a bit for each hash, and the rows of very frequent ones are dealt
-                   to several tasks
-3. losers          the places of all contenders but the best of each key, which is found with
-                   one candidate for each task and key
+                   keys go before, by a bit for each hash
+3. losers          the places of all contenders but the best of each key. They are shuffled once, by key, and
+                   ranked there; the few rows of other keys that are left come first of their key. Where
+                   one key has more than ``PER_KEY`` rows, contenders are first joined with the repeated keys,
+                   the rows of such keys dealt to several tasks, and the best is found with one candidate
+                   for each task and key
 4. the mark        all rows against the losers on the place, which is unique; the losers are one
                    bit for each row of a block of rows, so that no wide row is shuffled for it
 
@@ -132,8 +134,18 @@ def first_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
     return df.withColumn(_RANK, F.row_number().over(ranking)).where(col(_RANK) == 1).drop(_RANK)
 
 
+def later_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
+    """All rows but the first of each key. The rows of a key meet in one task."""
+    ranking = Window.partitionBy(col(key)).orderBy(*[col(c) for c in order])
+    return df.withColumn(_RANK, F.row_number().over(ranking)).where(col(_RANK) > 1).drop(_RANK)
+
+
 def losing_places(
-    df: DataFrame, key: str, payload: Sequence[str] | None = None, scratch: Scratch | None = None
+    df: DataFrame,
+    key: str,
+    payload: Sequence[str] | None = None,
+    scratch: Scratch | None = None,
+    per_key: int = PER_KEY,
 ) -> DataFrame | None:
     """The places of all copies but the kept one of each key; None when no key repeats.
 
@@ -152,7 +164,10 @@ def losing_places(
         likely = probably_in(likely, repeated, key, scratch)
     narrow = with_fingerprint(likely, payload).select(*[col(c) for c in [key, *order]])
     # The bytes of a fingerprint have the order of its digits, in half the space.
-    contenders = scratch.stage(rows_of(narrow.withColumn(_PRINT, F.unhex(_PRINT)), repeated, key), "contenders")
+    narrow = narrow.withColumn(_PRINT, F.unhex(_PRINT))
+    if _may_broadcast(df) and repeated.where(col(_COUNT) > per_key).isEmpty():
+        return scratch.stage(later_per_key(narrow, key, *order).select(*PLACE), "losers")
+    contenders = scratch.stage(rows_of(narrow, repeated, key, per_key), "contenders")
     kept = scratch.stage(first_per_key(contenders, key, *order).select(*PLACE), "kept")
     return scratch.stage(contenders.select(*PLACE).join(kept, PLACE, "left_anti"), "losers")
 

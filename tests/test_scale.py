@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from assayer import RETAIL_CLEAN, RETAIL_CUSTOMERS, RETAIL_ORDERS, run_silver, split_silver, write_parquet
 from assayer.functions import date_parts
 from assayer.operators.consistency import conflicts
-from assayer.operators.duplicates import first_per_key, mark_duplicates, probably_in, repeated_counts, repeated_keys, rows_of, with_place
+from assayer.operators.duplicates import first_per_key, losing_places, mark_duplicates, probably_in, repeated_counts, repeated_keys, rows_of, with_place
 from assayer.operators.rollups import distinct_orders, roll_up_customers, roll_up_orders
 from assayer.sources.scratch import Scratch
 from assayer.sources.sizing import with_conf
@@ -209,3 +209,17 @@ def test_bits_lose_no_row_of_a_repeated_key(spark):
         lost = mark_duplicates(rows, "k", scratch=scratch).where("_is_duplicate")
         assert lost.count() == lost.select("k").distinct().count() == len(wanted)
         assert {r["k"] for r in lost.collect()} == wanted
+
+
+def test_copies_are_ranked_in_one_shuffle_unless_a_key_is_hot(spark):
+    """Fingerprints, tie-breakers and places are shuffled once and not written; a hot key takes the longer way."""
+    keys = F.when(F.col("id") % 3 == 0, -1).otherwise(F.floor(F.col("id") / 2)).cast("string")
+    with Watched(spark) as scratch:
+        raw = many_lines(spark).withColumn("id", F.monotonically_increasing_id()).withColumn("row_id", keys).drop("id")
+        lines = with_place(scratch.stage(raw, "lines"), scratch)
+        once = losing_places(lines, "row_id", scratch=scratch)
+        assert "contenders" not in scratch.plans and "kept" not in scratch.plans
+        assert len(scratch.moved["losers"]) == 1
+        dealt = losing_places(lines, "row_id", scratch=scratch, per_key=100)
+        assert "contenders" in scratch.plans
+        assert once.count() > 9_000 and once.exceptAll(dealt).isEmpty() and dealt.exceptAll(once).isEmpty()
