@@ -5,10 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayer import between_days, publish_table, read_csv, read_parquet, write_csv, write_parquet
-from assayer.sources.files import add_to_days, lies_by_folder
+from assayer.sources.files import add_to_days, lies_by_folder, write_few_folders
 from assayer.sources.folders import Replaced
 from assayer.sources.scratch import Scratch, scratch_root
-from assayer.sources.sizing import shuffle_tasks, sized_shuffles, with_conf
+from assayer.sources.sizing import read_tasks, shuffle_tasks, sized_shuffles, with_conf
 
 D = datetime.date
 DAY = ["order_year", "order_month", "order_day"]
@@ -245,3 +245,29 @@ def test_rows_that_lie_by_folder_are_written_from_there(spark, tmp_path):
         assert len(data_files(f"{tmp_path}/{name}")) == 5
     write_parquet(together.limit(0), f"{tmp_path}/c", DAY, maybe_sorted=True)
     assert read_parquet(spark, f"{tmp_path}/c").count() == 0
+
+
+def test_many_rows_of_few_folders_stay_where_they_are(spark, tmp_path):
+    write_parquet(days(spark).repartition(6), f"{tmp_path}/in")
+    df = read_parquet(spark, f"{tmp_path}/in")
+    found = {}
+    for name, size in (("little", 1 << 40), ("much", 0)):
+        seen = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup(name, name)
+        write_few_folders(df, f"{tmp_path}/{name}", DAY[:1], scattered_bytes=size)
+        stages = [seen.getStageInfo(s) for j in seen.getJobIdsForGroup(name) for s in seen.getJobInfo(j).stageIds]
+        found[name] = len([s for s in stages if s])
+        assert rows(read_parquet(spark, f"{tmp_path}/{name}").select(df.columns)) == rows(df)
+    assert found["much"] < found["little"]
+    write_few_folders(df.limit(0), f"{tmp_path}/much", DAY[:1], scattered_bytes=0)
+    assert read_parquet(spark, f"{tmp_path}/much").count() == 0
+
+
+def test_a_task_of_a_write_in_place_reads_little(spark, tmp_path):
+    spark.range(200_000).repartition(1).write.parquet(f"{tmp_path}/t")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    with read_tasks(spark, 100_000):
+        assert spark.read.parquet(f"{tmp_path}/t").rdd.getNumPartitions() > 1
+    with read_tasks(spark, 1 << 40):
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") in (before, "134217728b")
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
