@@ -4,9 +4,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyspark
 import pytest
 
-from assayer.llm.lbl import _contexts, _model_logs, frequent, score_texts, start, triples
+from assayer.llm.lbl import Model, _contexts, _model_logs, _scoring, frequent, score_texts, start, triples
 from tests.llm.conftest import SF_DIR
 
 
@@ -81,6 +83,35 @@ def test_batched_scores_are_those_of_the_model_one_by_one():
             break
 
 
+def test_words_are_looked_up_once_for_counts_and_model(monkeypatch):
+    words = [f"w{i}".encode() for i in range(30)]
+    table = {w: 40 - i for i, w in enumerate(words)}
+    model = start(words[:20], np.array([9.0, 60.0, *range(40, 20, -1)]), width=7)
+    rng = random.Random(4)
+    texts = [[rng.choice([*words, b"x", b"y"]) for _ in range(rng.randrange(7))] for _ in range(50)]
+    wanted = []
+    for words_ in texts:
+        ids, known = model.number(words_), [w for w in words_ if w in table]
+        rare = [w for w in known if w not in model.tokens]
+        contexts, tokens = _contexts([ids], model.far())
+        wanted.append(
+            (len(ids), len(known) + 1, sum(math.log10(table[w] + 0.1) for w in known) + math.log10(9.1),
+             sum(w not in model.tokens for w in words_), sum(math.log10(table[w] + 0.1) for w in rare),
+             _model_logs(model, contexts, tokens).sum(), Counter(w for w in words_ if w not in table))
+        )
+    calls, number = [], Model.number
+    monkeypatch.setattr(Model, "number", lambda self, words_: calls.append(1) or number(self, words_))
+    monkeypatch.setattr(pyspark, "TaskContext", type("Task", (), {"get": classmethod(lambda c: c), "partitionId": lambda: 0}))
+    columns = [pa.array(range(50), pa.int64()), pa.array([False] * 50), pa.array([b" ".join(t) for t in texts], pa.binary())]
+    batch = pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "text"])
+    got = pa.Table.from_batches(_scoring(type("Shared", (), {"value": (model, table, 9)}))(iter([batch]))).to_pylist()
+    assert len(calls) == 1  # for the table, not for each text
+    assert len(got) == len(wanted) and {r["row"] for r in got} == set(range(50))
+    for r, (*numbers, others) in zip(got, wanted):
+        found = [r[c] for c in ("n_tokens", "n_known", "known_logs", "n_rare", "rare_logs", "model_log")]
+        assert np.allclose(found, numbers, rtol=1e-5) and Counter(dict(zip(r["others"], r["times"]))) == others
+
+
 def test_words_of_equal_count_beyond_the_bound(spark):
     rows = [(f"w{i}".encode(), 1) for i in range(3000)] + [(b"often", 9), (b"", 5)]
     counts = spark.createDataFrame(rows, "word binary, n long").repartition(3)
