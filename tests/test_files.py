@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayer import between_days, publish_table, read_csv, read_parquet, write_csv, write_parquet
-from assayer.sources.files import add_to_days, lies_by_folder, write_few_folders
+from assayer.sources.files import add_to_days, brought_together, lies_by_folder, write_few_folders
 from assayer.sources.folders import Replaced
 from assayer.sources.scratch import Scratch, scratch_root
 from assayer.sources.sizing import read_tasks, shuffle_tasks, sized_shuffles, with_conf
@@ -271,3 +271,24 @@ def test_a_task_of_a_write_in_place_reads_little(spark, tmp_path):
     with read_tasks(spark, 1 << 40):
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") in (before, "134217728b")
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_texts_are_shuffled_as_one_and_come_back(spark):
+    """Ends, marks, nulls, empty texts and bytes that are no UTF-8, each beside the others."""
+    odd = ["", "x", "\t", "\x01", "\x01a", "\x01b\t", "\t\x01", "\x01n", "\x01h41", "\n", "ü\t€", None]
+    pairs = [(i, a, b, d) for i, a in enumerate(odd) for b in odd for d in ("k\t", None)]
+    df = spark.createDataFrame(pairs, "id int, `a.b` string, c string, d string")
+    df = df.withColumns({"raw": F.unhex(F.lit("FF09")).cast("string"), "n": F.lit(None).cast("string"), "_TEXTS0": F.col("id") * 2})
+    together = brought_together(df, ["d"])
+    assert together.dtypes == df.dtypes
+    hexed = [F.hex(f"`{c}`").alias(c) if t == "string" else F.col(f"`{c}`") for c, t in df.dtypes]
+    assert sorted(map(str, together.select(*hexed).collect())) == sorted(map(str, df.select(*hexed).collect()))
+
+
+def test_a_table_in_folders_keeps_names_types_and_column_order(spark, tmp_path):
+    df = days(spark, 50).withColumn("at", F.lit(D(2020, 1, 1)))
+    df = df.withColumn("w", F.when(F.col("id") % 3 != 0, F.concat(F.lit("w\t"), "id")))
+    write_parquet(df, str(tmp_path / "t"), DAY)
+    back = read_parquet(spark, str(tmp_path / "t"))
+    assert back.columns == [c for c in df.columns if c not in DAY] + DAY
+    assert rows(back) == rows(df)

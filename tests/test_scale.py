@@ -10,6 +10,7 @@ from assayer.functions import date_parts
 from assayer.operators.consistency import conflicts
 from assayer.operators.duplicates import first_per_key, losing_places, mark_duplicates, probably_in, repeated_counts, repeated_keys, rows_of, with_place
 from assayer.operators.rollups import distinct_orders, roll_up_customers, roll_up_orders
+from assayer.sources.files import brought_together
 from assayer.sources.scratch import Scratch
 from assayer.sources.sizing import with_conf
 
@@ -223,3 +224,9 @@ def test_copies_are_ranked_in_one_shuffle_unless_a_key_is_hot(spark):
         dealt = losing_places(lines, "row_id", scratch=scratch, per_key=100)
         assert "contenders" in scratch.plans
         assert once.count() > 9_000 and once.exceptAll(dealt).isEmpty() and dealt.exceptAll(once).isEmpty()
+
+
+def test_texts_are_shuffled_as_one_column_for_a_partitioned_write(spark):
+    texts = many_lines(spark).select("row_id", "order_id", "city", "customer_id")
+    assert [sorted(moved) for moved in exchanged(brought_together(texts, ["customer_id"]))] == [["_texts0", "customer_id"]]
+    assert [sorted(moved) for moved in exchanged(brought_together(texts.select("city", "customer_id"), ["customer_id"]))] == [["city", "customer_id"]]
