@@ -24,8 +24,10 @@ from assayer import (
 )
 from assayer.operators.consistency import conflicts
 from assayer.plans import facts as facts_module
+from assayer.plans import jobs as jobs_module
+from assayer.sources import files as files_module
 from assayer.sources import folders
-from assayer.sources.files import read_days, replace_days
+from assayer.sources.files import read_days, replace_days, replace_few_folders
 from assayer.sources.folders import existing_days, existing_folders, finish_replacing
 from assayer.sources.scratch import Scratch
 from tests.test_jobs import csv_line, landing
@@ -440,3 +442,90 @@ def test_jobs_take_the_options_of_their_session(lake, spark, ansi):
     day = D(2018, 12, 29)
     run = lake.load("1", DELIVERIES[day], day, day)
     assert run.counts["rejected_row_count"] == 1
+
+
+def shuffles(df):
+    return len(re.findall(r"Exchange hashpartitioning", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_old_and_new_facts_meet_in_one_shuffle(spark):
+    schema = "key string, city string, order_day int"
+    new = spark.createDataFrame([("a", "x", 1), ("a", None, 1), (None, "x", 2), ("b", "y", 3)], schema)
+    old = spark.createDataFrame([("a", "x", 1), ("a", None, 2), (None, "x", 2), ("b", None, None)], schema)
+    changed = facts_module._on_one_side(new, old)
+    wanted = new.subtract(old).union(old.subtract(new))
+    assert collected(changed, *new.columns) == collected(wanted, *new.columns) != []
+    assert shuffles(changed) == 1 < shuffles(wanted)
+    assert facts_module._on_one_side(new, new).isEmpty()
+
+
+def test_days_are_read_by_the_folders_above_them(spark, tmp_path):
+    path, first = str(tmp_path / "t"), D(2018, 1, 1)
+    days = [first + datetime.timedelta(i) for i in range(90)]
+    rows = spark.createDataFrame([(i, d.year, d.month, d.day) for i, d in enumerate(days)], ["id", *DAY])
+    write_parquet(rows, path, DAY)
+    wanted = [(d.year, d.month, d.day) for d in days[5:70]]  # January from the sixth, February, and part of March
+    found = read_days(spark, path, DAY, wanted)
+    assert collected(found, "id") == sorted((str(i),) for i in range(5, 70))
+    assert found.columns == ["id", *DAY]
+    names = files_module._by_parent({folders.folder_name(DAY, d) for d in wanted}, existing_folders(spark, path, DAY))
+    assert "order_year=2018/order_month=2" in names and len(names) == 26 + 1 + 11
+    every = existing_folders(spark, path, DAY)
+    assert files_module._by_parent(set(every), every) == {"order_year=2018"}
+    assert collected(read_days(spark, path, DAY, [(d.year, d.month, d.day) for d in days]), "id") == collected(rows, "id")
+
+
+def test_keys_are_read_once_where_they_occur_on_no_other_day(lake, spark, monkeypatch):
+    asked = []
+
+    def seen(spark, path, parts, days):
+        asked.extend([list(days)] if path == lake.at("bronze") and days else [])
+        return read_days(spark, path, parts, days)
+
+    monkeypatch.setattr(jobs_module, "read_days", seen)
+    silver, day = jobs_module.run_silver, D(2018, 12, 27)
+
+    def silver_alone(*args, **options):
+        asked.clear()
+        return silver(*args, **options)
+
+    monkeypatch.setitem(globals(), "run_silver", silver_alone)
+    lake.load("27", DELIVERIES[day], day, day)
+    assert asked == [[(2018, 12, 27)]] * 2  # for its keys, for its rows
+    lake.load("29", [csv_line(2, "O-3", "29/12/2018"), csv_line(9, "O-3", "29/12/2018")], D(2018, 12, 29), D(2018, 12, 29))
+    # Row 2 lies on the 27th, so that day is replaced too, and its keys are looked for.
+    assert asked == [[(2018, 12, 29)], [(2018, 12, 27), (2018, 12, 29)], [(2018, 12, 27)]]
+
+
+def test_few_folders_are_replaced_by_rows_from_where_they_lie(spark, tmp_path):
+    def table(first, last, tag):
+        return spark.range(first, last, numPartitions=3).selectExpr("id", f"'{tag}' as tag", "cast(id % 3 as int) as d")
+
+    table(0, 30, "new").where("d != 2").write.parquet(str(tmp_path / "new"))
+    new, found = read_parquet(spark, str(tmp_path / "new")), {}
+    for name, size in (("little", 1 << 40), ("much", 0)):
+        path = str(tmp_path / name)
+        write_parquet(table(0, 30, "old").union(spark.sql("select 99L, 'old', 7")), path, ["d"])
+        done = replace_few_folders(new, path, ["d"], [(0,), (1,), (2,)], scattered_bytes=size)
+        assert (done.put, done.gone) == (("d=0", "d=1"), ("d=2",))
+        assert existing_folders(spark, path, ["d"]) == ["d=0", "d=1", "d=7"]
+        found[name] = collected(read_parquet(spark, path), "id", "tag", "d")
+    assert found["little"] == found["much"] == sorted(collected(new, "id", "tag", "d") + [("99", "old", "7")])
+    replace_few_folders(new.limit(0), str(tmp_path / "much"), ["d"], [(0,), (1,), (7,)], scattered_bytes=0)
+    assert read_parquet(spark, str(tmp_path / "much")).count() == 0
+
+
+def test_the_rest_of_a_year_stays_in_the_quarantine(spark, tmp_path):
+    """Also rows without a date, and a column that only replaced days had."""
+    path = str(tmp_path / "q")
+    rows = [(1, "a", 2017, 5, 1), (2, "b", 2018, 1, 1), (3, "c", 2018, 1, 2), (4, "d", None, None, None)]
+    schema = "id int, extra string, order_year int, order_month int, order_day int"
+    write_parquet(spark.createDataFrame(rows, schema), path, DAY[:1])
+    new = spark.createDataFrame([(9, 2018, 1, 1)], "id int, order_year int, order_month int, order_day int")
+    now = jobs_module._replace_in_years(new, path, DAY, [(2017, 5, 1), (2018, 1, 1)])
+    assert collected(now, "id", "extra") == [("9", "None")]
+    left = [("3", "c", "2018"), ("4", "d", "None"), ("9", "None", "2018")]
+    assert collected(read_parquet(spark, path), "id", "extra", "order_year") == left
+    # Days may be those of rows without a date; these stay where they are.
+    jobs_module._replace_in_years(new.limit(0), path, DAY, [(2018, 1, 1)])
+    assert collected(read_parquet(spark, path), "id") == [("3",), ("4",)]
