@@ -3,12 +3,13 @@
 import os
 import re
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from assayer import RETAIL_CLEAN, RETAIL_CUSTOMERS, RETAIL_ORDERS, run_silver, split_silver, write_parquet
 from assayer.functions import date_parts
 from assayer.operators.consistency import conflicts
-from assayer.operators.duplicates import first_per_key, losing_places, mark_duplicates, probably_in, repeated_counts, repeated_keys, rows_of, with_place
+from assayer.operators.duplicates import _bitmaps, _has, first_per_key, losing_places, mark_duplicates, probably_in, repeated_counts, repeated_keys, rows_of, with_place
 from assayer.operators.rollups import distinct_orders, roll_up_customers, roll_up_orders
 from assayer.sources.files import brought_together
 from assayer.sources.scratch import Scratch
@@ -230,3 +231,22 @@ def test_texts_are_shuffled_as_one_column_for_a_partitioned_write(spark):
     texts = many_lines(spark).select("row_id", "order_id", "city", "customer_id")
     assert [sorted(moved) for moved in exchanged(brought_together(texts, ["customer_id"]))] == [["_texts0", "customer_id"]]
     assert [sorted(moved) for moved in exchanged(brought_together(texts.select("city", "customer_id"), ["customer_id"]))] == [["city", "customer_id"]]
+
+
+def test_bits_are_words_that_rows_need_not_copy(spark):
+    """All edges of bytes, words and blocks; a block without any number has no row."""
+    marked = {0, 6, 7, 8, 31, 32, 39, 63, 64, 32_735, 32_736, 32_767, 32_768, 65_536 + 24, 5 * 32_768 - 1}
+    bits = _bitmaps(spark.createDataFrame([(n,) for n in sorted(marked)], "n long"), F.col("n"))
+    assert dict(bits.dtypes)["_bits"] == "array<int>" and bits.count() == 4
+    asked = spark.range(6 * 32_768).withColumn("_block", F.shiftright("id", 15))
+    found = asked.join(F.broadcast(bits), "_block", "left").where(_has(F.col("id")))
+    assert {r["id"] for r in found.collect()} == marked
+
+
+def test_scratch_tables_are_written_without_dictionaries(spark):
+    with Scratch(spark) as scratch:
+        table = scratch.stage(many_lines(spark, 1000), "t")
+        assert table.count() == 1000
+        files = [f.removeprefix("file://") for f in table.inputFiles()]
+        columns = [pq.ParquetFile(f).metadata.row_group(0).column(2) for f in files]
+        assert not any(c.has_dictionary_page for c in columns) and {c.compression for c in columns} == {"ZSTD"}
